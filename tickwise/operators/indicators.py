@@ -97,18 +97,17 @@ def add_ema(df, span: float | None = None, x: str = "close", out: str | None = N
 
 def add_bollinger(df, n: int = 20, k: float = 2.0, x: str = "close", keys=KEYS) -> DataFrame:
     """middle = SMA_n, upper/lower = middle +- k * std_n."""
-    df = add_sma(df, n, x, "bb_middle", keys)
-    df = add_rolling_std(df, n, x, "_bb_std", keys)
-    return (df.withColumn("bb_upper", F.col("bb_middle") + F.col("_bb_std") * k)
-              .withColumn("bb_lower", F.col("bb_middle") - F.col("_bb_std") * k)
-              .drop("_bb_std"))
+    mid, sd = S.rolling(F.avg, x, n, keys), S.rolling(F.stddev_samp, x, n, keys)
+    return df.withColumns({"bb_middle": mid, "bb_upper": mid + sd * k, "bb_lower": mid - sd * k})
 
 
 def _gain_loss(df, x, keys):
-    df = add_diff(df, x, "_delta", keys)
-    return (df.withColumn("_gain", F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(F.lit(0.0)))
-              .withColumn("_loss", F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(F.lit(0.0)))
-              .drop("_delta"))
+    """Gain / loss of each bar; the first bar's missing diff becomes 0.0."""
+    delta = F.col(x) - F.lag(F.col(x), 1).over(_w(keys))
+    return df.withColumns({
+        "_gain": F.when(delta > 0, delta).otherwise(F.lit(0.0)),
+        "_loss": F.when(delta < 0, -delta).otherwise(F.lit(0.0)),
+    })
 
 
 def rsi_from(avg_gain: str, avg_loss: str):
@@ -122,17 +121,21 @@ def rsi_from(avg_gain: str, avg_loss: str):
 def add_rsi_sma(df, n: int = 14, x: str = "close", out: str = "rsi", keys=KEYS) -> DataFrame:
     """RSI from n-row simple means of gain and loss."""
     df = _gain_loss(df, x, keys)
-    df = df.withColumn("_ag", S.rolling(F.avg, "_gain", n, keys)) \
-           .withColumn("_al", S.rolling(F.avg, "_loss", n, keys))
-    return df.withColumn(out, rsi_from("_ag", "_al")).drop("_gain", "_loss", "_ag", "_al")
+    df = df.withColumns({"_ag": S.rolling(F.avg, "_gain", n, keys),
+                         "_al": S.rolling(F.avg, "_loss", n, keys)})
+    return _rsi_out(df, out)
+
+
+def _rsi_out(df, out):
+    keep = [c for c in df.columns if c not in ("_gain", "_loss", "_ag", "_al", out)]
+    return df.select(*keep, rsi_from("_ag", "_al").alias(out))
 
 
 def add_rsi_wilder(df, n: int = 14, x: str = "close", out: str = "rsi", keys=KEYS) -> DataFrame:
     """RSI with Wilder smoothing (alpha 1/n, min_periods n)."""
     df = _gain_loss(df, x, keys)
-    df = add_ema(df, x="_gain", out="_ag", alpha=1.0 / n, min_periods=n, keys=keys)
-    df = add_ema(df, x="_loss", out="_al", alpha=1.0 / n, min_periods=n, keys=keys)
-    return df.withColumn(out, rsi_from("_ag", "_al")).drop("_gain", "_loss", "_ag", "_al")
+    df = S.add_emas(df, list(keys), [("_gain", "_ag", 1.0 / n, n), ("_loss", "_al", 1.0 / n, n)])
+    return _rsi_out(df, out)
 
 
 def add_macd(df, fast: int = 12, slow: int = 26, signal: int = 9, x: str = "close",
@@ -141,9 +144,10 @@ def add_macd(df, fast: int = 12, slow: int = 26, signal: int = 9, x: str = "clos
     the first row.  F5 (strict=True): each EMA with min_periods = span, plus
     the histogram ``macd_hist``."""
     mp = (lambda s: s) if strict else (lambda s: 0)
-    df = add_ema(df, fast, x, "_ema_fast", mp(fast), keys=keys)
-    df = add_ema(df, slow, x, "_ema_slow", mp(slow), keys=keys)
-    df = df.withColumn("macd", F.col("_ema_fast") - F.col("_ema_slow")).drop("_ema_fast", "_ema_slow")
+    df = S.add_emas(df, list(keys), [(x, "_ema_fast", 2.0 / (fast + 1), mp(fast)),
+                                     (x, "_ema_slow", 2.0 / (slow + 1), mp(slow))])
+    keep = [c for c in df.columns if c not in ("_ema_fast", "_ema_slow", "macd")]
+    df = df.select(*keep, (F.col("_ema_fast") - F.col("_ema_slow")).alias("macd"))
     df = add_ema(df, signal, "macd", signal_out, mp(signal), keys=keys)
     if strict:
         df = df.withColumn("macd_hist", F.col("macd") - F.col(signal_out))

@@ -197,26 +197,39 @@ def add_ema(df: DataFrame, keys: Sequence[str], x: str, out: str, alpha: float,
     input must not have interior NULLs.  Needs a blocked frame whose halo is
     at least ``ema_halo`` rows.
     """
+    return add_emas(df, keys, [(x, out, alpha, min_periods)])
+
+
+def add_emas(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
+    """Several independent EMAs ``(x, out, alpha, min_periods)`` in three
+    projections (weights, sub-block sums, outputs)."""
     keys = list(keys)
-    q = 1.0 - alpha
-    xc = F.col(x)
     wb = block_window(keys)
-    valid = xc.isNotNull()
-    if min_periods > 1:
-        valid = valid & F.lag(xc, min_periods - 1).over(wb).isNotNull()
-    if q <= 0.0:
-        return df.withColumn(out, F.when(valid, xc))
-    be = ema_subblock(alpha)
-    u, j, wt, loc = f"_u{be}", f"_j{be}", f"_w_{out}", f"_l_{out}"
-    first = xc.isNotNull() & F.lag(xc, 1).over(wb).isNull()
-    staged = (df.withColumn(u, F.floor(F.col(IDX) / F.lit(be)))
-              .withColumn(j, F.pmod(F.col(IDX), F.lit(be)).cast("double"))
-              .withColumn(wt, F.when(xc.isNull(), F.lit(0.0))
-                          .when(first, F.lit(1.0)).otherwise(F.lit(alpha))))
-    term = F.coalesce(xc, F.lit(0.0)) * F.col(wt) * F.pow(F.lit(q), -F.col(j))
-    wu = Window.partitionBy(*keys, BLK, u).orderBy(IDX).rowsBetween(UNB, 0)
-    staged = staged.withColumn(loc, F.pow(F.lit(q), F.col(j)) * F.sum(term).over(wu))
-    prev_tail = F.last(F.when(F.col(j) == be - 1, F.col(loc)), ignorenulls=True).over(
-        wb.rowsBetween(UNB, -1))
-    y = F.col(loc) + F.pow(F.lit(q), F.col(j) + 1) * F.coalesce(prev_tail, F.lit(0.0))
-    return staged.withColumn(out, F.when(valid, y)).drop(u, j, wt, loc)
+    i = F.col(IDX)
+    weights, locals_, outs, temps = {}, {}, {}, []
+    for x, out, alpha, min_periods in specs:
+        xc = F.col(x)
+        q = 1.0 - alpha
+        valid = xc.isNotNull()
+        if min_periods > 1:
+            valid = valid & F.lag(xc, min_periods - 1).over(wb).isNotNull()
+        if q <= 0.0:
+            outs[out] = F.when(valid, xc)
+            continue
+        be = ema_subblock(alpha)
+        j = F.pmod(i, F.lit(be)).cast("double")
+        wt, loc = f"_w_{out}", f"_l_{out}"
+        temps += [wt, loc]
+        first = xc.isNotNull() & F.lag(xc, 1).over(wb).isNull()
+        weights[wt] = F.when(xc.isNull(), F.lit(0.0)).when(first, F.lit(1.0)).otherwise(F.lit(alpha))
+        term = F.coalesce(xc, F.lit(0.0)) * F.col(wt) * F.pow(F.lit(q), -j)
+        wu = Window.partitionBy(*keys, BLK, F.floor(i / F.lit(be))).orderBy(IDX).rowsBetween(UNB, 0)
+        locals_[loc] = F.pow(F.lit(q), j) * F.sum(term).over(wu)
+        prev_tail = F.last(F.when(j == be - 1, F.col(loc)), ignorenulls=True).over(
+            wb.rowsBetween(UNB, -1))
+        y = F.col(loc) + F.pow(F.lit(q), j + 1) * F.coalesce(prev_tail, F.lit(0.0))
+        outs[out] = F.when(valid, y)
+    if weights:
+        df = df.withColumns(weights).withColumns(locals_)
+    keep = [c for c in df.columns if c not in temps and c not in outs]
+    return df.select(*keep, *[v.alias(k) for k, v in outs.items()])
