@@ -301,3 +301,84 @@ SELECT ticker, strategy, {sel([('sharpe_ratio', 6)])},
 FROM summary""")(
     lambda spark, sf: rnd(BT.sharpe_band(BT.run_all(bars(spark, sf))).select(
         "ticker", "strategy", "sharpe_ratio", "sharpe_band"), {"sharpe_ratio": 6}))
+
+
+# ------------------------------------------------------------------ C1, C2, C6, B3, D5, D8, E8, E11
+from tickwise.operators import correlation as CR  # noqa: E402
+
+_RET_CTES = f"""{BASE},
+own AS (SELECT ticker, d, close / NULLIF({O.lag('close')}, 0) - 1 AS ret FROM bars),
+cal AS (SELECT DISTINCT d FROM bars),
+fst AS (SELECT ticker, MIN(d) AS first_d FROM bars GROUP BY ticker),
+grid AS (SELECT fst.ticker, cal.d, fst.first_d FROM fst JOIN cal ON cal.d >= fst.first_d),
+dr AS (SELECT grid.ticker, grid.d, CASE WHEN grid.d > grid.first_d THEN COALESCE(own.ret, 0.0) END AS ret
+       FROM grid LEFT JOIN own ON own.ticker = grid.ticker AND own.d = grid.d),
+full_d AS (SELECT d FROM dr WHERE ret IS NOT NULL GROUP BY d
+           HAVING COUNT(*) = (SELECT COUNT(DISTINCT ticker) FROM dr)),
+cr AS (SELECT * FROM dr WHERE d IN (SELECT d FROM full_d))"""
+
+
+def _complete(spark, sf):
+    """Bars are re-read for calendar, spans and returns: written once to the
+    checkpoint folder; the complete returns likewise feed both pair sides."""
+    from tickwise.plans.materialize import materialize
+    return materialize(CR.complete_returns(CR.daily_returns(materialize(bars(spark, sf)))))
+
+
+def _mat_bars(spark, sf):
+    from tickwise.plans.materialize import materialize
+    return materialize(bars(spark, sf))
+
+
+register("daily_returns", f"""{_RET_CTES}
+SELECT ticker, d, {sel([('ret', 8)])} FROM dr""")(
+    lambda spark, sf: rnd(CR.daily_returns(_mat_bars(spark, sf)), {"ret": 8}))
+
+register("complete_returns", f"""{_RET_CTES}
+SELECT ticker, d, {sel([('ret', 8)])} FROM cr""")(
+    lambda spark, sf: rnd(_complete(spark, sf).select("ticker", "d", "ret"), {"ret": 8}))
+
+register("aligned_matrix", f"""{BASE}
+PIVOT (SELECT ticker, d, close FROM bars) ON ticker USING FIRST(close) GROUP BY d""")(
+    lambda spark, sf: CR.aligned_matrix(bars(spark, sf)))
+
+register("corr_matrix", f"""{_RET_CTES}
+SELECT a.ticker AS ticker_a, b.ticker AS ticker_b,
+       {sel([('COVAR_SAMP(a.ret, b.ret) / NULLIF(STDDEV_SAMP(a.ret) * STDDEV_SAMP(b.ret), 0) AS corr', 6)])}
+FROM cr a JOIN cr b ON a.d = b.d GROUP BY a.ticker, b.ticker""")(
+    lambda spark, sf: rnd(CR.corr_matrix(_complete(spark, sf)), {"corr": 6}))
+
+_PAIRS_SQL = f"""{_RET_CTES},
+pr AS (SELECT a.ticker AS ticker_a, b.ticker AS ticker_b, a.d, a.ret AS ret_a, b.ret AS ret_b
+       FROM cr a JOIN cr b ON a.d = b.d AND a.ticker < b.ticker)"""
+
+
+def _pairs(spark, sf):
+    c = _complete(spark, sf)
+    return CR.pairwise_returns(c, CR.ticker_pairs(c))
+
+
+register("pairwise_returns", f"""{_PAIRS_SQL}
+SELECT ticker_a, ticker_b, d, {sel([('ret_a', 8), ('ret_b', 8)])} FROM pr""")(
+    lambda spark, sf: rnd(_pairs(spark, sf), {"ret_a": 8, "ret_b": 8}))
+
+_RW = "PARTITION BY ticker_a, ticker_b ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+register("rolling_corr_30", f"""{_PAIRS_SQL}
+SELECT ticker_a, ticker_b, d, {sel([(
+    f'CASE WHEN COUNT(ret_a) OVER ({_RW}) = 30 '
+    f'AND STDDEV_SAMP(ret_a) OVER ({_RW}) * STDDEV_SAMP(ret_b) OVER ({_RW}) > 0 '
+    f'THEN COVAR_SAMP(ret_a, ret_b) OVER ({_RW}) / '
+    f'(STDDEV_SAMP(ret_a) OVER ({_RW}) * STDDEV_SAMP(ret_b) OVER ({_RW})) END AS corr', 6)])}
+FROM pr""")(
+    lambda spark, sf: rnd(CR.rolling_corr(_pairs(spark, sf), 30), {"corr": 6}))
+
+register("return_density", f"""{_RET_CTES},
+st AS (SELECT ticker, COUNT(ret) AS n, STDDEV_SAMP(ret) * POW(COUNT(ret), -0.2) AS h,
+              MIN(ret) AS lo, MAX(ret) AS hi FROM cr WHERE ret IS NOT NULL GROUP BY ticker),
+g AS (SELECT ticker, n, h, k, (lo - 3 * h) + k * ((hi - lo + h * 6) / 199) AS x
+      FROM st, range(200) t(k))
+SELECT g.ticker, CAST(g.k AS INTEGER) AS k, {sel([('g.x AS x', 8),
+    ('SUM(EXP(-((g.x - cr.ret) / g.h) * ((g.x - cr.ret) / g.h) / 2)) / (g.n * g.h * SQRT(2 * PI())) AS density', 4)])}
+FROM g JOIN cr ON cr.ticker = g.ticker AND cr.ret IS NOT NULL
+GROUP BY g.ticker, g.k, g.x, g.n, g.h""")(
+    lambda spark, sf: rnd(CR.return_density(_complete(spark, sf)), {"x": 8, "density": 4}))
