@@ -382,3 +382,7 @@ SELECT g.ticker, CAST(g.k AS INTEGER) AS k, {sel([('g.x AS x', 8),
 FROM g JOIN cr ON cr.ticker = g.ticker AND cr.ret IS NOT NULL
 GROUP BY g.ticker, g.k, g.x, g.n, g.h""")(
     lambda spark, sf: rnd(CR.return_density(_complete(spark, sf)), {"x": 8, "density": 4}))
+
+
+# part 2 registers into the same dictionaries
+import tickwise.catalog_app  # noqa: E402,F401

@@ -42,22 +42,18 @@ def _ticks(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16) -> int:
+def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16):
     """Orderkey width of a tick chunk so that a chunk holds about
-    ``target_rows`` ticks of one (ticker, ship time) group.  One scalar
-    aggregate; pass ``chunk_keys`` to ``bars_from_lineitem`` to skip it."""
-    st = (lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("t"), "l_shipdate", "l_orderkey")
-          .agg(F.count(F.lit(1)).alias("n"),
-               F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"),
-               F.approx_count_distinct(F.struct("t", "l_shipdate")).alias("g"))
-          .first())
-    if not st or not st["n"]:
-        return 1
-    span = st["hi"] - st["lo"] + 1
-    return max(1, math.ceil(target_rows * span * max(st["g"], 1) / st["n"]))
-
-
-def bars_from_lineitem(lineitem: DataFrame, chunk_keys: int | None = None) -> DataFrame:
+    ``target_rows`` ticks of one (ticker, ship time) group:
+    target * key span * groups / rows.  Returned as a scalar-subquery Column,
+    so it is evaluated inside the same job (no separate driver action)."""
+    g = F.approx_count_distinct(F.struct(F.concat("l_returnflag", "l_linestatus"), "l_shipdate"))
+    span = F.max("l_orderkey") - F.min("l_orderkey") + 1
+    width = F.greatest(F.lit(1), F.ceil(F.lit(float(target_rows)) * span * g / F.count(F.lit(1))))
+    return lineitem.select(width.cast("long")).scalar()
+
+
+def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
     """Daily OHLCV bars of the lineitem price walk (D9: ticks -> bars).
 
     The walk is a running sum over all ticks of a ticker, so the direct plan
@@ -72,7 +68,8 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys: int | None = None) -> Da
     """
     if chunk_keys is None:
         chunk_keys = chunk_width(lineitem)
-    t = _ticks(lineitem).withColumn("c", F.floor(F.col("l_orderkey") / F.lit(chunk_keys)))
+    width = F.lit(chunk_keys) if isinstance(chunk_keys, int) else chunk_keys
+    t = _ticks(lineitem).withColumn("c", F.floor(F.col("l_orderkey") / width))
     chunk = ["ticker", "ship_ts", "c"]
     w = Window.partitionBy(*chunk).orderBy(*TICK_ORDER)
     local = (t.withColumn("run", F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -105,16 +102,18 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys: int | None = None) -> Da
     )
 
 
-def load_bars(spark: SparkSession, sf_dir: str, chunk_keys: int | None = None) -> DataFrame:
+def load_bars(spark: SparkSession, sf_dir: str, chunk_keys=None) -> DataFrame:
     return bars_from_lineitem(table(spark, sf_dir, "lineitem"), chunk_keys)
 
 
-def ticks_from_events(events: DataFrame) -> DataFrame:
+def ticks_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
     """Bronze ticks from ``events``: ticker = event_type, price = value,
-    timestamp = whole epoch seconds of ts (read as UTC), source = 'events'."""
+    timestamp = whole epoch seconds of ts (read as UTC), source = 'events';
+    ``keep`` carries extra event columns along (e.g. event_id)."""
     secs = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
                   "CAST(ts AS TIMESTAMP_NTZ))")
     return events.select(
+        *keep,
         F.col("event_type").alias("ticker"),
         F.col("value").cast("double").alias("price"),
         secs.cast("long").alias("timestamp"),
