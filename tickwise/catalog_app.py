@@ -139,7 +139,7 @@ register("quote", f"""{BASE},
 l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY d DESC) AS rn FROM bars) WHERE rn = 1)
 SELECT UPPER(ticker) AS ticker, d, ROUND(close, 2) AS price,
        printf('%.2f%%', (close - open) / open * 100) AS change_percent,
-       volume, REPLACE(format('{{:,}}', volume), ',', ',') AS volume_text FROM l""")(
+       volume, format('{{:,}}', volume) AS volume_text FROM l""")(
     lambda spark, sf: SN.quote(bars(spark, sf)))
 
 register("preview", f"""{O.with_(O.BARS)}
@@ -344,3 +344,51 @@ register("stream_gold", f"""{STREAM_SILVER_SQL}
 SELECT ticker, {sel([('AVG(SMA) AS avg_SMA', 6), ('AVG(volatility) AS avg_volatility', 6)])}
 FROM silver WHERE SMA IS NOT NULL AND volatility IS NOT NULL GROUP BY ticker""")(
     lambda spark, sf: rnd(run_stream_gold(spark, sf, _scratch(spark, "gold")), {"avg_SMA": 6, "avg_volatility": 6}))
+
+
+# ------------------------------------------------------------------ chart set, E6, E7, B15, I6
+
+_CHART_COLS = {"sma_20": 6, "ema_20": 6, "bb_upper": 6, "bb_lower": 6, "rsi": 6,
+               "macd": 6, "macd_signal": 6, "macd_hist": 6}
+
+@register("chart_indicators", f"""{O.with_(O.BARS, O.macd_ctes(strict=True), O.gain_loss_cte('b'),
+                                          O.ema_rec('e20', 'b', [('y', 'close', 2 / 21)], ['d']),
+                                          O.ema_rec('w', 'gl', [('ag', 'gain', 1 / 14), ('al', 'loss', 1 / 14)], ['d']))},
+p AS (
+  SELECT b.ticker, b.d, b.close,
+         {O.roll('AVG', 'b.close', 20, 'PARTITION BY b.ticker ORDER BY b.d')} AS s20,
+         {O.roll('STDDEV_SAMP', 'b.close', 20, 'PARTITION BY b.ticker ORDER BY b.d')} AS sd20,
+         e20.y AS ema_20, CASE WHEN w.i >= 13 THEN {O.rsi_expr('w.ag', 'w.al')} END AS rsi,
+         m.macd, m.sig
+  FROM b JOIN e20 ON e20.ticker = b.ticker AND e20.i = b.i
+         JOIN w ON w.ticker = b.ticker AND w.i = b.i
+         JOIN m ON m.ticker = b.ticker AND m.i = b.i
+)
+SELECT ticker, d, {sel([('s20 AS sma_20', 6), ('ema_20', 6), ('s20 + 2 * sd20 AS bb_upper', 6),
+                        ('s20 - 2 * sd20 AS bb_lower', 6), ('rsi', 6), ('macd', 6), ('sig AS macd_signal', 6),
+                        ('macd - sig AS macd_hist', 6)])}
+FROM p""")
+def q_chart(spark, sf):
+    out = I.chart_indicators(bars(spark, sf)).select("ticker", "d", *_CHART_COLS)
+    return rnd(out, _CHART_COLS)
+
+
+@register("diff_shift", f"""{BASE}
+SELECT ticker, d, {O.lag('close')} AS prev_close, {sel([(f"close - {O.lag('close')} AS delta", 6)])} FROM b""")
+def q_diff_shift(spark, sf):
+    f = I.prepare(bars(spark, sf), 1)
+    f = I.add_diff(I.add_shift(f, "close", "prev_close"), "close", "delta")
+    return rnd(I.finish(f).select("ticker", "d", "prev_close", "delta"), {"delta": 6})
+
+
+register("min_history", f"""{BASE}
+SELECT {BAR_COLS} FROM bars WHERE ticker IN (SELECT ticker FROM bars GROUP BY ticker HAVING COUNT(*) >= 2400)""")(
+    lambda spark, sf: Z.min_history(bars(spark, sf), 2400))
+
+
+register("money_format", f"""{BASE},
+l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY d DESC) AS rn FROM bars) WHERE rn = 1)
+SELECT ticker, '$' || format('{{:,.2f}}', close) AS price_text, format('{{:,}}', volume) AS volume_text FROM l""")(
+    lambda spark, sf: SN.latest(bars(spark, sf)).select(
+        "ticker", F.concat(F.lit("$"), F.format_number("close", 2)).alias("price_text"),
+        F.format_number(F.col("volume"), 0).alias("volume_text")))
