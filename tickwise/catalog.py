@@ -322,12 +322,11 @@ def _complete(spark, sf):
     """Bars are re-read for calendar, spans and returns: written once to the
     checkpoint folder; the complete returns likewise feed both pair sides."""
     from tickwise.plans.materialize import materialize
-    return materialize(CR.complete_returns(CR.daily_returns(materialize(bars(spark, sf)))))
+    return materialize(CR.complete_returns(CR.daily_returns(bars(spark, sf))))
 
 
 def _mat_bars(spark, sf):
-    from tickwise.plans.materialize import materialize
-    return materialize(bars(spark, sf))
+    return bars(spark, sf)
 
 
 register("daily_returns", f"""{_RET_CTES}

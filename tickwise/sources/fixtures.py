@@ -58,21 +58,26 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
 
     The walk is a running sum over all ticks of a ticker, so the direct plan
     is one sort per ticker.  Instead ticks are cut into chunks of (ticker,
-    ship time, orderkey range), contiguous in tick order:
+    ship time, orderkey range), contiguous in tick order, and levels are
+    carried in two small scans:
       1. inside a chunk: running sum of steps; per chunk its total, highest
          and lowest running sum, first step and volume (one small sort each);
-      2. the chunk table (far smaller) gets each chunk's starting level by a
-         running sum of totals per ticker;
-      3. per day: open = start of first chunk + its first step, close = level
-         after the last chunk, high/low = best chunk extreme + its start.
+      2. per (ticker, day), over that day's chunks: each chunk's offset from
+         the day's opening level, giving the day's open/high/low relative to
+         it and the day's total move;
+      3. per ticker, over the day table (bounded by the calendar, not by the
+         tick count): each day's opening level = start + earlier days' moves.
+    No task ever holds more than one chunk of ticks, one day of chunks, or
+    one ticker's calendar of days.
     """
     if chunk_keys is None:
         chunk_keys = chunk_width(lineitem)
     width = F.lit(chunk_keys) if isinstance(chunk_keys, int) else chunk_keys
+    unb = Window.unboundedPreceding
     t = _ticks(lineitem).withColumn("c", F.floor(F.col("l_orderkey") / width))
     chunk = ["ticker", "ship_ts", "c"]
     w = Window.partitionBy(*chunk).orderBy(*TICK_ORDER)
-    local = (t.withColumn("run", F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = (t.withColumn("run", F.sum("step").over(w.rowsBetween(unb, 0)))
              .withColumn("rn", F.row_number().over(w)))
     chunks = local.groupBy(*chunk, "d").agg(
         F.sum("step").alias("tot"),
@@ -81,23 +86,24 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
         F.min_by("run", "rn").alias("first_run"),
         F.sum("l_quantity").alias("qty"),
     )
-    start = F.coalesce(F.sum("tot").over(
-        Window.partitionBy("ticker").orderBy("ship_ts", "c")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.lit(WALK_START_CENTS)
-    levels = chunks.withColumn("start", start)
-    cents = levels.groupBy("ticker", "d").agg(
-        F.min_by(F.col("start") + F.col("first_run"), F.struct("ship_ts", "c")).alias("o"),
-        F.max(F.col("start") + F.col("hi_run")).alias("h"),
-        F.min(F.col("start") + F.col("lo_run")).alias("l"),
-        F.max_by(F.col("start") + F.col("tot"), F.struct("ship_ts", "c")).alias("cl"),
+    off = F.coalesce(F.sum("tot").over(
+        Window.partitionBy("ticker", "d").orderBy("ship_ts", "c").rowsBetween(unb, -1)), F.lit(0))
+    days = chunks.withColumn("off", off).groupBy("ticker", "d").agg(
+        F.min_by(F.col("off") + F.col("first_run"), F.struct("ship_ts", "c")).alias("o"),
+        F.max(F.col("off") + F.col("hi_run")).alias("h"),
+        F.min(F.col("off") + F.col("lo_run")).alias("l"),
+        F.sum("tot").alias("move"),
         F.sum("qty").alias("vol"),
     )
+    start = F.coalesce(F.sum("move").over(
+        Window.partitionBy("ticker").orderBy("d").rowsBetween(unb, -1)), F.lit(0)) + F.lit(WALK_START_CENTS)
+    cents = days.withColumn("start", start)
     return cents.select(
         "ticker", "d",
-        (F.col("o") / F.lit(100.0)).alias("open"),
-        (F.col("h") / F.lit(100.0)).alias("high"),
-        (F.col("l") / F.lit(100.0)).alias("low"),
-        (F.col("cl") / F.lit(100.0)).alias("close"),
+        ((F.col("start") + F.col("o")) / F.lit(100.0)).alias("open"),
+        ((F.col("start") + F.col("h")) / F.lit(100.0)).alias("high"),
+        ((F.col("start") + F.col("l")) / F.lit(100.0)).alias("low"),
+        ((F.col("start") + F.col("move")) / F.lit(100.0)).alias("close"),
         F.col("vol").cast("long").alias("volume"),
     )
 
