@@ -19,3 +19,13 @@ def test_roundtrip(spark):
     t = spark.createDataFrame([("A", 1.25, 100, "s")], "ticker string, price double, timestamp long, source string")
     back = K.decode_ticks(K.encode_ticks(t)).collect()[0]
     assert tuple(back) == ("A", 1.25, 100, "s")
+
+
+def test_now_epoch_is_query_start_or_pinned(spark):
+    import time
+
+    from tickwise.functions.columns import now_epoch
+    t0 = int(time.time())
+    r = spark.range(3).select(now_epoch().alias("a"), now_epoch(1735689600).alias("b")).collect()
+    assert len({x["a"] for x in r}) == 1 and t0 - 5 <= r[0]["a"] <= int(time.time()) + 5
+    assert all(x["b"] == 1735689600 for x in r)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickwise import oracle as O
 from tickwise.catalog import BASE, bars, register, rnd, sel
-from tickwise.functions.columns import parse_ticker_list, wrap_label
+from tickwise.functions.columns import now_epoch, parse_ticker_list, wrap_label
 from tickwise.operators import backtest as BT
 from tickwise.operators import bars as BR
 from tickwise.operators import indicators as I
@@ -241,6 +241,15 @@ SELECT ticker, "timestamp", strftime(make_timestamp("timestamp" * 1000000), '%Y-
     lambda spark, sf: ticks(spark, sf).select("ticker", "timestamp",
                                               F.from_unixtime("timestamp").alias("time_text")))
 
+# I3 with the instant as a parameter (2025-01-01 00:00:00 UTC) so both sides agree
+NOW_AT = 1735689600
+
+register("tick_age", f"""{TICK_BASE}
+SELECT ticker, "timestamp", CAST({NOW_AT} AS BIGINT) AS now_s, {NOW_AT} - "timestamp" AS age_s FROM ticks""")(
+    lambda spark, sf: ticks(spark, sf).select(
+        "ticker", "timestamp", now_epoch(NOW_AT).alias("now_s"),
+        (now_epoch(NOW_AT) - F.col("timestamp")).alias("age_s")))
+
 _W5 = 'OVER (PARTITION BY ticker ORDER BY "timestamp" ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)'
 register("silver_rows", f"""{TICK_BASE}
 SELECT ticker, {sel([(f'AVG(price) {_W5} AS SMA', 6), (f'STDDEV_SAMP(price) {_W5} AS volatility', 6)])},

@@ -73,3 +73,10 @@ def ntz_epoch_seconds(ts) -> Column:
     independent of the session time zone."""
     return F.floor(F.unix_micros(F.to_utc_timestamp(c(ts).cast("timestamp"),
                                                       F.current_timezone())) / 1_000_000).cast("long")
+
+
+def now_epoch(at: int | None = None) -> Column:
+    """Current epoch seconds as BIGINT (I3).  ``at`` pins the instant, which
+    keeps a job deterministic on re-runs and retries; without it the value is
+    the query's start time (one value for the whole query)."""
+    return F.lit(int(at)).cast("long") if at is not None else F.unix_timestamp().cast("long")
