@@ -48,7 +48,12 @@ def sel(cols: list[tuple[str, int | None]]) -> str:
 
 
 def bars(spark, sf):
-    return FX.load_bars(spark, sf)
+    """Fixture bars of all of lineitem.  The indicator plans reference the
+    bars several times (index offsets, block carries, calendar); at scale the
+    bars are written once (``reuse``) instead of re-walking every tick per
+    reference."""
+    from tickwise.plans.materialize import reuse
+    return reuse(FX.load_bars(spark, sf), "bars")
 
 
 BASE = O.with_(O.BARS)
@@ -319,10 +324,10 @@ cr AS (SELECT * FROM dr WHERE d IN (SELECT d FROM full_d))"""
 
 
 def _complete(spark, sf):
-    """Bars are re-read for calendar, spans and returns: written once to the
-    checkpoint folder; the complete returns likewise feed both pair sides."""
-    from tickwise.plans.materialize import materialize
-    return materialize(CR.complete_returns(CR.daily_returns(bars(spark, sf))))
+    """Bars are re-read for calendar, spans and returns, and the complete
+    returns feed both pair sides: each is reused (written once when large)."""
+    from tickwise.plans.materialize import reuse
+    return reuse(CR.complete_returns(CR.daily_returns(bars(spark, sf))), "complete_returns")
 
 
 def _mat_bars(spark, sf):

@@ -26,3 +26,36 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+# Session setting: plans whose estimated size is at least this many bytes are
+# written once before being re-read; smaller ones are cheaper to recompute
+# than to write and read back.
+REUSE_MIN_BYTES_CONF = "spark.tickwise.reuse.minBytes"
+REUSE_MIN_BYTES_DEFAULT = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job runs); None if unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a remote session without the JVM handle
+        return None
+
+
+def reuse(df: DataFrame, name: str = "t") -> DataFrame:
+    """Prepare an intermediate that the plan references several times.
+
+    Column pruning gives every reference a different subtree, so Spark cannot
+    reuse the exchange and recomputes the intermediate once per reference.
+    When its estimated size (which grows with the input it is derived from)
+    reaches ``spark.tickwise.reuse.minBytes`` it is written once with
+    ``materialize``; below that, recomputing is cheaper than a write and a
+    re-read.  A missing estimate counts as large.
+    """
+    spark = df.sparkSession
+    limit = int(spark.conf.get(REUSE_MIN_BYTES_CONF, str(REUSE_MIN_BYTES_DEFAULT)))
+    size = estimated_bytes(df)
+    if size is None or size >= limit:
+        return materialize(df, name)
+    return df
