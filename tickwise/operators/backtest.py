@@ -35,8 +35,7 @@ def backtest_curves(bars: DataFrame, capital: float = DEFAULT_CAPITAL,
     f = strategy_frame(bars, block_rows)
     f = f.withColumn("_g", F.lit(1.0) + F.col("strategy_return")) \
          .withColumn("_m", F.lit(1.0) + F.col("ret"))
-    f = S.carry_scan(f, list(STRAT_KEYS), "_g", "_eq", "product")
-    f = S.carry_scan(f, list(STRAT_KEYS), "_m", "_mk", "product")
+    f = S.carry_scans(f, list(STRAT_KEYS), [("_g", "_eq", "product"), ("_m", "_mk", "product")])
     f = f.withColumn("equity", F.col("_eq") * capital).withColumn("market", F.col("_mk") * capital)
     return I.finish(f).select("ticker", "strategy", "strategy_ord", "d", "ret", "signal",
                               "position", "strategy_return", "equity", "market")

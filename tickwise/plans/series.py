@@ -144,16 +144,29 @@ def carry_scan(df: DataFrame, keys: Sequence[str], x: str, out: str, kind: str)
     over a blocked series: in-block running value combined with the carry of
     all earlier blocks.  NULL inputs are skipped, as pandas ``cumsum``/
     ``cumprod``/``cummax`` skip NaN; the output is NULL where ``x`` is NULL."""
+    return carry_scans(df, keys, [(x, out, kind)])
+
+
+def carry_scans(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
+    """Several running aggregates ``(x, out, kind)`` over the same blocked
+    series with one table of block totals and one join: the input is
+    referenced twice however many scans there are."""
     keys = list(keys)
-    run_agg, tot_agg, carry_agg, combine = _SCANS[kind]
-    own = F.when(~F.col(HALO), F.col(x))
-    tot = (df.filter(~F.col(HALO)).groupBy(*keys, BLK).agg(tot_agg(F.col(x)).alias("_tot")))
-    carry = tot.select(*keys, BLK, carry_agg("_tot").over(
-        Window.partitionBy(*keys).orderBy(BLK).rowsBetween(UNB, -1)).alias("_carry"))
-    run = run_agg(own).over(block_window(keys).rowsBetween(UNB, 0))
+    specs = list(specs)
+    tots, carries, outs = [], [], {}
+    wc = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(UNB, -1)
+    wr = block_window(keys).rowsBetween(UNB, 0)
+    for n, (x, out, kind) in enumerate(specs):
+        run_agg, tot_agg, carry_agg, combine = _SCANS[kind]
+        tots.append(tot_agg(F.col(x)).alias(f"_tot{n}"))
+        carries.append(carry_agg(f"_tot{n}").over(wc).alias(f"_carry{n}"))
+        run = run_agg(F.when(~F.col(HALO), F.col(x))).over(wr)
+        outs[out] = F.when(F.col(x).isNotNull(), combine(F.col(f"_carry{n}"), run))
+    tot = df.filter(~F.col(HALO)).groupBy(*keys, BLK).agg(*tots)
+    carry = tot.select(*keys, BLK, *carries)
     return (df.join(carry, [*keys, BLK], "left")
-            .withColumn(out, F.when(F.col(x).isNotNull(), combine(F.col("_carry"), run)))
-            .drop("_carry"))
+            .withColumns(outs)
+            .drop(*[f"_carry{n}" for n in range(len(specs))]))
 
 
 def ffill_scan(df: DataFrame, keys: Sequence[str], x: str, out: str) -> DataFrame:
