@@ -57,12 +57,8 @@ def load_bars_range(bars: DataFrame, tickers: Sequence[str] | DataFrame | None =
                     start: str | None = None, end: str | None = None) -> DataFrame:
     """A10: bars of a ticker set in [start, end); unknown tickers simply
     return no rows (see ``missing_tickers``).  Filters reach the scan."""
-    out = bars
-    if tickers is not None:
-        if isinstance(tickers, DataFrame):
-            out = out.join(tickers.select(F.col(tickers.columns[0]).alias("ticker")), "ticker", "left_semi")
-        else:
-            out = out.filter(F.col("ticker").isin(list(tickers)))
+    from tickwise.operators.zones import filter_tickers
+    out = bars if tickers is None else filter_tickers(bars, tickers)
     if start:
         out = out.filter(F.col("d") >= F.lit(start).cast("date"))
     if end:
