@@ -86,3 +86,20 @@ def test_halo_larger_than_block_is_rejected(bars_small):
     idx = S.index_series(bars_small, ["ticker"], ["d"], S.date_bucket("d"))
     with pytest.raises(ValueError):
         S.with_blocks(idx, 100, 64)
+
+
+def test_backtest_curves_same_with_many_blocks(bars_small):
+    """Both equity products share one carry table; 64-row blocks must give the
+    single-block curves (signals, positions and cumulative products)."""
+    from tickwise.operators import backtest as BT
+    cols = ["ticker", "strategy", "d", "position", "equity", "market"]
+    a = BT.backtest_curves(bars_small, block_rows=64).select(*cols).toPandas()
+    b = BT.backtest_curves(bars_small).select(*cols).toPandas()
+    key = ["ticker", "strategy", "d"]
+    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+    assert len(a) == len(b) and (a[key] == b[key]).all().all()
+    for c in ["position", "equity", "market"]:
+        x, y = a[c].to_numpy(dtype=float), b[c].to_numpy(dtype=float)
+        assert (np.isnan(x) == np.isnan(y)).all()
+        m = ~np.isnan(y)
+        np.testing.assert_allclose(x[m], y[m], rtol=1e-9)
