@@ -103,3 +103,16 @@ def test_backtest_curves_same_with_many_blocks(bars_small):
         assert (np.isnan(x) == np.isnan(y)).all()
         m = ~np.isnan(y)
         np.testing.assert_allclose(x[m], y[m], rtol=1e-9)
+
+
+def test_adaptive_buckets_index_ticks_densely(spark):
+    """A width targeting ~4 rows per (ticker, bucket) gives many buckets per
+    ticker; the positions must still be 0..n-1 in time order."""
+    from tickwise.sources.fixtures import load_ticks
+    from tickwise.operators.medallion import dedup_ticks
+    t = dedup_ticks(load_ticks(spark, "/root/testdata/sf0.001")).select("ticker", "timestamp")
+    width = S.adaptive_width(t, "timestamp", ["ticker"], target_rows=4)
+    idx = S.index_series(t, ["ticker"], ["timestamp"], S.seconds_bucket("timestamp", width)).toPandas()
+    assert t.select(S.seconds_bucket("timestamp", width).alias("b")).distinct().count() > 20
+    for _, g in idx.sort_values(["ticker", "timestamp"]).groupby("ticker"):
+        assert list(g["_i"]) == list(range(len(g)))

@@ -51,12 +51,24 @@ def date_bucket(c: str | Column, days: int = 32) -> Column:
     return F.floor(F.unix_date(c) / F.lit(days))
 
 
-def seconds_bucket(c: str | Column, seconds: int = 3600) -> Column:
+def seconds_bucket(c: str | Column, seconds: int | Column = 3600) -> Column:
     """Coarse bucket of an epoch-seconds column."""
     c = F.col(c) if isinstance(c, str) else c
     return F.floor(c / F.lit(seconds))
 
 
+def adaptive_width(df: DataFrame, order_col: str, keys: Sequence[str], target_rows: int = 1 << 16) -> Column:
+    """Bucket width (in units of ``order_col``) so that a (series, bucket)
+    group holds about ``target_rows`` rows: target * span * series / rows.
+    A scalar-subquery Column, evaluated inside the job that uses it; the
+    buckets then stay bounded however dense the hottest series gets."""
+    x = F.col(order_col)
+    n_series = F.approx_count_distinct(F.struct(*keys)) if len(keys) > 1 else F.approx_count_distinct(keys[0])
+    span = F.max(x) - F.min(x) + 1
+    width = F.greatest(F.lit(1), F.ceil(F.lit(float(target_rows)) * span * n_series / F.count(F.lit(1))))
+    return df.select(width.cast("long")).scalar()
+
+
 def index_series(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column) -> DataFrame:
     """Add ``_i``: 0-based position of the row inside its series ``keys``.
 

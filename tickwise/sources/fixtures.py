@@ -9,11 +9,11 @@ pipeline.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickwise.plans import series as S
+
 # Fixed values of the price-walk fixture (must match the SQL oracle):
 # start at 5000.00 (500000 cents); each tick moves by
 # round(discount * 100) * 50 - 250 cents.
@@ -44,13 +44,11 @@ def _ticks(lineitem: DataFrame) -> DataFrame:
 
 def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16):
     """Orderkey width of a tick chunk so that a chunk holds about
-    ``target_rows`` ticks of one (ticker, ship time) group:
-    target * key span * groups / rows.  Returned as a scalar-subquery Column,
-    so it is evaluated inside the same job (no separate driver action)."""
-    g = F.approx_count_distinct(F.struct(F.concat("l_returnflag", "l_linestatus"), "l_shipdate"))
-    span = F.max("l_orderkey") - F.min("l_orderkey") + 1
-    width = F.greatest(F.lit(1), F.ceil(F.lit(float(target_rows)) * span * g / F.count(F.lit(1))))
-    return lineitem.select(width.cast("long")).scalar()
+    ``target_rows`` ticks of one (ticker, ship time) group (a scalar-subquery
+    Column, evaluated inside the same job; no separate driver action)."""
+    keyed = lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("ticker"),
+                            "l_shipdate", "l_orderkey")
+    return S.adaptive_width(keyed, "l_orderkey", ["ticker", "l_shipdate"], target_rows)
 
 
 def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
