@@ -330,13 +330,9 @@ def _complete(spark, sf):
     return reuse(CR.complete_returns(CR.daily_returns(bars(spark, sf))), "complete_returns")
 
 
-def _mat_bars(spark, sf):
-    return bars(spark, sf)
-
-
 register("daily_returns", f"""{_RET_CTES}
 SELECT ticker, d, {sel([('ret', 8)])} FROM dr""")(
-    lambda spark, sf: rnd(CR.daily_returns(_mat_bars(spark, sf)), {"ret": 8}))
+    lambda spark, sf: rnd(CR.daily_returns(bars(spark, sf)), {"ret": 8}))
 
 register("complete_returns", f"""{_RET_CTES}
 SELECT ticker, d, {sel([('ret', 8)])} FROM cr""")(
