@@ -46,8 +46,9 @@ def test_reused_bars_written_once_give_the_same_leaderboard(spark):
 def test_sized_chunks_from_the_data(spark, expected, monkeypatch):
     """The sizing subquery (used on large inputs) with a tiny target: many
     data-sized chunks per day, same bars."""
+    from tickwise.plans import series as S
     from tickwise.sources import fixtures as FX
-    monkeypatch.setattr(FX, "CHUNK_SIZING_MIN_BYTES", 0)
+    monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     li = FX.table(spark, SF_SMALL, "lineitem")
     width = FX.chunk_width(li, target_rows=3)
     assert not isinstance(width, int)

@@ -105,9 +105,10 @@ def test_backtest_curves_same_with_many_blocks(bars_small):
         np.testing.assert_allclose(x[m], y[m], rtol=1e-9)
 
 
-def test_adaptive_buckets_index_ticks_densely(spark):
+def test_adaptive_buckets_index_ticks_densely(spark, monkeypatch):
     """A width targeting ~4 rows per (ticker, bucket) gives many buckets per
     ticker; the positions must still be 0..n-1 in time order."""
+    monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     from tickwise.sources.fixtures import load_ticks
     from tickwise.operators.medallion import dedup_ticks
     t = dedup_ticks(load_ticks(spark, "/root/testdata/sf0.001")).select("ticker", "timestamp")

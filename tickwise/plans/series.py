@@ -57,11 +57,23 @@ def seconds_bucket(c: str | Column, seconds: int | Column = 3600) -> Column:
     return F.floor(c / F.lit(seconds))
 
 
-def adaptive_width(df: DataFrame, order_col: str, keys: Sequence[str], target_rows: int = 1 << 16) -> Column:
+# Inputs estimated below this many bytes get one bucket per series: no group
+# can then outgrow a task, and the sizing scan is skipped.
+SIZING_MIN_BYTES = 256 << 20
+ONE_BUCKET = 1 << 62
+
+
+def adaptive_width(df: DataFrame, order_col: str, keys: Sequence[str], target_rows: int = 1 << 16):
     """Bucket width (in units of ``order_col``) so that a (series, bucket)
     group holds about ``target_rows`` rows: target * span * series / rows.
     A scalar-subquery Column, evaluated inside the job that uses it; the
-    buckets then stay bounded however dense the hottest series gets."""
+    buckets then stay bounded however dense the hottest series gets.  For an
+    input the optimizer estimates below ``SIZING_MIN_BYTES`` (no job runs for
+    the estimate) the width is ``ONE_BUCKET``."""
+    from tickwise.plans.materialize import estimated_bytes
+    size = estimated_bytes(df)
+    if size is not None and size < SIZING_MIN_BYTES:
+        return ONE_BUCKET
     x = F.col(order_col)
     n_series = F.approx_count_distinct(F.struct(*keys)) if len(keys) > 1 else F.approx_count_distinct(keys[0])
     span = F.max(x) - F.min(x) + 1

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.plans import series as S
-from tickwise.plans.materialize import estimated_bytes
 
 # Fixed values of the price-walk fixture (must match the SQL oracle):
 # start at 5000.00 (500000 cents); each tick moves by
@@ -43,21 +42,11 @@ def _ticks(lineitem: DataFrame) -> DataFrame:
     )
 
 
-# Inputs estimated below this many bytes are walked one chunk per (ticker,
-# ship time) group: no group can then outgrow a task, and the sizing scan is
-# skipped.
-CHUNK_SIZING_MIN_BYTES = 256 << 20
-ONE_CHUNK = 1 << 62
-
-
 def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16):
     """Orderkey width of a tick chunk so that a chunk holds about
     ``target_rows`` ticks of one (ticker, ship time) group (a scalar-subquery
     Column, evaluated inside the same job; no separate driver action).  For a
     small input (optimizer estimate, no job) the whole group is one chunk."""
-    size = estimated_bytes(lineitem)
-    if size is not None and size < CHUNK_SIZING_MIN_BYTES:
-        return ONE_CHUNK
     keyed = lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("ticker"),
                             "l_shipdate", "l_orderkey")
     return S.adaptive_width(keyed, "l_orderkey", ["ticker", "l_shipdate"], target_rows)
