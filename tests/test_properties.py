@@ -26,13 +26,15 @@ def panels(draw):
         for g, c in zip(gaps, closes):
             day += g
             rows.append((f"T{t}", START + dt.timedelta(days=day), float(c)))
-    return rows, draw(st.sampled_from([8, 16, 64])), draw(st.integers(2, 12))
+    return rows, draw(st.sampled_from([8, 16, 64])), draw(st.integers(2, 12)), draw(st.booleans())
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=panels())
-def test_blocked_series_equal_pandas(spark, data):
-    rows, block_rows, n = data
+def test_blocked_series_equal_pandas(spark, monkeypatch, data):
+    rows, block_rows, n, sized = data
+    from tickwise.plans import series as S
+    monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0 if sized else 256 << 20)
     df = spark.createDataFrame(rows, "ticker string, d date, close double")
     # rolling frame and cummax on blocks as small as the halo allows
     f = I.prepare(df, n, block_rows=max(block_rows, n))

@@ -22,15 +22,20 @@ def _by_ticker(bars_pd, fn):
     return pd.concat([fn(g) for _, g in bars_pd.groupby("ticker", sort=True)]).reset_index(drop=True)
 
 
-def test_index_is_dense_and_ordered(bars_small, bars_pd):
+@pytest.mark.parametrize("sized", [False, True])
+def test_index_is_dense_and_ordered(bars_small, bars_pd, monkeypatch, sized):
+    if sized:  # the bucketed path taken by large inputs
+        monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     idx = S.index_series(bars_small, ["ticker"], ["d"], S.date_bucket("d", 8)).toPandas()
     idx = idx.sort_values(["ticker", "d"])
     for _, g in idx.groupby("ticker"):
         assert list(g["_i"]) == list(range(len(g)))
 
 
-@pytest.mark.parametrize("block_rows", [64, 256])
-def test_rolling_and_scans_across_blocks(bars_small, bars_pd, block_rows):
+@pytest.mark.parametrize("block_rows,sized", [(64, True), (256, False)])
+def test_rolling_and_scans_across_blocks(bars_small, bars_pd, block_rows, sized, monkeypatch):
+    if sized:
+        monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     f = I.prepare(bars_small, 50, block_rows=block_rows)
     f = I.add_sma(f, 20)
     f = I.add_rolling_std(f, 20)

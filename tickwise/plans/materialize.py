@@ -36,9 +36,11 @@ REUSE_MIN_BYTES_DEFAULT = 1 << 30
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job runs); None if unknown."""
+    """Catalyst's size estimate of ``df`` (file sizes carried up the plan);
+    read from the analyzed plan, which already exists, so neither a job nor
+    an optimizer pass runs.  None if unknown."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. a remote session without the JVM handle
         return None
 

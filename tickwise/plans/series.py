@@ -86,9 +86,16 @@ def index_series(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Co
 
     ``order`` must be a total order within a series and ``bucket`` must be
     non-decreasing along it.  No task sorts more than one (series, bucket)
-    group, and the offset table has one row per (series, bucket).
+    group, and the offset table has one row per (series, bucket).  An input
+    the optimizer estimates below ``SIZING_MIN_BYTES`` is one bucket per
+    series, so the position is a plain row number (no offset table or join).
     """
+    from tickwise.plans.materialize import estimated_bytes
     keys = list(keys)
+    size = estimated_bytes(df)
+    if size is not None and size < SIZING_MIN_BYTES:
+        return df.withColumn(IDX, (F.row_number().over(
+            Window.partitionBy(*keys).orderBy(*_cols(order))) - 1).cast("long"))
     tb, rn, off = "_tb", "_rn", "_off"
     staged = df.withColumn(tb, bucket)
     ranked = staged.withColumn(rn, F.row_number().over(
