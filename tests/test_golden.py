@@ -139,3 +139,22 @@ def test_backtest_metrics_match_pandas_formula(spark):
     for name in ("SMA Crossover", "RSI Filter", "Bollinger Bands"):
         assert m[name]["final_equity"] == pytest.approx(10000.0)
         assert m[name]["sharpe_ratio"] == 0.0
+
+
+def test_kde_against_brute_force_and_constant_series(spark):
+    import numpy as np
+
+    from tickwise.operators import correlation as CR
+    rng = np.random.default_rng(7)
+    vals = rng.normal(0, 0.01, 300)
+    rows = [("A", i, float(v)) for i, v in enumerate(vals)] + [("C", i, 0.5) for i in range(20)]
+    df = spark.createDataFrame(rows, "ticker string, i int, ret double").repartition(5)
+    out = CR.return_density(df, gridsize=50).toPandas()
+    a = out[out.ticker == "A"].sort_values("k")
+    n, h = len(vals), vals.std(ddof=1) * len(vals) ** -0.2
+    grid = np.linspace(vals.min() - 3 * h, vals.max() + 3 * h, 50)
+    exp = np.exp(-((grid[:, None] - vals[None, :]) / h) ** 2 / 2).sum(axis=1) / (n * h * np.sqrt(2 * np.pi))
+    np.testing.assert_allclose(a["x"].to_numpy(), grid, rtol=1e-12, atol=1e-15)
+    np.testing.assert_allclose(a["density"].to_numpy(), exp, rtol=1e-9)
+    c = out[out.ticker == "C"]
+    assert len(c) == 50 and c["density"].isna().all()

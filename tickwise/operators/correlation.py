@@ -12,7 +12,9 @@ Scale notes:
   calendar; no cross join;
 * the correlation matrix is a distributed Gram: each partition of dates adds
   up its own cross products (numpy, one pass) and the partial sums are
-  reduced by pair.  No per-date pair rows are ever produced.
+  reduced by pair.  No per-date pair rows are ever produced;
+* the KDE likewise adds each partition's kernels into the grid (numpy) and
+  reduces the partial grids; samples are never paired with grid rows.
 """
 
 from __future__ import annotations
@@ -204,24 +206,55 @@ def rolling_corr(pair_returns: DataFrame, n: int = 30, block_rows: int | None =
 
 # ------------------------------------------------------------------ D8
 
+def _kde_partials(batches: Iterator[pd.DataFrame], gridsize: int) -> Iterator[pd.DataFrame]:
+    """Per partition: every sample's Gaussian kernel at each of its ticker's
+    ``gridsize`` grid points (one numpy array per batch), summed per ticker.
+    Rows with no positive bandwidth contribute nothing."""
+    k = np.arange(gridsize)
+    acc: dict[str, np.ndarray] = {}
+    for pdf in batches:
+        pdf = pdf[pdf["h"] > 0]
+        if pdf.empty:
+            continue
+        h = pdf["h"].to_numpy()[:, None]
+        x = pdf["g0"].to_numpy()[:, None] + k[None, :] * pdf["step"].to_numpy()[:, None]
+        z = (x - pdf["ret"].to_numpy()[:, None]) / h
+        kern = np.exp(-(z * z) / 2)
+        codes, names = pd.factorize(pdf["ticker"])
+        sums = np.zeros((len(names), gridsize))
+        np.add.at(sums, codes, kern)
+        for name, row in zip(names, sums):
+            acc[name] = acc[name] + row if name in acc else row
+    if acc:
+        names = list(acc)
+        yield pd.DataFrame({"ticker": np.repeat(names, gridsize), "k": np.tile(k, len(names)).astype("int32"),
+                            "s": np.concatenate([acc[t] for t in names])})
+
+
 def return_density(complete: DataFrame, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian KDE of each ticker's returns on a ``gridsize`` grid from
     min - cut*h to max + cut*h, Scott bandwidth h = std * n^(-1/5).
-    Equal returns are pre-aggregated with a weight, so the grid join grows
-    with distinct values, not with rows."""
-    r = complete.filter(F.col("ret").isNotNull())
+
+    Samples are never grouped by ticker or paired with grid rows: each
+    partition adds its own samples' kernels into the grid points of their
+    tickers (numpy), and the partial sums (tickers x grid per partition) are
+    reduced by (ticker, k).  NULL density where the bandwidth is not positive
+    (a constant series or one sample)."""
+    r = complete.filter(F.col("ret").isNotNull()).select("ticker", "ret")
     st = r.groupBy("ticker").agg(F.count("ret").alias("n"), F.stddev_samp("ret").alias("sd"),
                                  F.min("ret").alias("lo"), F.max("ret").alias("hi"))
-    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    grid = st.select("ticker", "n", "h",
-                     F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("k"),
-                     (F.col("lo") - F.col("h") * cut).alias("g0"),
-                     ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (gridsize - 1)).alias("step"))
-    grid = grid.withColumn("x", F.col("g0") + F.col("k") * F.col("step")).drop("g0", "step")
-    w = r.groupBy("ticker", "ret").agg(F.count(F.lit(1)).alias("w"))
-    z = (F.col("x") - F.col("ret")) / F.col("h")
-    kern = F.col("w") * F.exp(-(z * z) / 2)
-    dens = (grid.join(w, "ticker").groupBy("ticker", "k", "x", "n", "h")
-            .agg(F.sum(kern).alias("_s")))
-    return dens.select("ticker", "k", "x",
-                       (F.col("_s") / (F.col("n") * F.col("h") * np.sqrt(2 * np.pi))).alias("density"))
+    h = F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    st = st.select("ticker", "n", h.alias("h"), "lo", "hi").select(
+        "ticker", "n", "h",
+        (F.col("lo") - F.col("h") * cut).alias("g0"),
+        ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (gridsize - 1)).alias("step"))
+    parts = r.join(st.select("ticker", "h", "g0", "step"), "ticker").mapInPandas(
+        lambda it: _kde_partials(it, gridsize), "ticker string, k int, s double")
+    sums = parts.groupBy("ticker", "k").agg(F.sum("s").alias("_s"))
+    grid = st.select("ticker", "n", "h", "g0", "step",
+                     F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("k"))
+    out = grid.join(sums, ["ticker", "k"], "left")
+    x = F.col("g0") + F.col("k") * F.col("step")
+    dens = F.when(F.col("h") > 0, F.coalesce(F.col("_s"), F.lit(0.0))
+                  / (F.col("n") * F.col("h") * np.sqrt(2 * np.pi)))
+    return out.select("ticker", "k", x.alias("x"), dens.alias("density"))
