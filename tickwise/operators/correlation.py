@@ -81,72 +81,112 @@ def aligned_matrix(bars: DataFrame, field: str = "close") -> DataFrame:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition (rows sorted by date): for every ticker pair seen,
-    sum over dates of x_a * x_b; diagonal rows also carry the ticker's sum
-    and count.  Pairs are keyed with ticker_a <= ticker_b."""
-    index: dict[str, int] = {}
-    gram = np.zeros((0, 0))
-    sums = np.zeros(0)
-    counts = np.zeros(0)
-    pending = None
+class _GramAcc:
+    """Running sums over dates for one set of tickers: x_a * x_b per pair,
+    and per ticker its sum and count."""
 
-    def add(chunk: pd.DataFrame):
-        nonlocal gram, sums, counts
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.gram = np.zeros((0, 0))
+        self.sums = np.zeros(0)
+        self.counts = np.zeros(0)
+
+    def add(self, chunk: pd.DataFrame) -> None:
         for t in chunk["ticker"].unique():
-            if t not in index:
-                index[t] = len(index)
-        k = len(index)
-        if k > gram.shape[0]:
+            if t not in self.index:
+                self.index[t] = len(self.index)
+        k = len(self.index)
+        if k > self.gram.shape[0]:
             g = np.zeros((k, k))
-            g[:gram.shape[0], :gram.shape[1]] = gram
-            gram = g
-            sums = np.concatenate([sums, np.zeros(k - len(sums))])
-            counts = np.concatenate([counts, np.zeros(k - len(counts))])
+            g[:self.gram.shape[0], :self.gram.shape[1]] = self.gram
+            self.gram = g
+            self.sums = np.concatenate([self.sums, np.zeros(k - len(self.sums))])
+            self.counts = np.concatenate([self.counts, np.zeros(k - len(self.counts))])
         _, rows = np.unique(chunk["d"].to_numpy(), return_inverse=True)
-        cols = chunk["ticker"].map(index).to_numpy()
+        cols = chunk["ticker"].map(self.index).to_numpy()
         mat = np.zeros((rows.max() + 1, k))
         seen = np.zeros((rows.max() + 1, k))
         mat[rows, cols] = chunk["x"].to_numpy()
         seen[rows, cols] = 1.0
-        gram += mat.T @ mat
-        sums += mat.sum(axis=0)
-        counts += seen.sum(axis=0)
-
+        self.gram += mat.T @ mat
+        self.sums += mat.sum(axis=0)
+        self.counts += seen.sum(axis=0)
+
+    def frame(self, blocks: dict | None = None) -> pd.DataFrame:
+        """Pairs keyed ticker_a <= ticker_b; diagonal rows carry the sum and
+        count.  With ``blocks`` (ticker -> block) only cross-block pairs."""
+        names = np.array(list(self.index), dtype=object)
+        ia, ib = np.triu_indices(len(names))
+        if blocks is not None:
+            bl = np.array([blocks[t] for t in names])
+            keep = bl[ia] != bl[ib]
+            ia, ib = ia[keep], ib[keep]
+        a, b = names[ia], names[ib]
+        swap = a > b
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        diag = ia == ib
+        return pd.DataFrame({"ticker_a": a, "ticker_b": b, "sxy": self.gram[ia, ib],
+                             "s": np.where(diag, self.sums[ia], 0.0), "n": np.where(diag, self.counts[ia], 0.0)})
+
+
+def _complete_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Re-cut Arrow batches (rows sorted by ``keys``) so that no key group is
+    split: each yielded frame holds whole groups."""
+    pending = None
     for pdf in batches:
         if pending is not None:
             pdf = pd.concat([pending, pdf], ignore_index=True)
         if pdf.empty:
             continue
-        last = pdf["d"].iloc[-1]
-        done, pending = pdf[pdf["d"] != last], pdf[pdf["d"] == last]
+        last = pdf[keys].iloc[-1]
+        is_last = np.logical_and.reduce([pdf[k].to_numpy() == last[k] for k in keys])
+        done, pending = pdf[~is_last], pdf[is_last]
         if not done.empty:
-            add(done)
+            yield done
     if pending is not None and not pending.empty:
-        add(pending)
-    if not index:
-        return
-    names = np.array(list(index), dtype=object)
-    ia, ib = np.triu_indices(len(names))
-    a, b = names[ia], names[ib]
-    swap = a > b
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    diag = ia == ib
-    yield pd.DataFrame({"ticker_a": a, "ticker_b": b, "sxy": gram[ia, ib],
-                        "s": np.where(diag, sums[ia], 0.0), "n": np.where(diag, counts[ia], 0.0)})
-
-
-def corr_matrix(complete: DataFrame, partitions: int | None = None) -> DataFrame:
+        yield pending
+
+
+def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per partition (rows sorted by tile and date): for every tile, the sums
+    over dates of x_a * x_b for the pairs it owns.  A diagonal tile owns all
+    pairs of its ticker block (and the per-ticker sums and counts); an
+    off-diagonal tile owns the pairs across its two blocks."""
+    accs: dict[tuple, _GramAcc] = {}
+    blocks: dict[str, int] = {}
+    for chunk in _complete_groups(batches, ["_ta", "_tb", "d"]):
+        for (ta, tb), sub in chunk.groupby(["_ta", "_tb"], sort=False):
+            accs.setdefault((ta, tb), _GramAcc()).add(sub)
+            blocks.update(zip(sub["ticker"], sub["_blk"]))
+    for (ta, tb), acc in accs.items():
+        if acc.index:
+            yield acc.frame(None if ta == tb else blocks)
+
+
+def corr_matrix(complete: DataFrame, partitions: int | None = None,
+                tile_tickers: int = 1024) -> DataFrame:
     """Pearson correlation of every ticker pair over listwise-complete
     returns, mirrored, diagonal included; NULL for a constant series or
     fewer than 2 dates.
 
-    One pass: each partition of dates adds its cross products (numpy), the
-    partials are summed per pair, and two windows over the small pair table
-    fetch each side's sum, square sum and count from its diagonal row."""
+    One pass: each partition of (tile, date) groups adds its cross products
+    (numpy), the partials are summed per pair, and two windows over the pair
+    table fetch each side's sum, square sum and count from its diagonal
+    row.  Tickers are tiled in blocks of ``tile_tickers``, so per-task state
+    is at most two blocks square, however large the universe."""
     x = complete.select("d", "ticker", F.col("ret").alias("x"))
-    by_date = x.repartition(partitions, "d") if partitions else x.repartition("d")
-    parts = by_date.sortWithinPartitions("d").mapInPandas(
+    # Tickers in blocks of ``tile_tickers`` (dense ids over the ticker list,
+    # which is bounded by the universe); a row of block b goes to the nb tiles
+    # (min(b, j), max(b, j)), so no task ever holds a T x T matrix.
+    ids = x.select("ticker").distinct().select(
+        "ticker", F.floor((F.dense_rank().over(Window.orderBy("ticker")) - 1) / tile_tickers).alias("_blk"))
+    nb = ids.select(F.max("_blk") + 1).scalar()
+    j = F.explode(F.sequence(F.lit(0), nb - 1))
+    tiled = (x.join(ids, "ticker").withColumn("_j", j)
+             .withColumn("_ta", F.least("_blk", "_j")).withColumn("_tb", F.greatest("_blk", "_j")).drop("_j"))
+    keys = ["_ta", "_tb", "d"]
+    by_tile = tiled.repartition(partitions, *keys) if partitions else tiled.repartition(*keys)
+    parts = by_tile.sortWithinPartitions(*keys).mapInPandas(
         _partial_gram, "ticker_a string, ticker_b string, sxy double, s double, n double")
     sums = parts.groupBy("ticker_a", "ticker_b").agg(
         F.sum("sxy").alias("sxy"), F.sum("s").alias("s"), F.sum("n").alias("n"))
