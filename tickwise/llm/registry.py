@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import extract, mixing, secret_scan, urlfilter
+from . import extract, mixing, quality, secret_scan, toxicity, urlfilter
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_urlfilter": urlfilter.op4_urlfilter,
     "op7_secrets": secret_scan.op7_secrets,
     "op9_extract": extract.op9_extract,
+    "op10_quality": quality.op10_quality,
 }
 SQL = {
     "op2_mixing": mixing.SQL,

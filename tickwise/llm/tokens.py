@@ -60,7 +60,8 @@ POWERS = _Powers()
 
 def groups(column: pa.Array, most: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a text column (null: empty) into runs of texts of at most ``most``
-    bytes, a longer text alone: first and last row, bytes, offsets."""
+    bytes: first and last row, bytes, offsets.  A longer text comes alone, in
+    pieces that end at a blank (one after the other, with the same rows)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -74,15 +75,27 @@ def groups(column: pa.Array, most: int = PIECE) -> Iterator[tuple[int, int, np.n
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, side="right")) - 1)
         hi = min(hi, lo + 65536, n)
-        yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        a, z = int(offsets[lo]), int(offsets[hi])
+        if z - a <= most:
+            yield lo, hi, data[a:z], offsets[lo : hi + 1] - a
+        while z - a > most:
+            blanks = np.flatnonzero(SPACE[data[a + most : min(z, a + 2 * most)]])
+            to, step = a + most, 2 * most
+            while not len(blanks) and a + step < z:  # a word longer than a piece
+                blanks, to, step = np.flatnonzero(SPACE[data[a + step : min(z, a + 2 * step)]]), a + step, 2 * step
+            cut = to + int(blanks[0]) if len(blanks) else z
+            yield lo, hi, data[a:cut], np.array([0, cut - a])
+            a = cut
+            if z - a <= most and z > a:
+                yield lo, hi, data[a:z], np.array([0, z - a])
         lo = hi
 
 
-def word_ranges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_ranges(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text index of each word.  Texts stand back to back."""
     if not len(data):
         return (np.zeros(0, np.int64),) * 3
-    solid = ~SPACE[data]
+    solid = ~blank[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     first = solid & edge[:-1]
@@ -137,11 +150,32 @@ def shingles(words: np.ndarray, owner: np.ndarray, texts: int, width: int = 5) -
     return h, of
 
 
+def whole(parts: Iterator[tuple]) -> Iterator[tuple]:
+    """Join the pieces of a long text again: items are (first row, last row,
+    arrays..., owner); pieces of one text follow each other."""
+    held: list[tuple] = []
+    for part in parts:
+        if held and part[0] != held[0][0]:
+            yield held[0] if len(held) == 1 else (*held[0][:2], *(np.concatenate(x) for x in zip(*(h[2:] for h in held))))
+            held = []
+        held.append(part)
+    if held:
+        yield held[0] if len(held) == 1 else (*held[0][:2], *(np.concatenate(x) for x in zip(*(h[2:] for h in held))))
+
+
+def hashed_words(column: pa.Array, fold: np.ndarray = LOWER) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row, word hashes and their text index, for runs of whole texts."""
+    def parts():
+        for lo, hi, data, offsets in groups(column):
+            starts, ends, owner = word_ranges(data, offsets)
+            yield lo, hi, range_hashes(data, starts, ends, fold), owner
+    return whole(parts())
+
+
 def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[tuple[int, np.ndarray]]:
     """Row and sorted distinct shingle hashes of every text of the column."""
-    for lo, hi, data, offsets in groups(column):
-        starts, ends, owner = word_ranges(data, offsets)
-        h, of = shingles(range_hashes(data, starts, ends), owner, hi - lo, width)
+    for lo, hi, words, owner in hashed_words(column):
+        h, of = shingles(words, owner, hi - lo, width)
         cut = np.searchsorted(of, np.arange(hi - lo + 1))
         for i in range(hi - lo):
             yield lo + i, np.unique(h[cut[i] : cut[i + 1]])
