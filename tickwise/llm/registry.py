@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from . import decontam, extract, mixing, neardup, quality, secret_scan, toxicity, urlfilter
+from . import decontam, extract, mixing, neardup, quality, secret_scan, sharding, topk, toxicity, urlfilter
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
     "op2_mixing": mixing.op2_mixing,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_urlfilter": urlfilter.op4_urlfilter,
     "op5_decontam": decontam.op5_decontam,
+    "op6_sharding": sharding.op6_sharding,
     "op7_secrets": secret_scan.op7_secrets,
     "op8_neardup": neardup.op8_neardup,
     "op9_extract": extract.op9_extract,
     "op10_quality": quality.op10_quality,
 }
 SQL = {
+    "op1_topk": topk.SQL,
     "op2_mixing": mixing.SQL,
     "op4_urlfilter": urlfilter.SQL,
     "op5_decontam": decontam.SQL,
