@@ -7,11 +7,15 @@ that differ in at most ``CHUNKS * (ERRORS + 1) - 1`` minima have a chunk with
 at most ``ERRORS`` differing minima; listing, for each chunk, what is left
 when ``ERRORS`` of its minima are taken out gives keys of which such a pair
 shares one.  At a similarity of 0.75 that misses a pair with a probability of
-6e-6, and less above.  A second sketch (256 minima of two bits, whose Hamming
-distance is taken inside the join) drops pairs more than 5.5 deviations off,
-2e-8 at 0.75; what is left is confirmed on the full sets.
-
-No group is expanded into all its pairs.  First every member of a key is
+6e-6, and less above.  Two sketches are compared inside the join, so that
+hopeless pairs never become rows: an odd sketch of ``ODD`` bits (each shingle
+flips one; as many bits differ as shingles do, or fewer, so a pair with more
+than a seventh of both sizes is certainly below 0.75), and, for large sets,
+256 minima of two bits, which drops pairs more than 5.5 deviations off, 2e-8
+at 0.75.  What is left is confirmed on the full sets.
+
+No group is expanded into all its pairs.  Of keys with the same members one
+is kept.  First every member of a key is
 compared with one hub, the member that shares most keys.  The components of
 these links are then compared across only: in each key, members outside its
 largest component with the others.  A key held by thousands of near copies of
@@ -41,6 +45,9 @@ BITS = 16
 MINIMA = CHUNKS * WIDTH
 SKETCH = 256  # minima of two bits each, in eight longs
 LONGS = [f"s{i}" for i in range(SKETCH // 32)]
+ODD = 1024  # bits of the odd sketch
+ODDS = [f"o{i}" for i in range(ODD // 64)]
+SKETCHES = [*LONGS, *ODDS]
 FARTHEST = 82  # of 256: 48 expected at 0.75, deviation 6.24
 #: Links: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
@@ -66,11 +73,11 @@ def signed(x) -> pa.Array:
 
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, set size, fingerprint of the set, signature and sketch."""
-    schema = "doc_id long, n long, f1 long, f2 long, sig binary, " + ", ".join(f"{c} long" for c in LONGS)
+    schema = "doc_id long, n long, f1 long, f2 long, sig binary, " + ", ".join(f"{c} long" for c in SKETCHES)
 
     def run(batches):
         for b in batches:
-            n, f1, f2, sig, sketch = [], [], [], [], []
+            n, f1, f2, sig, sketch, odd = [], [], [], [], [], []
             for _, h in T.shingle_sets(b.column(1)):
                 n.append(len(h))
                 f1.append(int(T.mix(h + T.U(11)).sum()) & T.MASK if len(h) else 0)
@@ -79,10 +86,12 @@ def features(docs: DataFrame) -> DataFrame:
                 sig.append(m[:MINIMA].astype(np.uint16).tobytes() if len(h) else None)
                 two = ((m >> T.U(40)) & T.U(3)).reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * T.U(2))
                 sketch.append(np.bitwise_or.reduce(two, 1))
-            s = np.array(sketch, np.uint64).reshape(-1, len(LONGS))
+                flips = np.bincount((h >> T.U(20)).astype(np.int64) & (ODD - 1), minlength=ODD) & 1
+                odd.append(np.packbits(flips.astype(np.uint8)).view(np.uint64))
+            s = np.concatenate([np.array(sketch, np.uint64).reshape(-1, len(LONGS)), np.array(odd, np.uint64).reshape(-1, len(ODDS))], 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), signed(f1), signed(f2), pa.array(sig, pa.binary()), *(signed(s[:, i].copy()) for i in range(len(LONGS)))],
-                ["doc_id", "n", "f1", "f2", "sig", *LONGS])
+                [b.column(0), pa.array(n, pa.int64()), signed(f1), signed(f2), pa.array(sig, pa.binary()), *(signed(s[:, i].copy()) for i in range(len(SKETCHES)))],
+                ["doc_id", "n", "f1", "f2", "sig", *SKETCHES])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
@@ -116,10 +125,19 @@ def distance(a: str, b: str):
     return reduce(lambda p, q: p + q, parts)
 
 
+def odd_distance(a: str, b: str):
+    """Differing bits of two odd sketches: at most as many as there are
+    shingles in one set only."""
+    return reduce(lambda p, q: p + q, [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ODDS])
+
+
 def may_link(a: str, b: str):
-    """Sizes and sketches of two classes allow the similarity."""
+    """Sizes and sketches of two classes allow the similarity.  With sets x
+    and y, 100 both >= SIMILAR (x + y - both) says that the shingles in one
+    set only are (100 - SIMILAR) / (100 + SIMILAR) of x + y at most."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & (distance(a, b) <= FARTHEST)
+    return ((100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & ((100 + SIMILAR) * odd_distance(a, b) <= (100 - SIMILAR) * (n + m))
+            & (distance(a, b) <= FARTHEST))
 
 
 def with_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
@@ -176,18 +194,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     solid = every.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stash(solid.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node")))
     own = solid.withColumnRenamed("doc_id", "node").join(classes, ["f1", "f2", "n", "node"]).dropDuplicates(["node"])
-    nodes = stash(own.select("node", "n", "sig", *LONGS))
+    nodes = stash(own.select("node", "n", "sig", *SKETCHES))
 
     keyed = chunk_keys(nodes)
-    shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = keyed.groupBy("key").agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), F.col("node"))).alias("m2")).where("size > 1")
+    shared = shared.groupBy("size", "m1", "m2").agg(F.min("key").alias("key")).select("key", "size")
     live = stash(keyed.join(shared, "key"))
     seen = live.groupBy("node").agg(F.sum("size").alias("seen"))
     info = stash(nodes.drop("sig").join(seen, "node"))
     sets = stash(shingle_table(with_ids(docs.select("doc_id", "text"), info.select("node"), "doc_id")))
 
     members = live.select("key", "node").join(info, "node")
-    hubs = members.groupBy("key").agg(F.max(F.struct("seen", -F.col("node"), "node", "n", *LONGS)).alias("hub")).select(
-        "key", *[F.col(f"hub.{c}").alias(c) for c in ("node", "n", *LONGS)])
+    hubs = members.groupBy("key").agg(F.max(F.struct("seen", -F.col("node"), "node", "n", *SKETCHES)).alias("hub")).select(
+        "key", *[F.col(f"hub.{c}").alias(c) for c in ("node", "n", *SKETCHES)])
     star = (members.alias("m").join(hubs.alias("h"), F.col("m.key") == F.col("h.key"))
             .where((F.col("m.node") != F.col("h.node")) & may_link("m", "h"))
             .select(F.col("m.node").alias("a"), F.col("h.node").alias("b")).distinct())
