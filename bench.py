@@ -31,6 +31,22 @@ HEADLINE = [
 ]
 
 
+def timed(spark, fn, sf_dir: str, repeats: int = 3) -> float:
+    """Median seconds of ``repeats`` runs after one warm-up; the tables that a
+    run writes for itself are deleted after it."""
+    from tickwise.plans.materialize import release
+
+    def run():
+        t0 = time.perf_counter()
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        took = time.perf_counter() - t0
+        release(spark)
+        return took
+
+    run()  # warm-up: JIT, codegen caches, file listing
+    return round(statistics.median(run() for _ in range(repeats)), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -44,15 +60,7 @@ def main() -> None:
     for name in HEADLINE:
         if name not in QUERIES:
             continue
-        fn = QUERIES[name]
-
-        def run():
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            return time.perf_counter() - t0
-
-        run()  # warm-up: JIT, codegen caches, file listing
-        times[name] = round(statistics.median(run() for _ in range(repeats)), 3)
+        times[name] = timed(spark, QUERIES[name], sf_dir, repeats)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "sum of median query wall time",

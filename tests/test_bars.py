@@ -24,31 +24,10 @@ def test_bars_match_walk_with_many_chunks_per_day(spark, expected, width):
     assert digest(norm(got)) == expected
 
 
-def test_reused_bars_written_once_give_the_same_leaderboard(spark):
-    """Force the write-once path (threshold 0) and compare with recomputing."""
-    from tickwise.catalog import QUERIES
-    from tickwise.plans.materialize import REUSE_MIN_BYTES_CONF
-    cols = ["ticker", "strategy", "final_equity", "return_pct", "sharpe"]
-    plain = QUERIES["leaderboard"](spark, SF_SMALL).select(*cols).toPandas()
-    spark.conf.set(REUSE_MIN_BYTES_CONF, "0")
-    try:
-        df = QUERIES["leaderboard"](spark, SF_SMALL)
-        assert any("/tables/bars-" in f for f in df.inputFiles())
-        assert not any("lineitem" in f for f in df.inputFiles())
-        written = df.select(*cols).toPandas()
-        corr = QUERIES["corr_matrix"](spark, SF_SMALL).toPandas()
-    finally:
-        spark.conf.unset(REUSE_MIN_BYTES_CONF)
-    assert digest(norm(plain)) == digest(norm(written))
-    assert digest(norm(corr)) == digest(norm(QUERIES["corr_matrix"](spark, SF_SMALL).toPandas()))
-
-
-def test_sized_chunks_from_the_data(spark, expected, monkeypatch):
-    """The sizing subquery (used on large inputs) with a tiny target: many
+def test_sized_chunks_from_the_data(spark, expected):
+    """The sizing subquery with a tiny target: many
     data-sized chunks per day, same bars."""
-    from tickwise.plans import series as S
     from tickwise.sources import fixtures as FX
-    monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     li = FX.table(spark, SF_SMALL, "lineitem")
     width = FX.chunk_width(li, target_rows=3)
     assert not isinstance(width, int)

@@ -115,26 +115,23 @@ def test_constant_series_correlation_is_null(spark):
     assert vals[("B", "B")] == pytest.approx(1.0)
 
 
-def _pandas_backtest(close, signal, capital=10000.0):
-    import numpy as np
-    ret = close.pct_change()
-    strat = ret * signal.shift(1)
-    eq = (1 + strat).cumprod() * capital
-    std, mean = strat.std(), strat.mean()
-    return eq.iloc[-1], (mean / std * np.sqrt(252)) if std > 0 else 0.0
-
-
-def test_backtest_metrics_match_pandas_formula(spark):
-    import numpy as np
-    import pandas as pd
+def test_backtest_by_hand(spark):
+    """Long from the second bar: equity grows 100 -> 110 -> 99, on 10,000."""
+    import datetime as dt
+    rows = [("T", dt.date(2020, 1, k + 1), c, sg, po) for k, (c, sg, po) in enumerate(
+        [(100.0, 1.0, None), (110.0, 1.0, 1.0), (99.0, 0.0, 1.0), (120.0, 0.0, 0.0)])]
+    df = spark.createDataFrame(rows, "ticker string, d date, close double, signal double, position double")
+    curve = BT.backtest_signals(df).orderBy("d").collect()
+    assert [None if r.equity is None else round(r.equity, 6) for r in curve] == [None, 11000.0, 9900.0, 9900.0]
+    m = BT.signal_metrics(df).first()
+    assert m.final_equity == pytest.approx(9900.0) and m.total_return == pytest.approx(-0.01)
+    # returns 0.1, -0.1, 0: mean 0, so the ratio is 0 too
+    assert m.sharpe_ratio == pytest.approx(0.0, abs=1e-12)
+
+
+def test_short_series_stay_flat(spark):
     vals = [100, 101, 99, 102, 103, 101, 104, 103, 106, 105, 107, 104, 108]
     m = {r["strategy"]: r for r in BT.run_all(series_df(spark, vals)).collect()}
-    close = pd.Series(vals, dtype=float)
-    macd = close.ewm(span=12, adjust=False).mean() - close.ewm(span=26, adjust=False).mean()
-    sig = pd.Series(np.where(macd > macd.ewm(span=9, adjust=False).mean(), 1.0, 0.0))
-    eq, sh = _pandas_backtest(close, sig)
-    assert m["MACD Momentum"]["final_equity"] == pytest.approx(eq, rel=1e-12)
-    assert m["MACD Momentum"]["sharpe_ratio"] == pytest.approx(sh, rel=1e-9)
     # fewer bars than every rolling window: flat, equity unchanged, Sharpe 0
     for name in ("SMA Crossover", "RSI Filter", "Bollinger Bands"):
         assert m[name]["final_equity"] == pytest.approx(10000.0)
@@ -171,3 +168,60 @@ def test_corr_matrix_tiled_equals_untiled(spark, tile):
     assert set(got) == set(ref) and len(ref) == 36
     for k, v in ref.items():
         assert (v is None and got[k] is None) or abs(got[k] - v) < 1e-12, k
+
+
+def test_padding_before_returns(spark):
+    """A missing close is the last one before it: the move after the gap is kept whole."""
+    import datetime as dt
+
+    from tickwise.operators import correlation as CR
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    rows = [("A", day(k), v) for k, v in enumerate([100.0, None, 110.0, 121.0])]
+    rows += [("B", day(k), 50.0 + k) for k in (0, 1, 3)]
+    df = spark.createDataFrame(rows, "ticker string, d date, close double")
+    ret = {(r.ticker, r.d): r.ret for r in CR.daily_returns(df).collect()}
+    assert [ret["A", day(k)] for k in range(2)] == [None, 0.0]
+    assert ret["A", day(2)] == pytest.approx(0.1) and ret["A", day(3)] == pytest.approx(0.1)
+    assert ret["B", day(2)] == 0.0 and ret["B", day(3)] == pytest.approx(53 / 51 - 1)
+    for block_rows in (1, 2):
+        closes = CR.padded_closes(df, block_rows=block_rows).orderBy("ticker", "d").collect()
+        assert [r.close for r in closes] == [100.0, 100.0, 110.0, 121.0, 50.0, 51.0, 51.0, 53.0]
+
+
+def test_constant_returns_have_no_correlation(spark):
+    import datetime as dt
+
+    from tickwise.operators import correlation as CR
+    rows = [(t, dt.date(2020, 1, 1) + dt.timedelta(days=k), r) for k in range(10)
+            for t, r in (("A", 0.1), ("B", 0.01 * (k % 3)), ("C", 1e6 + 1e-3 * k), ("D", -2e-3 * k))]
+    c = CR.corr_matrix(spark.createDataFrame(rows, "ticker string, d date, ret double")).collect()
+    v = {(r.ticker_a, r.ticker_b): r["corr"] for r in c}
+    assert len(v) == 16 and all(v["A", t] is None and v[t, "A"] is None for t in "ABCD")
+    assert v["B", "B"] == pytest.approx(1.0) and v["C", "D"] == pytest.approx(-1.0, abs=1e-6)
+
+
+def test_one_tile_is_held_at_a_time():
+    """Fed tile after tile, the partial products hand each on when the next begins."""
+    import pandas as pd
+
+    from tickwise.operators import correlation as CR
+    live = []
+
+    class Acc(CR._GramAcc):
+        def __init__(self):
+            super().__init__()
+            live.append(self)
+
+    def batches():
+        for t in range(5):
+            yield pd.DataFrame({"_ta": t, "_tb": t, "d": [1, 1, 2, 2], "_blk": t, "ticker": [f"a{t}", f"b{t}"] * 2, "x": [1.0, 2.0, 3.0, 4.0]})
+
+    plain, CR._GramAcc = CR._GramAcc, Acc
+    try:
+        out = []
+        for frame in CR._partial_gram(batches()):
+            out.append(frame)
+            assert len([a for a in live if a.index]) <= len(out) + 1
+    finally:
+        CR._GramAcc = plain
+    assert len(out) == 5 and all(f.set_index(["ticker_a", "ticker_b"]).sxy.tolist() == [10.0, 14.0, 20.0] for f in out)

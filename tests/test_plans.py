@@ -1,7 +1,7 @@
 """Plan shape: filters and columns reach the scan, no Python in the hot
 path, windows of one frame share one exchange."""
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from tickwise.operators import indicators as I
 from tickwise.operators import medallion as M
 from tickwise.operators.zones import drop_missing
@@ -40,3 +40,32 @@ def test_drop_missing_removes_nan(spark):
     df = spark.createDataFrame([("A", float("nan"), 1.0), ("A", 1.0, 1.0), ("A", None, 1.0)],
                                "ticker string, SMA double, volatility double")
     assert drop_missing(df, ["SMA", "volatility"]).count() == 1
+
+
+def test_headline_plans_read_the_ticks_once_or_twice(spark):
+    """The walk over all ticks runs in the write of the bars alone; what is
+    left of the plan reads those."""
+    from tickwise.catalog import QUERIES
+    for name in ("technical_panel", "backtest_curves", "leaderboard", "drawdown"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "lineitem" not in p and p.count("Exchange hashpartitioning") <= 12, name
+    assert "events" not in plan(QUERIES["silver_rows"](spark, SF_SMALL))
+    # the walk itself, and the subquery that sizes its chunks (not the cached bars of the fixtures)
+    p = plan(load_bars(spark, SF_MID))
+    assert "InMemory" not in p and p.count("FileScan parquet") <= 3
+
+
+def test_no_shared_folder_no_work():
+    from tickwise.session import checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return d
+
+    class Remote:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "yarn", "getConf": staticmethod(lambda: Conf())})()
+
+    import pytest
+    with pytest.raises(ValueError):
+        checkpoint_dir(Remote())

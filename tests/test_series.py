@@ -22,20 +22,15 @@ def _by_ticker(bars_pd, fn):
     return pd.concat([fn(g) for _, g in bars_pd.groupby("ticker", sort=True)]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("sized", [False, True])
-def test_index_is_dense_and_ordered(bars_small, bars_pd, monkeypatch, sized):
-    if sized:  # the bucketed path taken by large inputs
-        monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
+def test_index_is_dense_and_ordered(bars_small, bars_pd):
     idx = S.index_series(bars_small, ["ticker"], ["d"], S.date_bucket("d", 8)).toPandas()
     idx = idx.sort_values(["ticker", "d"])
     for _, g in idx.groupby("ticker"):
         assert list(g["_i"]) == list(range(len(g)))
 
 
-@pytest.mark.parametrize("block_rows,sized", [(64, True), (256, False)])
-def test_rolling_and_scans_across_blocks(bars_small, bars_pd, block_rows, sized, monkeypatch):
-    if sized:
-        monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
+@pytest.mark.parametrize("block_rows", [64, 256])
+def test_rolling_and_scans_across_blocks(bars_small, bars_pd, block_rows):
     f = I.prepare(bars_small, 50, block_rows=block_rows)
     f = I.add_sma(f, 20)
     f = I.add_rolling_std(f, 20)
@@ -110,10 +105,9 @@ def test_backtest_curves_same_with_many_blocks(bars_small):
         np.testing.assert_allclose(x[m], y[m], rtol=1e-9)
 
 
-def test_adaptive_buckets_index_ticks_densely(spark, monkeypatch):
+def test_adaptive_buckets_index_ticks_densely(spark):
     """A width targeting ~4 rows per (ticker, bucket) gives many buckets per
     ticker; the positions must still be 0..n-1 in time order."""
-    monkeypatch.setattr(S, "SIZING_MIN_BYTES", 0)
     from tickwise.sources.fixtures import load_ticks
     from tickwise.operators.medallion import dedup_ticks
     t = dedup_ticks(load_ticks(spark, "/root/testdata/sf0.001")).select("ticker", "timestamp")
@@ -122,3 +116,60 @@ def test_adaptive_buckets_index_ticks_densely(spark, monkeypatch):
     assert t.select(S.seconds_bucket("timestamp", width).alias("b")).distinct().count() > 20
     for _, g in idx.sort_values(["ticker", "timestamp"]).groupby("ticker"):
         assert list(g["_i"]) == list(range(len(g)))
+
+
+def _one(spark, values):
+    import datetime as dt
+    return spark.createDataFrame([("T", dt.date(1900, 1, 1) + dt.timedelta(days=k), v) for k, v in enumerate(values)],
+                                 "ticker string, d date, close double")
+
+
+def test_ema_decays_by_position_over_gaps(spark):
+    values = [None, 1.0, None, 3.0, 4.0, None, None, 2.0]
+    out = I.ema(_one(spark, values), 3).orderBy("d").toPandas()["ema_3"]
+    want = pd.Series(values, dtype=float).ewm(alpha=0.5, adjust=False).mean()
+    np.testing.assert_allclose(out.to_numpy(dtype=float), want.to_numpy(), rtol=1e-14)
+    assert abs(out[3] - 7 / 3) < 1e-14
+
+
+@pytest.mark.parametrize("every", [1, 3, 997])
+def test_wilder_rsi_of_a_ticker_that_stops_and_has_gaps(spark, every):
+    """200 moving closes, then 9,000 flat ones, in many blocks of the least
+    size the halo allows; with ``every`` > 1 gaps in between."""
+    rng = np.random.default_rng(2)
+    values = list(100 + np.cumsum(rng.standard_normal(200))) + [100.0] * 9000
+    values += list(100 + np.cumsum(rng.standard_normal(20000)))
+    x = pd.Series([v if k % every == 0 or k < 200 else None for k, v in enumerate(values)], dtype=float)
+    df = _one(spark, [None if np.isnan(v) else float(v) for v in x])
+    f = I.prepare(df, S.ema_halo([1 / 14]), block_rows=1)
+    f = S.add_emas(f, ["ticker"], [("close", "y", 1 / 14, 14)])
+    out = I.finish(f).orderBy("d").toPandas()["y"].to_numpy(dtype=float)
+    want = x.ewm(alpha=1 / 14, adjust=False, min_periods=14).mean().to_numpy()
+    assert (np.isnan(out) == np.isnan(want)).all()
+    np.testing.assert_allclose(out[~np.isnan(want)], want[~np.isnan(want)], rtol=1e-10)
+
+
+def test_wilder_rsi_stays_while_flat(spark):
+    rng = np.random.default_rng(3)
+    c = pd.Series(list(100 + np.cumsum(rng.standard_normal(200))) + [100.0] * 4000)
+    d = c.diff()
+    g, l = (x.fillna(0.0).ewm(alpha=1 / 14, adjust=False, min_periods=14).mean() for x in (d.clip(lower=0), (-d).clip(lower=0)))
+    want = (100 - 100 / (1 + g / l)).to_numpy()
+    out = I.rsi_wilder(_one(spark, [float(v) for v in c])).orderBy("d").toPandas()["rsi"].to_numpy(dtype=float)
+    assert (np.isnan(out) == np.isnan(want)).all()
+    np.testing.assert_allclose(out[13:], want[13:], rtol=1e-9)
+
+
+def test_parameters_do_not_depend_on_blocks(spark):
+    from tickwise.operators import backtest as BT
+    from tickwise.operators import strategies as ST
+    rng = np.random.default_rng(4)
+    df = _one(spark, [float(v) for v in 100 * np.exp(np.cumsum(rng.standard_normal(6000) / 100))])
+    p = {"short": 40, "long": 700, "slow": 60}
+    a = BT.run_all(df, block_rows=1, **p).orderBy("strategy_ord").collect()
+    b = BT.run_all(df, **p).orderBy("strategy_ord").collect()
+    np.testing.assert_allclose([r.final_equity for r in a], [r.final_equity for r in b], rtol=1e-9)
+    one = BT.signal_metrics(ST.strategy_sma_crossover(df, 40, 700), "SMA Crossover").first()
+    assert abs(one.final_equity - b[0].final_equity) < 1e-6
+    last = BT.backtest_signals(ST.strategy_sma_crossover(df, 40, 700)).orderBy("d").collect()[-1]
+    assert abs(last.equity - one.final_equity) < 1e-6

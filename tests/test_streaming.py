@@ -69,3 +69,18 @@ def test_gold_state_across_restarts_equals_full_recompute(spark, tmp_path):
     for t in exp:
         assert abs(got[t]["avg_SMA"] - exp[t]["avg_SMA"]) < 1e-9
         assert abs(got[t]["avg_volatility"] - exp[t]["avg_volatility"]) < 1e-9
+
+
+def test_stream_keeps_the_survivor_of_batch(spark, tmp_path):
+    """Duplicates inside one micro-batch, in any order: the smallest (price,
+    source) stays, as in batch."""
+    from tickwise.operators.medallion import dedup_ticks, windowed_features
+    root = str(tmp_path)
+    t0 = 1_700_000_040
+    rows = [(t, float((7 * i) % 11 + k), t0 + 20 * (i // 3), f"s{(i * k) % 4}") for k, t in enumerate("AB") for i in range(90)]
+    _write(spark, f"{root}/bronze", rows[::-1])
+    _write(spark, f"{root}/bronze", [("A", 1.0, t0 + 4000, "s")])
+    got = {(r.ticker, r.window_start): (r.SMA, r.volatility) for r in _silver(spark, root).collect()}
+    batch = windowed_features(dedup_ticks(spark.createDataFrame(rows, TICK)), "1 minute", "30 seconds")
+    want = {(r.ticker, r.window_start): (r.SMA, r.volatility) for r in batch.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-12 for k in want)

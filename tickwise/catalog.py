@@ -3,7 +3,8 @@ DuckDB SQL.  Every query reads the driver tables and runs over all rows.
 
 Doubles are rounded identically on both sides so the value hash compares
 like with like: price levels and averages to 6 dp (exact decimals of cent
-prices stay away from ties), ratios to 6 dp, money curves to 2 dp.
+prices stay away from ties), returns and drawdowns to 12 dp, other ratios to
+6 dp, correlations to 9 dp, money curves to 2 dp.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from tickwise import oracle as O
 from tickwise.operators import backtest as BT
 from tickwise.operators import indicators as I
 from tickwise.operators import strategies as ST
+from tickwise.plans.materialize import materialize
 from tickwise.sources import fixtures as FX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,12 +50,15 @@ def sel(cols: list[tuple[str, int | None]]) -> str:
 
 
 def bars(spark, sf):
-    """Fixture bars of all of lineitem.  The indicator plans reference the
-    bars several times (index offsets, block carries, calendar); at scale the
-    bars are written once (``reuse``) instead of re-walking every tick per
-    reference."""
-    from tickwise.plans.materialize import reuse
-    return reuse(FX.load_bars(spark, sf), "bars")
+    """Fixture bars of all of lineitem, for plans that read them once."""
+    return FX.load_bars(spark, sf)
+
+
+def series_bars(spark, sf):
+    """The same, written once: a series plan reads its bars several times
+    (positions, block carries, calendar), and each reference would otherwise
+    walk every tick again, since column pruning makes them differ."""
+    return materialize(FX.load_bars(spark, sf), "bars")
 
 
 BASE = O.with_(O.BARS)
@@ -71,7 +76,7 @@ SELECT ticker, d, {sel([(O.roll('AVG', 'close', 20) + ' AS sma_20', 6),
                         (O.roll('AVG', 'close', 50) + ' AS sma_50', 6),
                         (O.roll('AVG', 'close', 200) + ' AS sma_200', 6)])} FROM b""")
 def q_sma(spark, sf):
-    f = I.prepare(bars(spark, sf), 200)
+    f = I.prepare(series_bars(spark, sf), 200)
     for n in (20, 50, 200):
         f = I.add_sma(f, n)
     return rnd(I.finish(f).select("ticker", "d", "sma_20", "sma_50", "sma_200"),
@@ -81,7 +86,7 @@ def q_sma(spark, sf):
 @register("rolling_std_20", f"""{BASE}
 SELECT ticker, d, {sel([(O.roll('STDDEV_SAMP', 'close', 20) + ' AS std_20', 6)])} FROM b""")
 def q_std(spark, sf):
-    return rnd(I.rolling_std(bars(spark, sf), 20).select("ticker", "d", "std_20"), {"std_20": 6})
+    return rnd(I.rolling_std(series_bars(spark, sf), 20).select("ticker", "d", "std_20"), {"std_20": 6})
 
 
 @register("bollinger", f"""{BASE},
@@ -89,7 +94,7 @@ bb AS (SELECT ticker, d, {O.roll('AVG', 'close', 20)} AS m, {O.roll('STDDEV_SAMP
 SELECT ticker, d, {sel([('m AS bb_middle', 6), ('m + 2 * s AS bb_upper', 6), ('m - 2 * s AS bb_lower', 6)])}
 FROM bb""")
 def q_bollinger(spark, sf):
-    out = I.bollinger(bars(spark, sf), 20, 2.0).select("ticker", "d", "bb_middle", "bb_upper", "bb_lower")
+    out = I.bollinger(series_bars(spark, sf), 20, 2.0).select("ticker", "d", "bb_middle", "bb_upper", "bb_lower")
     return rnd(out, {"bb_middle": 6, "bb_upper": 6, "bb_lower": 6})
 
 
@@ -104,7 +109,7 @@ SELECT ticker, d, {sel([(f'y AS ema_{span}', 6)])} FROM e"""
 
 for _span in (20, 200):
     register(f"ema_{_span}", _ema_sql(_span))(
-        (lambda s: lambda spark, sf: rnd(I.ema(bars(spark, sf), s).select("ticker", "d", f"ema_{s}"),
+        (lambda s: lambda spark, sf: rnd(I.ema(series_bars(spark, sf), s).select("ticker", "d", f"ema_{s}"),
                                          {f"ema_{s}": 6}))(_span))
 
 
@@ -114,7 +119,7 @@ SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ag END AS avg_gain', 6),
                         ('CASE WHEN i >= 13 THEN al END AS avg_loss', 6)])} FROM e""")
 def q_wilder(spark, sf):
     from tickwise.plans import series as S
-    f = I.prepare(bars(spark, sf), S.ema_halo([1 / 14], 1, 2))
+    f = I.prepare(series_bars(spark, sf), S.ema_halo([1 / 14], 1, 2))
     f = I._gain_loss(f, "close", I.KEYS)
     f = S.add_emas(f, ["ticker"], [("_gain", "avg_gain", 1 / 14, 14), ("_loss", "avg_loss", 1 / 14, 14)])
     return rnd(I.finish(f).select("ticker", "d", "avg_gain", "avg_loss"), {"avg_gain": 6, "avg_loss": 6})
@@ -127,26 +132,26 @@ def q_wilder(spark, sf):
 a AS (SELECT ticker, d, {O.roll('AVG', 'gain', 14)} AS ag, {O.roll('AVG', 'loss', 14)} AS al FROM gl)
 SELECT ticker, d, {sel([(O.rsi_expr('ag', 'al') + ' AS rsi', 6)])} FROM a""")
 def q_rsi_sma(spark, sf):
-    return rnd(I.rsi_sma(bars(spark, sf), 14).select("ticker", "d", "rsi"), {"rsi": 6})
+    return rnd(I.rsi_sma(series_bars(spark, sf), 14).select("ticker", "d", "rsi"), {"rsi": 6})
 
 
 @register("rsi_wilder", f"""{O.with_(O.BARS, O.gain_loss_cte('b'),
                                      O.ema_rec('e', 'gl', [('ag', 'gain', 1 / 14), ('al', 'loss', 1 / 14)], ['d']))}
 SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ' + O.rsi_expr('ag', 'al') + ' END AS rsi', 6)])} FROM e""")
 def q_rsi_wilder(spark, sf):
-    return rnd(I.rsi_wilder(bars(spark, sf), 14).select("ticker", "d", "rsi"), {"rsi": 6})
+    return rnd(I.rsi_wilder(series_bars(spark, sf), 14).select("ticker", "d", "rsi"), {"rsi": 6})
 
 
 # ------------------------------------------------------------------ F4, F5, B7, B13
 
 register("macd", f"""{O.with_(O.BARS, O.macd_ctes())}
 SELECT ticker, d, {sel([('macd', 6), ('sig AS signal_line', 6)])} FROM m""")(
-    lambda spark, sf: rnd(I.macd(bars(spark, sf)).select("ticker", "d", "macd", "signal_line"),
+    lambda spark, sf: rnd(I.macd(series_bars(spark, sf)).select("ticker", "d", "macd", "signal_line"),
                           {"macd": 6, "signal_line": 6}))
 
 register("macd_strict", f"""{O.with_(O.BARS, O.macd_ctes(strict=True))}
 SELECT ticker, d, {sel([('macd', 6), ('sig AS macd_signal', 6), ('macd - sig AS macd_hist', 6)])} FROM m""")(
-    lambda spark, sf: rnd(I.macd(bars(spark, sf), strict=True)
+    lambda spark, sf: rnd(I.macd(series_bars(spark, sf), strict=True)
                           .withColumnRenamed("signal_line", "macd_signal")
                           .select("ticker", "d", "macd", "macd_signal", "macd_hist"),
                           {"macd": 6, "macd_signal": 6, "macd_hist": 6}))
@@ -161,7 +166,7 @@ x AS (SELECT *, COALESCE(s50 > s200 AND {O.lag('s50')} < {O.lag('s200')}, FALSE)
 
 def _events(spark, sf, mode):
     from tickwise.operators import zones as Z
-    return rnd(Z.signal_events(I.crosses(bars(spark, sf)), mode), {"sma_50": 6, "sma_200": 6})
+    return rnd(Z.signal_events(I.crosses(series_bars(spark, sf)), mode), {"sma_50": 6, "sma_200": 6})
 
 
 register("golden_cross", f"""{_CROSS_SQL}
@@ -179,21 +184,21 @@ SELECT ticker, d, 'exit' AS event, {sel([('s50 AS sma_50', 6), ('s200 AS sma_200
 # ------------------------------------------------------------------ F8, F9, E10
 
 register("drawdown", f"""{BASE}
-SELECT ticker, d, ath, {sel([('close / ath - 1 AS drawdown_pct', 6)])}
+SELECT ticker, d, ath, {sel([('close / ath - 1 AS drawdown_pct', 12)])}
 FROM (SELECT *, MAX(close) {O.over()} AS ath FROM b)""")(
-    lambda spark, sf: rnd(I.drawdown(bars(spark, sf)).select("ticker", "d", "ath", "drawdown_pct"),
-                          {"drawdown_pct": 6}))
+    lambda spark, sf: rnd(I.drawdown(series_bars(spark, sf)).select("ticker", "d", "ath", "drawdown_pct"),
+                          {"drawdown_pct": 12}))
 
 register("extension", f"""{BASE}
 SELECT ticker, d, {sel([('(close - s200) / s200 AS extension_pct', 6)])}
 FROM (SELECT *, {O.roll('AVG', 'close', 200)} AS s200 FROM b)""")(
-    lambda spark, sf: rnd(I.extension(bars(spark, sf), 200).select("ticker", "d", "extension_pct"),
+    lambda spark, sf: rnd(I.extension(series_bars(spark, sf), 200).select("ticker", "d", "extension_pct"),
                           {"extension_pct": 6}))
 
 # ------------------------------------------------------------------ F21
 
 PANEL_COLS = {"sma_50": 6, "sma_200": 6, "ema_200": 6, "rsi": 6, "macd": 6, "signal_line": 6,
-              "drawdown_pct": 6, "extension_pct": 6}
+              "drawdown_pct": 12, "extension_pct": 6}
 
 
 @register("technical_panel", f"""{O.with_(O.BARS, O.macd_ctes(), O.gain_loss_cte('b'),
@@ -214,10 +219,10 @@ x AS (SELECT *, COALESCE(s50 > s200 AND {O.lag('s50')} < {O.lag('s200')}, FALSE)
 SELECT ticker, d, close, ath, golden_cross, death_cross,
        {sel([('s50 AS sma_50', 6), ('s200 AS sma_200', 6), ('ema_200', 6),
              (O.rsi_expr('ag', 'al') + ' AS rsi', 6), ('macd', 6), ('sig AS signal_line', 6),
-             ('close / ath - 1 AS drawdown_pct', 6), ('(close - s200) / s200 AS extension_pct', 6)])}
+             ('close / ath - 1 AS drawdown_pct', 12), ('(close - s200) / s200 AS extension_pct', 6)])}
 FROM x""")
 def q_panel(spark, sf):
-    out = I.technical_panel(bars(spark, sf)).select(
+    out = I.technical_panel(series_bars(spark, sf)).select(
         "ticker", "d", "close", "ath", "golden_cross", "death_cross", *PANEL_COLS)
     return rnd(out, PANEL_COLS)
 
@@ -235,14 +240,14 @@ register("strategy_sma", _strategy_sql(
     [("sma_short", 6), ("sma_long", 6)],
     [f"y AS (SELECT ticker, d, {O.roll('AVG', 'close', 50)} AS sma_short, "
      f"{O.roll('AVG', 'close', 200)} AS sma_long FROM b)"]))(
-    lambda spark, sf: rnd(ST.strategy_sma_crossover(bars(spark, sf)).select(
+    lambda spark, sf: rnd(ST.strategy_sma_crossover(series_bars(spark, sf)).select(
         "ticker", "d", "sma_short", "sma_long", "signal", "position"), {"sma_short": 6, "sma_long": 6}))
 
 register("strategy_macd", _strategy_sql(
     "CASE WHEN macd > signal_line THEN 1.0 ELSE 0.0 END",
     [("macd", 6), ("signal_line", 6)],
     [O.macd_ctes(), "y AS (SELECT ticker, d, macd, sig AS signal_line FROM m)"]))(
-    lambda spark, sf: rnd(ST.strategy_macd(bars(spark, sf)).select(
+    lambda spark, sf: rnd(ST.strategy_macd(series_bars(spark, sf)).select(
         "ticker", "d", "macd", "signal_line", "signal", "position"), {"macd": 6, "signal_line": 6}))
 
 register("strategy_rsi", _strategy_sql(
@@ -251,14 +256,14 @@ register("strategy_rsi", _strategy_sql(
     [O.gain_loss_cte("b"),
      f"a AS (SELECT ticker, d, {O.roll('AVG', 'gain', 14)} AS ag, {O.roll('AVG', 'loss', 14)} AS al FROM gl)",
      f"y AS (SELECT ticker, d, {O.rsi_expr('ag', 'al')} AS rsi FROM a)"]))(
-    lambda spark, sf: rnd(ST.strategy_rsi(bars(spark, sf)).select(
+    lambda spark, sf: rnd(ST.strategy_rsi(series_bars(spark, sf)).select(
         "ticker", "d", "rsi", "signal", "position"), {"rsi": 6}))
 
 register("strategy_bollinger", _strategy_sql(
     "CASE WHEN close < bb_middle THEN 1.0 ELSE 0.0 END",
     [("bb_middle", 6)],
     [f"y AS (SELECT ticker, d, close, {O.roll('AVG', 'close', 20)} AS bb_middle FROM b)"]))(
-    lambda spark, sf: rnd(ST.strategy_bollinger(bars(spark, sf)).select(
+    lambda spark, sf: rnd(ST.strategy_bollinger(series_bars(spark, sf)).select(
         "ticker", "d", "bb_middle", "signal", "position"), {"bb_middle": 6}))
 
 # ------------------------------------------------------------------ F14-F18, B14, G1
@@ -267,7 +272,7 @@ _SIG = O.with_(O.BARS, O.signals_ctes())
 
 register("backtest_curves", f"""{_SIG}
 SELECT ticker, strategy, d, {sel([
-    ('strategy_return', 6),
+    ('strategy_return', 12),
     ('CASE WHEN strategy_return IS NOT NULL THEN PRODUCT(1 + strategy_return) '
      'OVER (PARTITION BY ticker, strategy ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) '
      '* 10000.0 END AS equity', 2),
@@ -275,78 +280,120 @@ SELECT ticker, strategy, d, {sel([
      'OVER (PARTITION BY ticker, strategy ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) '
      '* 10000.0 END AS market', 2)])}
 FROM lg""")(
-    lambda spark, sf: rnd(BT.backtest_curves(bars(spark, sf)).select(
+    lambda spark, sf: rnd(BT.backtest_curves(series_bars(spark, sf)).select(
         "ticker", "strategy", "d", "strategy_return", "equity", "market"),
-        {"strategy_return": 6, "equity": 2, "market": 2}))
+        {"strategy_return": 12, "equity": 2, "market": 2}))
 
 _METRICS = {"final_equity": 4, "total_return": 6, "sharpe_ratio": 6}
 
 register("backtest_metrics", f"""{_SIG}
 SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return', 6), ('sharpe_ratio', 6)])} FROM summary""")(
-    lambda spark, sf: rnd(BT.run_all(bars(spark, sf)).select(
+    lambda spark, sf: rnd(BT.run_all(series_bars(spark, sf)).select(
         "ticker", "strategy", "final_equity", "total_return", "sharpe_ratio"), _METRICS))
 
 register("best_strategy", f"""{_SIG}
 SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return', 6), ('sharpe_ratio', 6)])}
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY final_equity DESC, strategy_ord) AS rk
       FROM summary) WHERE rk = 1""")(
-    lambda spark, sf: rnd(BT.best_strategy(BT.run_all(bars(spark, sf))).select(
+    lambda spark, sf: rnd(BT.best_strategy(BT.run_all(series_bars(spark, sf))).select(
         "ticker", "strategy", "final_equity", "total_return", "sharpe_ratio"), _METRICS))
 
 register("leaderboard", f"""{_SIG}
 SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return * 100 AS return_pct', 6),
                                ('sharpe_ratio AS sharpe', 6)])}
 FROM summary ORDER BY return_pct DESC, ticker, strategy_ord""")(
-    lambda spark, sf: rnd(BT.leaderboard(BT.run_all(bars(spark, sf))).drop("strategy_ord"),
+    lambda spark, sf: rnd(BT.leaderboard(BT.run_all(series_bars(spark, sf))).drop("strategy_ord"),
                           {"final_equity": 4, "return_pct": 6, "sharpe": 6}))
 
 register("sharpe_band", f"""{_SIG}
 SELECT ticker, strategy, {sel([('sharpe_ratio', 6)])},
        CASE WHEN sharpe_ratio >= 1 THEN 'good' WHEN sharpe_ratio > 0 THEN 'fair' ELSE 'poor' END AS sharpe_band
 FROM summary""")(
-    lambda spark, sf: rnd(BT.sharpe_band(BT.run_all(bars(spark, sf))).select(
+    lambda spark, sf: rnd(BT.sharpe_band(BT.run_all(series_bars(spark, sf))).select(
         "ticker", "strategy", "sharpe_ratio", "sharpe_band"), {"sharpe_ratio": 6}))
 
 
+# ------------------------------------------------------------------ F14, F16 with other parameters, one strategy
+
+_PARAMS = {"short": 10, "long": 30, "fast": 5, "slow": 15, "signal": 4, "rsi_n": 7, "rsi_threshold": 60.0, "bb_n": 12}
+register("leaderboard_params", f"""{O.with_(O.BARS, O.signals_ctes(**_PARAMS))}
+SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return', 9), ('sharpe_ratio', 6)])} FROM summary""")(
+    lambda spark, sf: rnd(BT.run_all(series_bars(spark, sf), **_PARAMS).select(
+        "ticker", "strategy", "final_equity", "total_return", "sharpe_ratio"),
+        {"final_equity": 4, "total_return": 9, "sharpe_ratio": 6}))
+
+register("backtest_one", f"""{O.with_(O.BARS, O.signals_ctes(**_PARAMS))}
+SELECT ticker, d, signal, position, {sel([
+    ('strategy_return', 12),
+    ('CASE WHEN strategy_return IS NOT NULL THEN PRODUCT(1 + strategy_return) '
+     'OVER (PARTITION BY ticker ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 5000.0 END AS equity', 2)])}
+FROM lg WHERE strategy = 'MACD Momentum'""")(
+    lambda spark, sf: rnd(BT.backtest_signals(
+        ST.strategy_macd(series_bars(spark, sf), 5, 15, 4), "MACD Momentum", 5000.0).select(
+        "ticker", "d", "signal", "position", "strategy_return", "equity"), {"strategy_return": 12, "equity": 2}))
+
+# a ticker that stands still: days of small volume repeat the close before, so gains and losses are 0 for long runs
+_QUIET = f"""{O.with_(O.BARS, """quiet AS (
+  SELECT ticker, d, i, LAST_VALUE(CASE WHEN i < 200 OR i % 700 = 0 THEN close END IGNORE NULLS)
+         OVER (PARTITION BY ticker ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close FROM b)""",
+    O.gain_loss_cte('quiet'), O.ema_rec('e', 'gl', [('ag', 'gain', 1 / 14), ('al', 'loss', 1 / 14)], ['d']))}"""
+
+
+@register("rsi_quiet", f"""{_QUIET}
+SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ' + O.rsi_expr('ag', 'al') + ' END AS rsi', 6)])} FROM e""")
+def q_rsi_quiet(spark, sf):
+    from tickwise.plans import series as S
+    f = S.index_series(series_bars(spark, sf).select("ticker", "d", "close"), ["ticker"], ["d"], S.date_bucket("d"))
+    kept = F.when((F.col(S.IDX) < 200) | (F.col(S.IDX) % 700 == 0), F.col("close"))
+    f = S.with_blocks(f.withColumn("close", kept), 0, S.block_rows_for(0))
+    quiet = I.finish(I.fill_missing(f))
+    return rnd(I.rsi_wilder(quiet, 14).select("ticker", "d", "rsi"), {"rsi": 6})
+
+
 # ------------------------------------------------------------------ C1, C2, C6, B3, D5, D8, E8, E11
 from tickwise.operators import correlation as CR  # noqa: E402
 
 _RET_CTES = f"""{BASE},
-own AS (SELECT ticker, d, close / NULLIF({O.lag('close')}, 0) - 1 AS ret FROM bars),
 cal AS (SELECT DISTINCT d FROM bars),
 fst AS (SELECT ticker, MIN(d) AS first_d FROM bars GROUP BY ticker),
 grid AS (SELECT fst.ticker, cal.d, fst.first_d FROM fst JOIN cal ON cal.d >= fst.first_d),
-dr AS (SELECT grid.ticker, grid.d, CASE WHEN grid.d > grid.first_d THEN COALESCE(own.ret, 0.0) END AS ret
-       FROM grid LEFT JOIN own ON own.ticker = grid.ticker AND own.d = grid.d),
+padded AS (SELECT grid.ticker, grid.d, LAST_VALUE(bars.close IGNORE NULLS) OVER (PARTITION BY grid.ticker ORDER BY grid.d) AS close
+           FROM grid LEFT JOIN bars ON bars.ticker = grid.ticker AND bars.d = grid.d),
+dr AS (SELECT ticker, d, close / NULLIF({O.lag('close')}, 0) - 1 AS ret FROM padded),
 full_d AS (SELECT d FROM dr WHERE ret IS NOT NULL GROUP BY d
            HAVING COUNT(*) = (SELECT COUNT(DISTINCT ticker) FROM dr)),
 cr AS (SELECT * FROM dr WHERE d IN (SELECT d FROM full_d))"""
 
 
 def _complete(spark, sf):
-    """Bars are re-read for calendar, spans and returns, and the complete
-    returns feed both pair sides: each is reused (written once when large)."""
-    from tickwise.plans.materialize import reuse
-    return reuse(CR.complete_returns(CR.daily_returns(bars(spark, sf))), "complete_returns")
+    """The complete returns, written once: they feed both sides of a pair."""
+    return materialize(CR.complete_returns(CR.daily_returns(series_bars(spark, sf))), "complete_returns")
+
 
+register("padded_closes", f"""{_RET_CTES}
+SELECT ticker, d, close FROM padded""")(
+    lambda spark, sf: CR.padded_closes(series_bars(spark, sf)))
 
 register("daily_returns", f"""{_RET_CTES}
-SELECT ticker, d, {sel([('ret', 8)])} FROM dr""")(
-    lambda spark, sf: rnd(CR.daily_returns(bars(spark, sf)), {"ret": 8}))
+SELECT ticker, d, {sel([('ret', 12)])} FROM dr""")(
+    lambda spark, sf: rnd(CR.daily_returns(series_bars(spark, sf)), {"ret": 12}))
 
 register("complete_returns", f"""{_RET_CTES}
-SELECT ticker, d, {sel([('ret', 8)])} FROM cr""")(
-    lambda spark, sf: rnd(_complete(spark, sf).select("ticker", "d", "ret"), {"ret": 8}))
+SELECT ticker, d, {sel([('ret', 12)])} FROM cr""")(
+    lambda spark, sf: rnd(CR.complete_returns(CR.daily_returns(series_bars(spark, sf))).select("ticker", "d", "ret"), {"ret": 12}))
+
+# the tickers of the fixture, named so that the wide table's columns are known without a job
+TICKERS = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
-register("aligned_matrix", f"""{BASE}
-PIVOT (SELECT ticker, d, close FROM bars) ON ticker USING FIRST(close) GROUP BY d""")(
-    lambda spark, sf: CR.aligned_matrix(bars(spark, sf)))
+_WIDE = ", ".join(f"MAX(close) FILTER (WHERE ticker = '{t}') AS \"{t}\"" for t in TICKERS)
+register("aligned_matrix", f"{BASE} SELECT d, {_WIDE} FROM bars GROUP BY d")(
+    lambda spark, sf: CR.aligned_matrix(bars(spark, sf), TICKERS))
 
 register("corr_matrix", f"""{_RET_CTES}
 SELECT a.ticker AS ticker_a, b.ticker AS ticker_b,
-       {sel([('COVAR_SAMP(a.ret, b.ret) / NULLIF(STDDEV_SAMP(a.ret) * STDDEV_SAMP(b.ret), 0) AS corr', 6)])}
+       {sel([('COVAR_SAMP(a.ret, b.ret) / NULLIF(STDDEV_SAMP(a.ret) * STDDEV_SAMP(b.ret), 0) AS corr', 9)])}
 FROM cr a JOIN cr b ON a.d = b.d GROUP BY a.ticker, b.ticker""")(
-    lambda spark, sf: rnd(CR.corr_matrix(_complete(spark, sf)), {"corr": 6}))
+    lambda spark, sf: rnd(CR.corr_matrix(_complete(spark, sf)), {"corr": 9}))
 
 _PAIRS_SQL = f"""{_RET_CTES},
 pr AS (SELECT a.ticker AS ticker_a, b.ticker AS ticker_b, a.d, a.ret AS ret_a, b.ret AS ret_b
@@ -355,12 +402,12 @@ pr AS (SELECT a.ticker AS ticker_a, b.ticker AS ticker_b, a.d, a.ret AS ret_a, b
 
 def _pairs(spark, sf):
     c = _complete(spark, sf)
-    return CR.pairwise_returns(c, CR.ticker_pairs(c))
+    return CR.pairwise_returns(c, CR.ticker_pairs(spark, TICKERS))
 
 
 register("pairwise_returns", f"""{_PAIRS_SQL}
-SELECT ticker_a, ticker_b, d, {sel([('ret_a', 8), ('ret_b', 8)])} FROM pr""")(
-    lambda spark, sf: rnd(_pairs(spark, sf), {"ret_a": 8, "ret_b": 8}))
+SELECT ticker_a, ticker_b, d, {sel([('ret_a', 12), ('ret_b', 12)])} FROM pr""")(
+    lambda spark, sf: rnd(_pairs(spark, sf), {"ret_a": 12, "ret_b": 12}))
 
 _RW = "PARTITION BY ticker_a, ticker_b ORDER BY d ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 register("rolling_corr_30", f"""{_PAIRS_SQL}
@@ -368,9 +415,9 @@ SELECT ticker_a, ticker_b, d, {sel([(
     f'CASE WHEN COUNT(ret_a) OVER ({_RW}) = 30 '
     f'AND STDDEV_SAMP(ret_a) OVER ({_RW}) * STDDEV_SAMP(ret_b) OVER ({_RW}) > 0 '
     f'THEN COVAR_SAMP(ret_a, ret_b) OVER ({_RW}) / '
-    f'(STDDEV_SAMP(ret_a) OVER ({_RW}) * STDDEV_SAMP(ret_b) OVER ({_RW})) END AS corr', 6)])}
+    f'(STDDEV_SAMP(ret_a) OVER ({_RW}) * STDDEV_SAMP(ret_b) OVER ({_RW})) END AS corr', 9)])}
 FROM pr""")(
-    lambda spark, sf: rnd(CR.rolling_corr(_pairs(spark, sf), 30), {"corr": 6}))
+    lambda spark, sf: rnd(CR.rolling_corr(_pairs(spark, sf), 30), {"corr": 9}))
 
 register("return_density", f"""{_RET_CTES},
 st AS (SELECT ticker, COUNT(ret) AS n, STDDEV_SAMP(ret) * POW(COUNT(ret), -0.2) AS h,

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickwise import oracle as O
-from tickwise.catalog import BASE, bars, register, rnd, sel
+from tickwise.catalog import BASE, bars, register, rnd, sel, series_bars
 from tickwise.functions.columns import now_epoch, parse_ticker_list, wrap_label
 from tickwise.operators import backtest as BT
 from tickwise.operators import bars as BR
@@ -18,6 +18,7 @@ from tickwise.operators import joins as J
 from tickwise.operators import medallion as M
 from tickwise.operators import snapshot as SN
 from tickwise.operators import zones as Z
+from tickwise.plans.materialize import materialize
 from tickwise.session import checkpoint_dir
 from tickwise.sources import fixtures as FX
 from tickwise.sources import kafka as K
@@ -80,15 +81,15 @@ register("rsi_zones", f"""{O.with_(O.BARS, O.gain_loss_cte('b'))},
 a AS (SELECT ticker, d, {O.roll('AVG', 'gain', 14)} AS ag, {O.roll('AVG', 'loss', 14)} AS al FROM gl),
 r AS (SELECT ticker, d, {O.rsi_expr('ag', 'al')} AS rsi FROM a)
 SELECT ticker, d, COALESCE(rsi < 30, FALSE) AS oversold, COALESCE(rsi > 70, FALSE) AS overbought FROM r""")(
-    lambda spark, sf: Z.rsi_zones(I.rsi_sma(bars(spark, sf))).select("ticker", "d", "oversold", "overbought"))
+    lambda spark, sf: Z.rsi_zones(I.rsi_sma(series_bars(spark, sf))).select("ticker", "d", "oversold", "overbought"))
 
 register("macd_regime", f"""{O.with_(O.BARS, O.macd_ctes())}
 SELECT ticker, d, CASE WHEN macd > sig THEN 'bullish' WHEN macd < sig THEN 'bearish' END AS regime FROM m""")(
-    lambda spark, sf: Z.macd_regime(I.macd(bars(spark, sf))).select("ticker", "d", "regime"))
+    lambda spark, sf: Z.macd_regime(I.macd(series_bars(spark, sf))).select("ticker", "d", "regime"))
 
 register("hist_sign", f"""{O.with_(O.BARS, O.macd_ctes(strict=True))}
 SELECT ticker, d, CASE WHEN macd - sig < 0 THEN 'neg' ELSE 'pos' END AS hist_sign FROM m""")(
-    lambda spark, sf: Z.hist_sign(I.macd(bars(spark, sf), strict=True)).select("ticker", "d", "hist_sign"))
+    lambda spark, sf: Z.hist_sign(I.macd(series_bars(spark, sf), strict=True)).select("ticker", "d", "hist_sign"))
 
 # thresholds tightened from -15% / +30% so the fixture's small moves select rows
 @register("value_zones", f"""{BASE},
@@ -97,7 +98,7 @@ v AS (SELECT ticker, d, close / MAX(close) {O.over()} - 1 AS dd,
 SELECT ticker, d, COALESCE(dd < -0.02, FALSE) AS discount, COALESCE(ext > 0.01, FALSE) AS euphoria,
        COALESCE(dd < -0.15, FALSE) AS discount_15, COALESCE(ext > 0.30, FALSE) AS euphoria_30 FROM v""")
 def q_value_zones(spark, sf):
-    f = I.prepare(bars(spark, sf), 200)
+    f = I.prepare(series_bars(spark, sf), 200)
     f = I.add_extension(I.add_drawdown(f), 200)
     out = I.finish(f)
     out = Z.extension_zone(Z.drawdown_zone(out, -0.15), 0.30) \
@@ -151,14 +152,14 @@ SELECT ticker, strategy, {sel([('AVG(strategy_return) AS mean_return', 8),
                                ('STDDEV_SAMP(strategy_return) AS std_return', 8)])},
        COUNT(strategy_return) AS n_returns
 FROM lg GROUP BY ticker, strategy""")(
-    lambda spark, sf: rnd(SN.return_stats(BT.backtest_curves(bars(spark, sf))),
+    lambda spark, sf: rnd(SN.return_stats(BT.backtest_curves(series_bars(spark, sf))),
                           {"mean_return": 8, "std_return": 8}))
 
 register("winner", f"""{O.with_(O.BARS, O.signals_ctes())}
 SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return * 100 AS return_pct', 6),
                                ('sharpe_ratio AS sharpe', 6)])}
 FROM summary ORDER BY total_return DESC, ticker, strategy_ord LIMIT 1""")(
-    lambda spark, sf: rnd(BT.winner(BT.run_all(bars(spark, sf))).drop("strategy_ord"),
+    lambda spark, sf: rnd(BT.winner(BT.run_all(series_bars(spark, sf))).drop("strategy_ord"),
                           {"final_equity": 4, "return_pct": 6, "sharpe": 6}))
 
 # ------------------------------------------------------------------ C3, C4, C5, I5, I7
@@ -201,9 +202,8 @@ SELECT ticker, EXISTS (SELECT 1 FROM bars WHERE bars.ticker = req.ticker) AS kno
         Z.tickers(bars(spark, sf)).withColumn("known", F.lit(True)), "ticker", "left")
     .select("ticker", F.coalesce("known", F.lit(False)).alias("known")))
 
-register("label_wrap", f"""{O.with_(O.BARS, O.signals_ctes())}
-SELECT ticker, strategy, REPLACE(strategy, ' ', chr(10)) AS label FROM summary""")(
-    lambda spark, sf: BT.run_all(bars(spark, sf)).select("ticker", "strategy", wrap_label("strategy").alias("label")))
+register("label_wrap", "SELECT p_partkey, REPLACE(p_name, ' ', chr(10)) AS label FROM part")(
+    lambda spark, sf: FX.table(spark, sf, "part").select("p_partkey", wrap_label("p_name").alias("label")))
 
 # ------------------------------------------------------------------ medallion batch: A2, A9, I1-I3, D1-D3, E1, B2, B16
 
@@ -255,7 +255,7 @@ register("silver_rows", f"""{TICK_BASE}
 SELECT ticker, {sel([(f'AVG(price) {_W5} AS SMA', 6), (f'STDDEV_SAMP(price) {_W5} AS volatility', 6)])},
        make_timestamp("timestamp" * 1000000) AS window_start, make_timestamp("timestamp" * 1000000) AS window_end
 FROM dedup""")(
-    lambda spark, sf: rnd(M.tick_features(M.dedup_ticks(ticks(spark, sf))), {"SMA": 6, "volatility": 6})
+    lambda spark, sf: rnd(M.tick_features(materialize(M.dedup_ticks(ticks(spark, sf)), "ticks")), {"SMA": 6, "volatility": 6})
     .withColumns({"window_start": ntz("window_start"), "window_end": ntz("window_end")}))
 
 SILVER_SQL = f"""{TICK_BASE},
@@ -306,13 +306,11 @@ def _scratch(spark, tag):
 
 def run_stream_bronze(spark, sf, root):
     """A9 encode -> files -> A1/A2 decode (streaming) -> A3 bronze sink.
-    Frames are written one file per event day, in event order (the arrival
-    order of the stream), then consumed one file per micro-batch."""
-    t = FX.ticks_from_events(FX.table(spark, sf, "events"), keep=("event_id",))
-    frames_out = t.select((F.col("timestamp") / 86400).cast("long").alias("day"), "event_id",
-                          K.tick_json().alias("value"))
-    (frames_out.repartition("day").sortWithinPartitions("event_id").drop("event_id")
-     .write.mode("overwrite").partitionBy("day").text(f"{root}/frames"))
+    Frames are dealt to files by time range, so that files arrive in the
+    order of event time; inside a file they are in any order."""
+    t = FX.ticks_from_events(FX.table(spark, sf, "events"))
+    frames_out = t.repartitionByRange(16, "timestamp").select(K.tick_json().alias("value"))
+    frames_out.write.mode("overwrite").text(f"{root}/frames")
     frames = (spark.readStream.option("maxFilesPerTrigger", 1).text(f"{root}/frames")
               .select(F.col("value").cast("binary").alias("value")))
     SM.run_available(SM.bronze_stream(frames), f"{root}/bronze", f"{root}/ck-bronze")
@@ -331,8 +329,7 @@ def run_stream_silver(spark, sf, root):
     return lake.read_silver(spark, f"{root}/silver")
 
 
-STREAM_SILVER_SQL = f"""WITH {TICKS_SQL.replace('FIRST(price ORDER BY price, source)', 'FIRST(price ORDER BY event_id)')
-                                 .replace('FIRST(source ORDER BY price, source)', 'FIRST(source ORDER BY event_id)')},
+STREAM_SILVER_SQL = f"""WITH {TICKS_SQL},
 w AS (SELECT ticker, price, CAST(FLOOR("timestamp" / 30) * 30 - k * 30 AS BIGINT) AS ws FROM dedup, range(2) r(k)),
 silver AS (SELECT ticker, AVG(price) AS SMA, STDDEV_SAMP(price) AS volatility, ws FROM w GROUP BY ticker, ws
            HAVING ws + 60 <= (SELECT MAX("timestamp") FROM ticks) - 120)"""
@@ -378,14 +375,14 @@ SELECT ticker, d, {sel([('s20 AS sma_20', 6), ('ema_20', 6), ('s20 + 2 * sd20 AS
                         ('macd - sig AS macd_hist', 6)])}
 FROM p""")
 def q_chart(spark, sf):
-    out = I.chart_indicators(bars(spark, sf)).select("ticker", "d", *_CHART_COLS)
+    out = I.chart_indicators(series_bars(spark, sf)).select("ticker", "d", *_CHART_COLS)
     return rnd(out, _CHART_COLS)
 
 
 @register("diff_shift", f"""{BASE}
 SELECT ticker, d, {O.lag('close')} AS prev_close, {sel([(f"close - {O.lag('close')} AS delta", 6)])} FROM b""")
 def q_diff_shift(spark, sf):
-    f = I.prepare(bars(spark, sf), 1)
+    f = I.prepare(series_bars(spark, sf), 1)
     f = I.add_diff(I.add_shift(f, "close", "prev_close"), "close", "delta")
     return rnd(I.finish(f).select("ticker", "d", "prev_close", "delta"), {"delta": 6})
 

@@ -27,13 +27,6 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def round_dp(x, dp: int) -> Column:
-    return F.round(c(x), dp)
-
-
-def money(x) -> Column:
-    """``$1,234.56``."""
-    return F.concat(F.lit("$"), F.format_number(c(x), 2))
 
 
 def pct_text(x, dp: int = 2) -> Column:
@@ -58,21 +51,7 @@ def wrap_label(text) -> Column:
     return F.replace(c(text), F.lit(" "), F.lit("\n"))
 
 
-def epoch_to_text(seconds) -> Column:
-    """Epoch seconds -> 'yyyy-MM-dd HH:mm:ss' STRING in the session zone."""
-    return F.from_unixtime(c(seconds))
-
-
-def epoch_to_ts(seconds) -> Column:
-    """Epoch seconds -> TIMESTAMP."""
-    return F.timestamp_seconds(c(seconds))
-
 
-def ntz_epoch_seconds(ts) -> Column:
-    """Whole epoch seconds of a TIMESTAMP_NTZ wall clock read as UTC,
-    independent of the session time zone."""
-    return F.floor(F.unix_micros(F.to_utc_timestamp(c(ts).cast("timestamp"),
-                                                      F.current_timezone())) / 1_000_000).cast("long")
 
 
 def now_epoch(at: int | None = None) -> Column:

@@ -24,15 +24,42 @@ STRAT_KEYS = ("ticker", "strategy")
 def strategy_frame(bars: DataFrame, block_rows: int | None = None, **params) -> DataFrame:
     """Prepared long frame: one row per (ticker, strategy, bar) with ``ret``,
     ``signal``, ``position`` and ``strategy_return``; halo rows still in."""
-    f = I.prepare(bars, ST.strategy_halo(), block_rows=block_rows)
+    f = I.prepare(bars, ST.strategy_halo(**params), block_rows=block_rows)
     f = ST.stack_strategies(ST.add_all_signals(f, **params))
     return f.withColumn("strategy_return", F.col("ret") * F.col("position"))
 
 
+def signal_frame(signals: DataFrame, strategy: str, block_rows: int | None = None) -> DataFrame:
+    """The same frame for one strategy's output (``ticker, d, close, signal,
+    position``, as the ``strategy_*`` functions return it), whatever its
+    parameters were."""
+    f = I.prepare(signals.select("ticker", "d", "close", "signal", "position"), 1, block_rows=block_rows)
+    f = I.add_pct_change(f, "close", "ret")
+    return (f.withColumn("strategy", F.lit(strategy)).withColumn("strategy_ord", F.lit(0))
+            .withColumn("strategy_return", F.col("ret") * F.col("position")))
+
+
+def backtest_signals(signals: DataFrame, strategy: str = "custom", capital: float = DEFAULT_CAPITAL,
+                     block_rows: int | None = None) -> DataFrame:
+    """F14 for one chosen strategy: its equity curve and the market's."""
+    return curves_from(signal_frame(signals, strategy, block_rows), capital)
+
+
+def signal_metrics(signals: DataFrame, strategy: str = "custom", capital: float = DEFAULT_CAPITAL,
+                   block_rows: int | None = None) -> DataFrame:
+    """F15 for one chosen strategy."""
+    return metrics_from(signal_frame(signals, strategy, block_rows), capital)
+
+
 def backtest_curves(bars: DataFrame, capital: float = DEFAULT_CAPITAL,
-                    block_rows: int | None = None) -> DataFrame:
-    """equity curve per (ticker, strategy, d) and the market curve."""
-    f = strategy_frame(bars, block_rows)
+                    block_rows: int | None = None, **params) -> DataFrame:
+    """F14 for all strategies, with their parameters: equity curve per
+    (ticker, strategy, d) and the market curve."""
+    return curves_from(strategy_frame(bars, block_rows, **params), capital)
+
+
+def curves_from(f: DataFrame, capital: float = DEFAULT_CAPITAL) -> DataFrame:
+    """Equity and market curves of a strategy frame."""
     f = f.withColumn("_g", F.lit(1.0) + F.col("strategy_return")) \
          .withColumn("_m", F.lit(1.0) + F.col("ret"))
     f = S.carry_scans(f, list(STRAT_KEYS), [("_g", "_eq", "product"), ("_m", "_mk", "product")])

@@ -2,7 +2,7 @@
 
 Return semantics follow a closes matrix aligned on the union calendar and
 forward-filled before ``pct_change``: a ticker gets return 0.0 on calendar
-dates where it has no bar (after its first bar), NULL on its first bar.
+dates where it has no bar or a missing close, NULL on its first date.
 ``complete`` dates (listwise ``dropna``) are those after every ticker's
 first bar.
 
@@ -20,12 +20,12 @@ Scale notes:
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.columns import ratio
@@ -33,12 +33,6 @@ from tickwise.operators import indicators as I
 from tickwise.plans import series as S
 
 
-def own_returns(bars: DataFrame, x: str = "close", block_rows: int | None = None) -> DataFrame:
-    """E8 per ticker on its own bars: (ticker, d, ret), NULL on the first bar."""
-    f = I.prepare(bars.select("ticker", "d", x), 1, block_rows=block_rows)
-    return I.finish(I.add_pct_change(f, x, "ret")).select("ticker", "d", "ret")
-
-
 def calendar_grid(bars: DataFrame) -> DataFrame:
     """C6 skeleton: every (ticker, calendar date) from the ticker's first bar
     to the last date of the table, calendar = dates with any bar."""
@@ -50,13 +44,21 @@ def calendar_grid(bars: DataFrame) -> DataFrame:
     return days.join(calendar, "d", "left_semi")
 
 
+def padded_closes(bars: DataFrame, x: str = "close", block_rows: int | None = None) -> DataFrame:
+    """(ticker, d, close) on every calendar date from the ticker's first
+    bar on; a missing or NULL close is the last one before it."""
+    return I.finish(_padded(bars, x, block_rows)).select("ticker", "d", x)
+
+
+def _padded(bars, x, block_rows):
+    grid = calendar_grid(bars).select("ticker", "d").join(bars.select("ticker", "d", x), ["ticker", "d"], "left")
+    return I.fill_missing(I.prepare(grid, 1, block_rows=block_rows), x)
+
+
 def daily_returns(bars: DataFrame, x: str = "close", block_rows: int | None = None) -> DataFrame:
-    """C6 -> E8: aligned, padded returns (ticker, d, ret) in long form."""
-    grid = calendar_grid(bars)
-    own = own_returns(bars, x, block_rows)
-    j = grid.join(own, ["ticker", "d"], "left")
-    ret = F.when(F.col("d") > F.col("first_d"), F.coalesce(F.col("ret"), F.lit(0.0)))
-    return j.select("ticker", "d", ret.alias("ret"))
+    """C6 -> E8: returns of the padded closes (ticker, d, ret); NULL on a
+    ticker's first date, 0.0 where it has no bar."""
+    return I.finish(I.add_pct_change(_padded(bars, x, block_rows), x, "ret")).select("ticker", "d", "ret")
 
 
 def complete_returns(returns: DataFrame) -> DataFrame:
@@ -69,9 +71,10 @@ def complete_returns(returns: DataFrame) -> DataFrame:
     return returns.join(full, "d", "left_semi")
 
 
-def aligned_matrix(bars: DataFrame, field: str = "close") -> DataFrame:
-    """Wide date x ticker matrix (one column per ticker), on demand."""
-    return bars.groupBy("d").pivot("ticker").agg(F.first(field))
+def aligned_matrix(bars: DataFrame, tickers: Sequence[str], field: str = "close") -> DataFrame:
+    """Wide date x ticker matrix, one column for each of ``tickers``.
+    The caller names them, so no job runs to find the columns."""
+    return bars.groupBy("d").pivot("ticker", list(tickers)).agg(F.max(field))
 
 
 # ------------------------------------------------------------------ D5
@@ -82,39 +85,28 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class _GramAcc:
-    """Running sums over dates for one set of tickers: x_a * x_b per pair,
-    and per ticker its sum and count."""
+    """Running sums over dates of x_a * x_b for the pairs of one tile."""
 
     def __init__(self):
         self.index: dict[str, int] = {}
         self.gram = np.zeros((0, 0))
-        self.sums = np.zeros(0)
-        self.counts = np.zeros(0)
 
     def add(self, chunk: pd.DataFrame) -> None:
         for t in chunk["ticker"].unique():
-            if t not in self.index:
-                self.index[t] = len(self.index)
+            self.index.setdefault(t, len(self.index))
         k = len(self.index)
         if k > self.gram.shape[0]:
             g = np.zeros((k, k))
             g[:self.gram.shape[0], :self.gram.shape[1]] = self.gram
             self.gram = g
-            self.sums = np.concatenate([self.sums, np.zeros(k - len(self.sums))])
-            self.counts = np.concatenate([self.counts, np.zeros(k - len(self.counts))])
         _, rows = np.unique(chunk["d"].to_numpy(), return_inverse=True)
-        cols = chunk["ticker"].map(self.index).to_numpy()
         mat = np.zeros((rows.max() + 1, k))
-        seen = np.zeros((rows.max() + 1, k))
-        mat[rows, cols] = chunk["x"].to_numpy()
-        seen[rows, cols] = 1.0
+        mat[rows, chunk["ticker"].map(self.index).to_numpy()] = chunk["x"].to_numpy()
         self.gram += mat.T @ mat
-        self.sums += mat.sum(axis=0)
-        self.counts += seen.sum(axis=0)
 
     def frame(self, blocks: dict | None = None) -> pd.DataFrame:
-        """Pairs keyed ticker_a <= ticker_b; diagonal rows carry the sum and
-        count.  With ``blocks`` (ticker -> block) only cross-block pairs."""
+        """Pairs keyed ticker_a <= ticker_b; with ``blocks`` (ticker -> block)
+        only cross-block pairs."""
         names = np.array(list(self.index), dtype=object)
         ia, ib = np.triu_indices(len(names))
         if blocks is not None:
@@ -123,10 +115,7 @@ class _GramAcc:
             ia, ib = ia[keep], ib[keep]
         a, b = names[ia], names[ib]
         swap = a > b
-        a, b = np.where(swap, b, a), np.where(swap, a, b)
-        diag = ia == ib
-        return pd.DataFrame({"ticker_a": a, "ticker_b": b, "sxy": self.gram[ia, ib],
-                             "s": np.where(diag, self.sums[ia], 0.0), "n": np.where(diag, self.counts[ia], 0.0)})
+        return pd.DataFrame({"ticker_a": np.where(swap, b, a), "ticker_b": np.where(swap, a, b), "sxy": self.gram[ia, ib]})
 
 
 def _complete_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -150,76 +139,69 @@ def _complete_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterat
 def _partial_gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per partition (rows sorted by tile and date): for every tile, the sums
     over dates of x_a * x_b for the pairs it owns.  A diagonal tile owns all
-    pairs of its ticker block (and the per-ticker sums and counts); an
-    off-diagonal tile owns the pairs across its two blocks."""
-    accs: dict[tuple, _GramAcc] = {}
-    blocks: dict[str, int] = {}
+    pairs of its ticker block, an off-diagonal tile the pairs across its two
+    blocks.  A tile is handed on when the next begins, so one is held."""
+    tile, acc, blocks = None, _GramAcc(), {}
+
+    def done():
+        if acc.index:
+            yield acc.frame(None if tile[0] == tile[1] else blocks)
+
     for chunk in _complete_groups(batches, ["_ta", "_tb", "d"]):
-        for (ta, tb), sub in chunk.groupby(["_ta", "_tb"], sort=False):
-            accs.setdefault((ta, tb), _GramAcc()).add(sub)
+        for now, sub in chunk.groupby(["_ta", "_tb"], sort=False):
+            if now != tile:
+                yield from done()
+                tile, acc, blocks = now, _GramAcc(), {}
+            acc.add(sub)
             blocks.update(zip(sub["ticker"], sub["_blk"]))
-    for (ta, tb), acc in accs.items():
-        if acc.index:
-            yield acc.frame(None if ta == tb else blocks)
+    yield from done()
 
 
 def corr_matrix(complete: DataFrame, partitions: int | None = None,
-                tile_tickers: int = 1024) -> DataFrame:
+                tile_tickers: int = 1024, days: int = 256) -> DataFrame:
     """Pearson correlation of every ticker pair over listwise-complete
     returns, mirrored, diagonal included; NULL for a constant series or
     fewer than 2 dates.
 
-    One pass: each partition of (tile, date) groups adds its cross products
-    (numpy), the partials are summed per pair, and two windows over the pair
-    table fetch each side's sum, square sum and count from its diagonal
-    row.  Tickers are tiled in blocks of ``tile_tickers``, so per-task state
-    is at most two blocks square, however large the universe."""
-    x = complete.select("d", "ticker", F.col("ret").alias("x"))
-    # Tickers in blocks of ``tile_tickers`` (dense ids over the ticker list,
-    # which is bounded by the universe); a row of block b goes to the nb tiles
-    # (min(b, j), max(b, j)), so no task ever holds a T x T matrix.
-    ids = x.select("ticker").distinct().select(
-        "ticker", F.floor((F.dense_rank().over(Window.orderBy("ticker")) - 1) / tile_tickers).alias("_blk"))
-    nb = ids.select(F.max("_blk") + 1).scalar()
+    Each ticker's mean is taken off first (a small table of tickers), so that
+    no digits cancel; then one pass adds cross products: each partition of
+    (tile, date range) groups sums its own (numpy), the partials are summed per
+    pair.  Tickers are dealt by hash to blocks of about ``tile_tickers``, and a
+    task holds one tile of two blocks at a time."""
+    x = complete.select("d", "ticker", "ret").where(F.col("ret").isNotNull())
+    same = F.min("ret") == F.max("ret")
+    stats = x.groupBy("ticker").agg(
+        F.when(same, F.min("ret")).otherwise(F.avg("ret")).alias("mean"),
+        F.when(~same & (F.count("ret") > 1), F.var_pop("ret") * F.count("ret")).alias("q"))
+    nb = x.select(F.ceil(F.approx_count_distinct("ticker") / tile_tickers).cast("int")).scalar()
     j = F.explode(F.sequence(F.lit(0), nb - 1))
-    tiled = (x.join(ids, "ticker").withColumn("_j", j)
-             .withColumn("_ta", F.least("_blk", "_j")).withColumn("_tb", F.greatest("_blk", "_j")).drop("_j"))
-    keys = ["_ta", "_tb", "d"]
+    tiled = (x.join(stats.select("ticker", "mean"), "ticker")
+             .withColumn("_blk", F.pmod(F.xxhash64("ticker"), nb).cast("int"))
+             .select("d", "ticker", "_blk", (F.col("ret") - F.col("mean")).alias("x"), j.alias("_j"))
+             .withColumn("_ta", F.least("_blk", "_j")).withColumn("_tb", F.greatest("_blk", "_j"))
+             .withColumn("_span", F.floor(F.unix_date("d") / F.lit(days))).drop("_j"))
+    keys = ["_ta", "_tb", "_span"]
     by_tile = tiled.repartition(partitions, *keys) if partitions else tiled.repartition(*keys)
-    parts = by_tile.sortWithinPartitions(*keys).mapInPandas(
-        _partial_gram, "ticker_a string, ticker_b string, sxy double, s double, n double")
-    sums = parts.groupBy("ticker_a", "ticker_b").agg(
-        F.sum("sxy").alias("sxy"), F.sum("s").alias("s"), F.sum("n").alias("n"))
-    on_diag = F.col("ticker_a") == F.col("ticker_b")
-    wa, wb = Window.partitionBy("ticker_a"), Window.partitionBy("ticker_b")
-    side = {}
-    for tag, w in (("a", wa), ("b", wb)):
-        side[f"s_{tag}"] = F.max(F.when(on_diag, F.col("s"))).over(w)
-        side[f"q_{tag}"] = F.max(F.when(on_diag, F.col("sxy"))).over(w)
-        side[f"n_{tag}"] = F.max(F.when(on_diag, F.col("n"))).over(w)
-    j = sums.withColumns(side)
-    n = F.col("n_a")
-    cov = F.col("sxy") - F.col("s_a") * F.col("s_b") / n
-    va = F.col("q_a") - F.col("s_a") * F.col("s_a") / n
-    vb = F.col("q_b") - F.col("s_b") * F.col("s_b") / n
-    corr = F.when((n > 1) & (va > 0) & (vb > 0), ratio(cov, F.sqrt(va * vb)))
-    both = F.when(on_diag, F.array(F.struct(F.col("ticker_a").alias("a"), F.col("ticker_b").alias("b")))) \
-        .otherwise(F.array(F.struct(F.col("ticker_a").alias("a"), F.col("ticker_b").alias("b")),
-                           F.struct(F.col("ticker_b").alias("a"), F.col("ticker_a").alias("b"))))
-    out = j.select(F.explode(both).alias("p"), corr.alias("corr"))
+    parts = by_tile.sortWithinPartitions("_ta", "_tb", "d").mapInPandas(
+        _partial_gram, "ticker_a string, ticker_b string, sxy double")
+    sums = parts.groupBy("ticker_a", "ticker_b").agg(F.sum("sxy").alias("sxy"))
+    qa = stats.select(F.col("ticker").alias("ticker_a"), F.col("q").alias("qa"))
+    qb = stats.select(F.col("ticker").alias("ticker_b"), F.col("q").alias("qb"))
+    corr = F.when((F.col("qa") > 0) & (F.col("qb") > 0), ratio(F.col("sxy"), F.sqrt("qa") * F.sqrt("qb")))
+    pair = F.struct(F.col("ticker_a").alias("a"), F.col("ticker_b").alias("b"))
+    mirror = F.struct(F.col("ticker_b").alias("a"), F.col("ticker_a").alias("b"))
+    both = F.when(F.col("ticker_a") == F.col("ticker_b"), F.array(pair)).otherwise(F.array(pair, mirror))
+    out = sums.join(qa, "ticker_a").join(qb, "ticker_b").select(F.explode(both).alias("p"), corr.alias("corr"))
     return out.select(F.col("p.a").alias("ticker_a"), F.col("p.b").alias("ticker_b"), "corr")
 
 
 # ------------------------------------------------------------------ C2, E11
 
-def ticker_pairs(returns: DataFrame) -> DataFrame:
-    """Unordered pairs (a < b) of the tickers present: the requested pair
-    list of the rolling view (one row per pair, T*(T-1)/2).  Generated from
-    the symbol list (bounded by the ticker universe) by two explodes, not a
-    join."""
-    names = returns.agg(F.array_sort(F.collect_set("ticker")).alias("names"))
-    a = names.select("names", F.explode("names").alias("ticker_a"))
-    return a.select("ticker_a", F.explode(F.filter("names", lambda t: t > F.col("ticker_a"))).alias("ticker_b"))
+def ticker_pairs(spark: SparkSession, tickers: Sequence[str]) -> DataFrame:
+    """Unordered pairs (a < b) of the tickers the caller asks for."""
+    names = sorted(set(tickers))
+    return spark.createDataFrame([(a, b) for i, a in enumerate(names) for b in names[i + 1:]],
+                                 "ticker_a string, ticker_b string")
 
 
 def pairwise_returns(returns: DataFrame, pairs: DataFrame) -> DataFrame:

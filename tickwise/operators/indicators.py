@@ -71,10 +71,18 @@ def add_diff(df, x: str = "close", out: str = "delta", keys=KEYS) -> DataFrame:
 
 
 def add_pct_change(df, x: str = "close", out: str = "ret", keys=KEYS) -> DataFrame:
-    """Row / previous - 1 (NULL on the first row or a zero previous)."""
+    """Row / previous - 1 (NULL on the first row or a zero previous).  A
+    missing value counts as the last one before it (``fill_missing`` pads
+    series with gaps first)."""
     return df.withColumn(out, ratio(F.col(x), F.lag(F.col(x), 1).over(_w(keys))) - F.lit(1.0))
 
 
+def fill_missing(df, x: str = "close", keys=KEYS) -> DataFrame:
+    """Each missing value becomes the last one before it in its series,
+    however far back and across blocks; leading ones stay missing."""
+    return S.ffill_scan(df, list(keys), x, "_padded").withColumn(x, F.col("_padded")).drop("_padded")
+
+
 def add_cumprod(df, x: str, out: str, keys=KEYS) -> DataFrame:
     """Cumulative product, NULLs skipped and left NULL."""
     return S.carry_scan(df, list(keys), x, out, "product")

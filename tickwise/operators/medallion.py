@@ -77,8 +77,3 @@ def volatility_band(silver: DataFrame) -> DataFrame:
     return clean.select("ticker", "window_start", "SMA", "volatility",
                         (F.col("SMA") - F.col("volatility")).alias("band_low"),
                         (F.col("SMA") + F.col("volatility")).alias("band_high"))
-
-
-def tickers_of(df: DataFrame) -> DataFrame:
-    """Distinct symbols."""
-    return df.select("ticker").distinct()

@@ -16,10 +16,11 @@ from tickwise.functions.columns import int_text, pct_text, ratio
 
 
 def latest(df: DataFrame, key: str = "ticker", order: str = "d") -> DataFrame:
-    """The last row of every series (all columns)."""
-    rest = [c for c in df.columns if c != key]
-    last = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_last")
-    return df.groupBy(key).agg(last).select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
+    """The last row of every series (all columns).  One ``max_by`` per
+    column: numbers and dates then stay in a hash aggregate."""
+    rest = [c for c in df.columns if c not in (key, order)]
+    last = [F.max_by(c, order).alias(c) for c in rest]
+    return df.groupBy(key).agg(F.max(order).alias(order), *last).select(*df.columns)
 
 
 def last_k(df: DataFrame, k: int, key: str = "ticker", order: str = "d") -> DataFrame:

@@ -52,8 +52,9 @@ def add_bollinger_strategy(f, window: int = 20, num_std: float = 2.0, keys=I.KEY
     return _position(f, "signal", "position", keys)
 
 
-def strategy_halo(short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14, bb_n=20) -> int:
-    return max(long, rsi_n + 1, bb_n, I.macd_halo(fast, slow, signal)) + 1
+def strategy_halo(short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14, rsi_threshold=70.0, bb_n=20) -> int:
+    """Rows of history that ``add_all_signals`` with these parameters sees."""
+    return max(short, long, rsi_n + 1, bb_n, I.macd_halo(fast, slow, signal)) + 1
 
 
 def _single(bars, fn, halo, block_rows=None):
@@ -61,7 +62,7 @@ def _single(bars, fn, halo, block_rows=None):
 
 
 def strategy_sma_crossover(bars, short=50, long=200, block_rows=None):
-    return _single(bars, lambda f: add_sma_crossover(f, short, long), long + 1, block_rows)
+    return _single(bars, lambda f: add_sma_crossover(f, short, long), max(short, long) + 1, block_rows)
 
 
 def strategy_macd(bars, fast=12, slow=26, signal=9, block_rows=None):

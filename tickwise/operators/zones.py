@@ -71,10 +71,6 @@ def min_history(df: DataFrame, n: int = 2, key: str = "ticker") -> DataFrame:
     return df.join(enough, key, "left_semi")
 
 
-def volatility_band(df: DataFrame, mid: str = "SMA", vol: str = "volatility") -> DataFrame:
-    """Mid - vol and mid + vol."""
-    return df.withColumns({"band_low": F.col(mid) - F.col(vol), "band_high": F.col(mid) + F.col(vol)})
-
 
 def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """B2: drop rows with NULL or NaN in ``subset``.  The explicit

@@ -114,20 +114,20 @@ def with_(*ctes: str) -> str:
 STRATEGY_NAMES = ["SMA Crossover", "MACD Momentum", "RSI Filter", "Bollinger Bands"]
 
 
-def signals_ctes() -> str:
+def signals_ctes(short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14, rsi_threshold=70, bb_n=20) -> str:
     """CTE ``lg``: one row per (ticker, strategy, d) with ret, signal,
     position, strategy_return."""
     return ",\n".join([
-        macd_ctes(),
+        macd_ctes(fast, slow, signal),
         gain_loss_cte("b"),
         f"""ind AS (
   SELECT gl.ticker, gl.d, gl.i, gl.close,
          gl.close / NULLIF({lag('gl.close', part='PARTITION BY gl.ticker ORDER BY gl.d')}, 0) - 1 AS ret,
-         {roll('AVG', 'gl.close', 50, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s50,
-         {roll('AVG', 'gl.close', 200, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s200,
-         {roll('AVG', 'gl.close', 20, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s20,
-         {roll('AVG', 'gain', 14, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS ag,
-         {roll('AVG', 'loss', 14, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS al,
+         {roll('AVG', 'gl.close', short, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s50,
+         {roll('AVG', 'gl.close', long, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s200,
+         {roll('AVG', 'gl.close', bb_n, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS s20,
+         {roll('AVG', 'gain', rsi_n, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS ag,
+         {roll('AVG', 'loss', rsi_n, 'PARTITION BY gl.ticker ORDER BY gl.d')} AS al,
          m.macd, m.sig
   FROM gl JOIN m ON m.ticker = gl.ticker AND m.i = gl.i
 )""",
@@ -135,7 +135,7 @@ def signals_ctes() -> str:
   SELECT ticker, d, i, ret,
          CASE WHEN s50 > s200 THEN 1.0 ELSE 0.0 END AS sig0,
          CASE WHEN macd > sig THEN 1.0 ELSE 0.0 END AS sig1,
-         CASE WHEN ({rsi_expr('ag', 'al')}) < 70 THEN 1.0 ELSE 0.0 END AS sig2,
+         CASE WHEN ({rsi_expr('ag', 'al')}) < {rsi_threshold} THEN 1.0 ELSE 0.0 END AS sig2,
          CASE WHEN close < s20 THEN 1.0 ELSE 0.0 END AS sig3
   FROM ind
 )""",

@@ -3,9 +3,9 @@
 A DataFrame referenced several times in one plan is recomputed per reference
 (only identical exchanges are reused, and column pruning makes the references
 differ).  Where a pipeline genuinely re-reads an intermediate (bars used for
-index, block carries and calendar; returns used for both pair sides), it is
-written once as a Parquet table under the shared folder named by
-``spark.checkpoint.dir`` and read back.  Compared with ``Dataset.checkpoint``
+index, block carries and calendar; returns used for both pair sides), the
+caller writes it once, whatever its size, as a Parquet table under the shared
+folder named by ``spark.checkpoint.dir``, and reads it back.  Compared with ``Dataset.checkpoint``
 this computes the plan once (an RDD checkpoint re-runs it to write the
 files), and the re-read gets column pruning and filter pushdown.  Lost
 executors re-read files instead of recomputing the lineage.
@@ -15,49 +15,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.session import checkpoint_dir
 
+_WRITTEN: list[str] = []
+
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and return the scan."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
-
-
-# Session setting: plans whose estimated size is at least this many bytes are
-# written once before being re-read; smaller ones are cheaper to recompute
-# than to write and read back.
-REUSE_MIN_BYTES_CONF = "spark.tickwise.reuse.minBytes"
-REUSE_MIN_BYTES_DEFAULT = 1 << 30
-
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes carried up the plan);
-    read from the analyzed plan, which already exists, so neither a job nor
-    an optimizer pass runs.  None if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. a remote session without the JVM handle
-        return None
 
-
-def reuse(df: DataFrame, name: str = "t") -> DataFrame:
-    """Prepare an intermediate that the plan references several times.
-
-    Column pruning gives every reference a different subtree, so Spark cannot
-    reuse the exchange and recomputes the intermediate once per reference.
-    When its estimated size (which grows with the input it is derived from)
-    reaches ``spark.tickwise.reuse.minBytes`` it is written once with
-    ``materialize``; below that, recomputing is cheaper than a write and a
-    re-read.  A missing estimate counts as large.
-    """
-    spark = df.sparkSession
-    limit = int(spark.conf.get(REUSE_MIN_BYTES_CONF, str(REUSE_MIN_BYTES_DEFAULT)))
-    size = estimated_bytes(df)
-    if size is None or size >= limit:
-        return materialize(df, name)
-    return df
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize`` has written in this process; to
+    be called when the frames over them have been consumed."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

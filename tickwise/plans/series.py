@@ -17,9 +17,10 @@ rows that task is the job.  Here a series is cut into blocks of ``B`` rows:
    fill) are done in two levels: inside the block, plus a carry computed over
    the small table of block totals (``carry_scan``).
 4. ``add_ema`` evaluates the recursive exponential average inside blocks as a
-   sum over sub-blocks of ``Be`` rows, where ``q ** Be <= 1e-17`` makes the
-   carry from two sub-blocks back vanish in double precision (exact, not an
-   approximation beyond rounding).
+   scan over sub-blocks of ``Be`` rows, with ``q ** Be`` about 1e-174.  A row
+   sees its own sub-block and the two before it; what is older has a weight
+   below 1e-320, which no double holds and which the plain recursion has lost
+   as well, so the result is that of the recursion at every row.
 
 All steps are built-in window and aggregate expressions (JVM, codegen); no
 Python runs per row.
@@ -57,23 +58,11 @@ def seconds_bucket(c: str | Column, seconds: int | Column = 3600) -> Column:
     return F.floor(c / F.lit(seconds))
 
 
-# Inputs estimated below this many bytes get one bucket per series: no group
-# can then outgrow a task, and the sizing scan is skipped.
-SIZING_MIN_BYTES = 256 << 20
-ONE_BUCKET = 1 << 62
-
-
-def adaptive_width(df: DataFrame, order_col: str, keys: Sequence[str], target_rows: int = 1 << 16):
+def adaptive_width(df: DataFrame, order_col: str, keys: Sequence[str], target_rows: int = 1 << 16) -> Column:
     """Bucket width (in units of ``order_col``) so that a (series, bucket)
     group holds about ``target_rows`` rows: target * span * series / rows.
     A scalar-subquery Column, evaluated inside the job that uses it; the
-    buckets then stay bounded however dense the hottest series gets.  For an
-    input the optimizer estimates below ``SIZING_MIN_BYTES`` (no job runs for
-    the estimate) the width is ``ONE_BUCKET``."""
-    from tickwise.plans.materialize import estimated_bytes
-    size = estimated_bytes(df)
-    if size is not None and size < SIZING_MIN_BYTES:
-        return ONE_BUCKET
+    buckets then stay bounded however dense the hottest series gets."""
     x = F.col(order_col)
     n_series = F.approx_count_distinct(F.struct(*keys)) if len(keys) > 1 else F.approx_count_distinct(keys[0])
     span = F.max(x) - F.min(x) + 1
@@ -86,16 +75,9 @@ def index_series(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Co
 
     ``order`` must be a total order within a series and ``bucket`` must be
     non-decreasing along it.  No task sorts more than one (series, bucket)
-    group, and the offset table has one row per (series, bucket).  An input
-    the optimizer estimates below ``SIZING_MIN_BYTES`` is one bucket per
-    series, so the position is a plain row number (no offset table or join).
+    group, and the offset table has one row per (series, bucket).
     """
-    from tickwise.plans.materialize import estimated_bytes
     keys = list(keys)
-    size = estimated_bytes(df)
-    if size is not None and size < SIZING_MIN_BYTES:
-        return df.withColumn(IDX, (F.row_number().over(
-            Window.partitionBy(*keys).orderBy(*_cols(order))) - 1).cast("long"))
     tb, rn, off = "_tb", "_rn", "_off"
     staged = df.withColumn(tb, bucket)
     ranked = staged.withColumn(rn, F.row_number().over(
@@ -204,8 +186,9 @@ def ffill_scan(df: DataFrame, keys: Sequence[str], x: str, out: str) -> DataFram
     """Forward fill (last non-null at or before the row) across blocks."""
     keys = list(keys)
     own = F.when(~F.col(HALO), F.col(x))
-    tot = (df.filter(~F.col(HALO) & F.col(x).isNotNull()).groupBy(*keys, BLK)
-           .agg(F.max_by(F.col(x), F.col(IDX)).alias("_tot")))
+    # one row for each block, also for one without values: it passes the carry on
+    tot = (df.filter(~F.col(HALO)).groupBy(*keys, BLK)
+           .agg(F.max_by(F.col(x), F.when(F.col(x).isNotNull(), F.col(IDX))).alias("_tot")))
     carry = tot.select(*keys, BLK, F.last("_tot", ignorenulls=True).over(
         Window.partitionBy(*keys).orderBy(BLK).rowsBetween(UNB, -1)).alias("_carry"))
     run = F.last(own, ignorenulls=True).over(block_window(keys).rowsBetween(UNB, 0))
@@ -216,64 +199,81 @@ def ffill_scan(df: DataFrame, keys: Sequence[str], x: str, out: str) -> DataFram
 
 # ---------------------------------------------------------------- EMA
 
+# Exponent of a sub-block: q ** Be = exp(-EMA_SPAN).  Small enough that
+# 1 / q ** Be is far from overflow, and twice of it is below the least double.
+EMA_SPAN = 400.0
+
+
 def ema_subblock(alpha: float) -> int:
-    """Rows per EMA sub-block: smallest power of two with q**Be <= 1e-17."""
+    """Rows per EMA sub-block."""
     q = 1.0 - alpha
-    if q <= 0.0:
-        return 1
-    need = math.log(1e-17) / math.log(q)
-    return 1 << max(0, math.ceil(math.log2(max(need, 1.0))))
+    return 1 if q <= 0.0 else max(1, math.ceil(-EMA_SPAN / math.log(q)))
 
 
 def ema_halo(alphas: Sequence[float], depth: int = 1, window: int = 0) -> int:
-    """Halo rows that make ``depth`` nested EMAs (and ``window``-row frames)
-    exact inside a block: ``depth + 1`` of the largest sub-blocks."""
+    """Halo rows that hold all the history that ``depth`` nested EMAs (and
+    ``window``-row frames) can see: three of the largest sub-blocks each."""
     be = max([ema_subblock(a) for a in alphas] or [1])
-    return (depth + 1) * be + window if alphas else window
+    return 3 * depth * be + window if alphas else window
 
 
 def add_ema(df: DataFrame, keys: Sequence[str], x: str, out: str, alpha: float,
             min_periods: int = 0) -> DataFrame:
     """``out`` = pandas ``x.ewm(alpha=alpha, adjust=False, min_periods=...)``.
 
-    y0 = x0, yt = (1-alpha) y(t-1) + alpha xt; leading NULLs are skipped (the
-    average starts at the first value); ``min_periods`` counts values.  The
-    input must not have interior NULLs.  Needs a blocked frame whose halo is
-    at least ``ema_halo`` rows.
+    The average starts at the first value; a value ``g`` rows after the last
+    one enters with weights ``q ** g`` to ``alpha``, scaled to 1 (weights decay
+    by position); a NULL row repeats the average; ``min_periods`` counts
+    values.  Needs a blocked frame whose halo is at least ``ema_halo`` rows.
     """
     return add_emas(df, keys, [(x, out, alpha, min_periods)])
 
 
 def add_emas(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
-    """Several independent EMAs ``(x, out, alpha, min_periods)`` in three
-    projections (weights, sub-block sums, outputs)."""
+    """Several independent EMAs ``(x, out, alpha, min_periods)``, in four
+    projections: row of the last value, factors, sub-block scans, outputs.
+
+    With ``a`` the factor that a value leaves to the average before it, the
+    recursion is ``y = a y' + (1 - a) x``.  Inside a sub-block ``P`` is the
+    running product of the factors after the first value and ``L`` the part
+    from its own values, ``P * sum((1 - a) x / P)``; ``a1 P`` is what is left of
+    the average at the end of the sub-block before, ``a1`` being the first
+    value's factor."""
     keys = list(keys)
     wb = block_window(keys)
     i = F.col(IDX)
-    weights, locals_, outs, temps = {}, {}, {}, []
-    for x, out, alpha, min_periods in specs:
-        xc = F.col(x)
-        q = 1.0 - alpha
-        valid = xc.isNotNull()
-        if min_periods > 1:
-            valid = valid & F.lag(xc, min_periods - 1).over(wb).isNotNull()
+    before = wb.rowsBetween(UNB, -1)
+    steps: list[dict] = [{} for _ in range(5)]
+    outs, last_of, temps = {}, {}, []
+    for n, (x, out, alpha, min_periods) in enumerate(specs):
+        xc, q, be = F.col(x), 1.0 - alpha, ema_subblock(alpha)
+        seen = F.count(xc).over(wb.rowsBetween(UNB, 0)) >= max(1, min_periods)
         if q <= 0.0:
-            outs[out] = F.when(valid, xc)
+            outs[out] = F.when(seen, F.last(xc, ignorenulls=True).over(wb.rowsBetween(UNB, 0)))
             continue
-        be = ema_subblock(alpha)
-        j = F.pmod(i, F.lit(be)).cast("double")
-        wt, loc = f"_w_{out}", f"_l_{out}"
-        temps += [wt, loc]
-        first = xc.isNotNull() & F.lag(xc, 1).over(wb).isNull()
-        weights[wt] = F.when(xc.isNull(), F.lit(0.0)).when(first, F.lit(1.0)).otherwise(F.lit(alpha))
-        term = F.coalesce(xc, F.lit(0.0)) * F.col(wt) * F.pow(F.lit(q), -j)
-        wu = Window.partitionBy(*keys, BLK, F.floor(i / F.lit(be))).orderBy(IDX).rowsBetween(UNB, 0)
-        locals_[loc] = F.pow(F.lit(q), j) * F.sum(term).over(wu)
-        prev_tail = F.last(F.when(j == be - 1, F.col(loc)), ignorenulls=True).over(
-            wb.rowsBetween(UNB, -1))
-        y = F.col(loc) + F.pow(F.lit(q), j + 1) * F.coalesce(prev_tail, F.lit(0.0))
-        outs[out] = F.when(valid, y)
-    if weights:
-        df = df.withColumns(weights).withColumns(locals_)
+        if x not in last_of:
+            last_of[x] = f"_at{n}"
+            steps[0][f"_at{n}"] = F.last(F.when(xc.isNotNull(), i), ignorenulls=True).over(before)
+        at, (a, first, p, left, tail, near) = F.col(last_of[x]), (f"_{k}{n}" for k in "afplty")
+        sub, end = F.floor(i / F.lit(be)), F.pmod(i, F.lit(be)) == be - 1
+        decay = F.pow(F.lit(q), (i - at).cast("double"))
+        # consecutive values take q and alpha as they are: 1 - a would lose digits of a small alpha
+        steps[1][a] = (F.when(xc.isNull(), F.lit(1.0)).when(at.isNull(), F.lit(0.0)).when(i - at == 1, F.lit(q))
+                       .otherwise(decay / (decay + F.lit(alpha))))
+        own = F.when(i - at == 1, F.lit(alpha)).otherwise(F.lit(1.0) - F.col(a))
+        steps[1][first] = xc.isNotNull() & (at.isNull() | (F.floor(at / F.lit(be)) < sub))
+        wu = Window.partitionBy(*keys, BLK, sub).orderBy(IDX).rowsBetween(UNB, 0)
+        steps[2][p] = F.product(F.when(F.col(first), F.lit(1.0)).otherwise(F.col(a))).over(wu)
+        gain = F.when(xc.isNull(), F.lit(0.0)).otherwise(own * xc / F.col(p))
+        steps[3][left] = F.col(p) * F.sum(gain).over(wu)
+        steps[3][tail] = F.col(p) * F.coalesce(F.max(F.when(F.col(first), F.col(a))).over(wu), F.lit(1.0))
+        # only the last row of a sub-block is an end, so the last end before a row is that of the sub-block before
+        steps[4][near] = F.col(left) + F.col(tail) * F.coalesce(F.last(F.when(end, F.col(left)), ignorenulls=True).over(before), F.lit(0.0))
+        y = F.col(left) + F.col(tail) * F.coalesce(F.last(F.when(end, F.col(near)), ignorenulls=True).over(before), F.lit(0.0))
+        outs[out] = F.when(seen, y)
+    for step in steps:
+        if step:
+            df = df.withColumns(step)
+            temps += step
     keep = [c for c in df.columns if c not in temps and c not in outs]
     return df.select(*keep, *[v.alias(k) for k, v in outs.items()])

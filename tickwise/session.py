@@ -38,19 +38,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    Read from the session.  Only a local master may go without: there one
+    scratch folder per session is created and registered.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tickwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -60,7 +61,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def apply_core_conf(spark: SparkSession) -> None:
     """Apply the session-level settings tickwise needs to an existing session."""
     for k, v in CORE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a managed session: keep theirs
-            pass

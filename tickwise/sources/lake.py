@@ -74,7 +74,3 @@ def load_bars_period(bars: DataFrame, ticker: str | None = None, period: str = "
     out = bars if ticker is None else bars.filter(F.col("ticker") == ticker)
     out = lookback(out, period)
     return out if interval == "1d" else resample(out, interval)
-
-
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BARS).parquet(path)

@@ -2,8 +2,9 @@
 
 * bronze: Kafka-style frames (any ``value`` BINARY source) decoded and
   appended to Parquet with a checkpoint (A1-A3);
-* silver: event-time watermark *first*, then de-duplication (its state now
-  expires with the watermark), then sliding windows in append mode: a window
+* silver: event-time watermark *first*, then de-duplication as an aggregate
+  per tick time (the same survivor as in batch, whatever the arrival order;
+  its state expires with the watermark), then sliding windows in append mode: a window
   is written once the watermark passes its end; rows later than the
   watermark are dropped (J1-J4);
 * gold: its own query over the silver table: a stateful per-ticker
@@ -35,7 +36,10 @@ def silver_stream(bronze: DataFrame, size: str = "1 minute", slide: str = "30 se
                   lateness: str = DEFAULT_LATENESS) -> DataFrame:
     """J1-J4 + D3: watermark, dedup inside the watermark, windowed features."""
     ts = with_event_time(bronze).withWatermark("ts", lateness)
-    deduped = ts.dropDuplicatesWithinWatermark(["ticker", "timestamp"])
+    # whole seconds: a one-second window holds exactly the ticks of one timestamp
+    second = F.window("ts", "1 second").alias("second")
+    best = ts.groupBy("ticker", "timestamp", second).agg(F.min(F.struct("price", "source")).alias("best"))
+    deduped = best.select("ticker", "timestamp", "best.price", "best.source", F.window_time("second").alias("ts"))
     return windowed_features(deduped, size, slide, ts="ts")
 
 
@@ -72,9 +76,3 @@ def run_gold(spark: SparkSession, silver_path: str, gold_path: str, checkpoint:
         if q.exception() is not None:
             raise q.exception()
     return q
-
-
-def watermark_cut(silver_batch: DataFrame, max_event_seconds, lateness_seconds: int = 120) -> DataFrame:
-    """Batch expectation of an append-mode stream that has seen everything:
-    windows whose end is at or before the final watermark."""
-    return silver_batch.filter(F.unix_seconds(F.col("window_end")) <= max_event_seconds - lateness_seconds)
