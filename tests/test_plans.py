@@ -52,7 +52,7 @@ def test_headline_plans_read_the_ticks_once_or_twice(spark):
     assert "events" not in plan(QUERIES["silver_rows"](spark, SF_SMALL))
     # the walk itself, and the subquery that sizes its chunks (not the cached bars of the fixtures)
     p = plan(load_bars(spark, SF_MID))
-    assert "InMemory" not in p and p.count("FileScan parquet") <= 3
+    assert "InMemoryTableScan" not in p and p.count("FileScan parquet") <= 3
 
 
 def test_no_shared_folder_no_work():
