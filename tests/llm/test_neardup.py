@@ -110,3 +110,33 @@ def test_long_text_in_pieces_has_the_same_set():
     word = "y" * 2_500_000
     sets = dict(T.shingle_sets(pa.array([word + " a b c d e", "z", word + "\ta B c d e"])))
     assert np.array_equal(sets[0], sets[2]) and len(sets[0]) == 2
+
+
+def test_pairs_of_small_sets_share_keys_and_pass_the_sketches(spark):
+    """4,800 pairs of 4 to 40 shingles at 0.75 to 0.80, and larger ones."""
+    rng = np.random.default_rng(8)
+    rows, far = [], 0
+    for union, meet in [(4, 3), (8, 6), (12, 9), (20, 15), (40, 30), (5, 4), (10, 8), (20, 16)]:
+        for _ in range(600):
+            h = rng.integers(0, 1 << 64, union, dtype=np.uint64)
+            split = meet + (union - meet) // 2
+            a, b = N.minima(h[:split]), N.minima(np.concatenate([h[:meet], h[split:]]))
+            far += int((N.two_bits(a) != N.two_bits(b)).sum() > N.FARTHEST)
+            rows += [(len(rows), N.signature(a).tobytes()), (len(rows) + 1, N.signature(b).tobytes())]
+    df = spark.createDataFrame([(i, bytearray(s)) for i, s in rows], "node long, sig binary")
+    keyed = N.chunk_keys(df).selectExpr("key", "node", "node div 2 as pair")
+    together = keyed.groupBy("pair", "key").count().where("count > 1").select("pair").distinct().count()
+    assert together == len(rows) // 2 and far == 0
+
+
+def test_short_near_copies_are_all_linked(spark, docs_of):
+    """Three thousand pairs of texts of 4 to 40 shingles, at 0.75 to 0.80."""
+    rng = random.Random(9)
+    rows, pairs = [], 0
+    for union, meet in [(4, 3), (8, 6), (12, 9), (20, 15), (40, 30), (5, 4)]:
+        for _ in range(500):
+            words = [f"p{pairs}w{k}" for k in range(union + 4)]
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(words[: meet + 4]))]
+            pairs += 1
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(docs_of(rows)).collect()}
+    assert [i for i in range(pairs) if got[2 * i + 1] != 2 * i] == []

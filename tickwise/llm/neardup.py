@@ -6,13 +6,15 @@ WIDTH`` minima of ``BITS`` bits.  By the pigeonhole principle two signatures
 that differ in at most ``CHUNKS * (ERRORS + 1) - 1`` minima have a chunk with
 at most ``ERRORS`` differing minima; listing, for each chunk, what is left
 when ``ERRORS`` of its minima are taken out gives keys of which such a pair
-shares one.  At a similarity of 0.75 that misses a pair with a probability of
-6e-6, and less above.  Two sketches are compared inside the join, so that
-hopeless pairs never become rows: an odd sketch of ``ODD`` bits (each shingle
-flips one; as many bits differ as shingles do, or fewer, so a pair with more
-than a seventh of both sizes is certainly below 0.75), and, for large sets,
-256 minima of two bits, which drops pairs more than 5.5 deviations off, 2e-8
-at 0.75.  What is left is confirmed on the full sets.
+shares one.  Each minimum multiplies the hashes by an odd number of its own, so
+that the minima are independent in small sets too.  At a similarity of 0.75 the
+keys miss a pair with a probability of 6e-6, and less above.  Two sketches are
+compared inside the join, so that hopeless pairs never become rows: an odd
+sketch of ``ODD`` bits (each shingle flips one; as many bits differ as shingles
+do, or fewer, so a pair with more than a seventh of both sizes is certainly
+below 0.75), and, for pairs of ``LARGE`` shingles or more together, 256 minima
+of two bits, which drops pairs more than 5.5 deviations off: 1.3e-7 at 0.75,
+2e-12 at 0.8.  What is left is confirmed on the full sets.
 
 No group is expanded into all its pairs.  Of keys with the same members one
 is kept.  First every member of a key is
@@ -49,24 +51,35 @@ ODD = 1024  # bits of the odd sketch
 ODDS = [f"o{i}" for i in range(ODD // 64)]
 SKETCHES = [*LONGS, *ODDS]
 FARTHEST = 82  # of 256: 48 expected at 0.75, deviation 6.24
+LARGE = 400  # shingles of a pair; below, the odd sketch is nearly exact
 #: Links: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
 #: Ids that are sent to all executors at most: 16 bytes each.
 BROADCAST_ROWS = 2_000_000
 
-SEEDS = T.seeds(SKETCH, 5000)
+SEEDS = T.seeds(SKETCH, 5000) | T.U(1)
 
 
 def minima(h: np.ndarray) -> np.ndarray:
-    """The least hash under each seed: with random hashes, each is equally
-    likely the nearest to a seed, so two sets agree as often as they are
-    similar."""
+    """The least product of a hash with each seed: each seed orders the hashes
+    anew, so two sets agree as often as they are similar, seed by seed."""
     out = np.full(SKETCH, T.MASK, np.uint64)
     for a in range(0, len(h), 512):
-        np.minimum(out, np.bitwise_xor.outer(h[a : a + 512], SEEDS).min(0), out=out)
+        np.minimum(out, np.multiply.outer(h[a : a + 512], SEEDS).min(0), out=out)
     return out
 
 
+def signature(m: np.ndarray) -> np.ndarray:
+    """16 bits of each of the first minima."""
+    return m[:MINIMA].astype(np.uint16)
+
+
+def two_bits(m: np.ndarray) -> np.ndarray:
+    """Two bits of each minimum, of the product and not of the hash: in a small
+    set few hashes are the minima of all seeds."""
+    return (m >> T.U(30)) & T.U(3)
+
+
 def signed(x) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64), pa.int64())
 
@@ -82,9 +95,9 @@ def features(docs: DataFrame) -> DataFrame:
                 n.append(len(h))
                 f1.append(int(T.mix(h + T.U(11)).sum()) & T.MASK if len(h) else 0)
                 f2.append(int(T.mix(h * T.U(T.BASE)).sum()) & T.MASK if len(h) else 0)
-                m = minima(h) ^ SEEDS  # the hashes that were nearest
-                sig.append(m[:MINIMA].astype(np.uint16).tobytes() if len(h) else None)
-                two = ((m >> T.U(40)) & T.U(3)).reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * T.U(2))
+                m = minima(h)
+                sig.append(signature(m).tobytes() if len(h) else None)
+                two = two_bits(m).reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * T.U(2))
                 sketch.append(np.bitwise_or.reduce(two, 1))
                 flips = np.bincount((h >> T.U(20)).astype(np.int64) & (ODD - 1), minlength=ODD) & 1
                 odd.append(np.packbits(flips.astype(np.uint8)).view(np.uint64))
@@ -137,7 +150,7 @@ def may_link(a: str, b: str):
     set only are (100 - SIMILAR) / (100 + SIMILAR) of x + y at most."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     return ((100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)) & ((100 + SIMILAR) * odd_distance(a, b) <= (100 - SIMILAR) * (n + m))
-            & (distance(a, b) <= FARTHEST))
+            & ((n + m < LARGE) | (distance(a, b) <= FARTHEST)))
 
 
 def with_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
