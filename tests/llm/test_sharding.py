@@ -57,3 +57,19 @@ def test_level():
     assert S.level(np.array([5.0, 1.0, 9.0]), 6).tolist() == [1.0, 5.0, 0.0]
     assert S.level(np.array([0.0, 0.0]), 0).tolist() == [0.0, 0.0]
     assert S.level(np.array([1.0, 3.0]), 10).tolist() == [6.0, 4.0]
+
+
+def test_few_groups_are_parted_however_many_are_linked(spark, docs_of):
+    """Pairs and groups of three, nine tenths and all of the documents linked."""
+    for copies, alone in [(2, 0), (2, 300), (3, 0)]:
+        rows = [(i, f"text {i // copies:05d} " * 20) for i in range(1500 * copies)]
+        rows += [(100_000 + i, f"alone {i:04d} " * 20) for i in range(alone)]
+        homes, _ = check(rows, S.sharded(docs_of(rows), 10).collect(), 10, 600)
+        assert sum(homes[t] > 1 for t in homes) <= 2 * 10, (copies, alone)
+
+
+def test_what_leaves_a_shard_makes_room():
+    import numpy as np
+    flow = np.array([[0.0, 4.0, 0.0], [0.0, 0.0, 4.0], [0.0, 0.0, 0.0]])
+    assert S.admitted(flow, np.array([10.0, 10.0, 6.0]), 10.0).tolist() == [0.0, 1.0, 1.0]
+    assert S.admitted(flow, np.array([10.0, 10.0, 10.0]), 10.0).tolist() == [0.0, 0.0, 0.0]

@@ -3,12 +3,16 @@
 Documents with equal texts are linked.  The linked ones start on shards by a
 hash of their id; round by round each group's shards are joined back to its
 documents, which move to the shard where most of their neighbours are (a group
-larger than a shard has as many homes as it needs), as far as the quota of
-bytes of the shard they want has room.  Whole small groups move or stay.  The
-documents without links, and what a shard holds above its quota, are ballast:
-size class by size class, largest first, they fill all shards to one level,
-so that the small ones even out what the large ones left.  Equal texts stand
-next to each other in that order, so few are parted.
+larger than a shard has as many homes as it needs; equal shares are decided by
+a hash of group and round), as far as the quota of bytes of the shard they want
+has room, what leaves it counted.  Whole small groups move or stay; one whose
+shard was full wants the next of its shards.  The documents without links, the
+small groups that are still parted, and what a shard holds above its quota, are
+ballast: size class by size class, largest first, they fill all shards to one
+level, so that the small ones even out what the large ones left.  Equal texts
+stand next to each other in that order, so only groups at a border between two
+shards are parted: however many documents are linked, a few a size class and
+shard.
 
 Nothing is numbered or summed in one task: positions are sums within hash
 buckets plus the sums of the buckets before.  Rows are told apart by a number
@@ -60,29 +64,50 @@ def by_shard(df: DataFrame, column: str, shards: int) -> np.ndarray:
     return out
 
 
+def admitted(flow: np.ndarray, held: np.ndarray, quota: float) -> np.ndarray:
+    """The share of what asks for each shard that it takes: its room and what
+    leaves it, given the shares of the others.  ``flow``: bytes by shard and
+    wanted shard."""
+    asked, share = flow.sum(0), np.zeros(len(held))
+    for _ in range(len(held)):
+        share = np.where(asked > 0, np.clip((quota - held + flow @ share) / np.maximum(asked, 1), 0, 1), 0)
+    return share
+
+
 def propagate(state: DataFrame, shards: int, quota: float, rounds: int = ROUNDS) -> DataFrame:
     """The linked documents with the shards they end on; ``homes``: how many
-    shards their group asks for."""
-    state = state.withColumn("homes", F.lit(1))
+    shards their group asks for; ``parted``: it asks for one and has more."""
+    state = state.withColumn("homes", F.lit(1)).withColumn("parted", F.lit(False))
+    full = np.zeros(shards, bool)
     for turn in range(rounds):
         cells = state.groupBy("g1", "g2", "shard").agg(F.sum("size").alias("bytes"))
+        cells = cells.withColumn("tie", F.xxhash64(F.lit(turn), "g1", "g2", "shard"))
         # at most as many entries as there are shards
         groups = cells.groupBy("g1", "g2").agg(
-            F.sum("bytes").alias("all"), F.sort_array(F.collect_list(F.struct((-F.col("bytes")).alias("less"), "shard"))).alias("at"))
+            F.sum("bytes").alias("all"), F.sort_array(F.collect_list(F.struct((-F.col("bytes")).alias("less"), "tie", "shard"))).alias("at"))
         wanted = F.least(F.size("at"), F.ceil(F.col("all") / F.lit(max(1.0, 0.9 * quota)))).cast("int")
-        groups = groups.withColumn("homes", wanted).select("g1", "g2", "homes", F.slice(F.col("at.shard"), F.lit(1), F.col("homes")).alias("to"))
+        closed = F.array(*[F.lit(int(s)) for s in np.flatnonzero(full)]).cast("array<int>")
+        # the homes of a large group stay; a small one avoids shards that were full
+        free = F.filter("at.shard", lambda s: ~F.array_contains(closed, s))
+        order = F.when(F.col("homes") == 1, F.concat(free, F.col("at.shard"))).otherwise(F.col("at.shard"))
+        groups = groups.withColumn("homes", wanted).select(
+            "g1", "g2", "homes", F.slice(order, F.lit(1), F.col("homes")).alias("to"),
+            ((F.col("homes") == 1) & (F.size("at") > 1)).alias("parted"))
         home = F.element_at("to", (F.pmod(F.xxhash64(F.lit(turn), F.col("u"), F.col("row")), F.col("homes")) + 1).cast("int"))
-        moving = stash(state.drop("homes").join(groups, ["g1", "g2"])
+        moving = stash(state.drop("homes", "parted").join(groups, ["g1", "g2"])
                        .withColumn("target", F.when(F.array_contains("to", F.col("shard")), F.col("shard")).otherwise(home)).drop("to"))
         held = by_shard(moving, "shard", shards)
-        asked = by_shard(moving.where(F.col("target") != F.col("shard")), "target", shards)
-        if not asked.any():
+        flow = np.zeros((shards, shards))
+        for r in moving.where(F.col("target") != F.col("shard")).groupBy("shard", "target").agg(F.sum("size").alias("bytes")).collect():
+            flow[r.shard, r.target] = r.bytes
+        if not flow.any():
             return moving.drop("target")
-        room = np.clip((quota - held) / np.maximum(asked, 1), 0, 1)
-        room[asked == 0] = 0
+        room = admitted(flow, held, quota)
+        full = (room == 0) & (held >= quota)
         share = F.element_at(F.array(*[F.lit(float(x)) for x in room]), F.col("target") + 1)
         draw = F.when(F.col("homes") == 1, coin("g1", "g2", seed=turn)).otherwise(coin("u", "row", seed=turn))
-        state = moving.withColumn("shard", F.when(draw < share, F.col("target")).otherwise(F.col("shard"))).drop("target")
+        state = (moving.withColumn("_goes", draw < share).withColumn("parted", F.col("parted") & ~F.col("_goes"))
+                 .withColumn("shard", F.when(F.col("_goes"), F.col("target")).otherwise(F.col("shard"))).drop("target", "_goes"))
         if not room.any():
             break
     return stash(state)
@@ -145,11 +170,11 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     linked = marked.where("linked").drop("linked").withColumn("shard", F.pmod(F.xxhash64("u", "row"), F.lit(shards)).cast("int"))
     linked = propagate(linked, shards, quota)
 
-    held = by_shard(linked, "shard", shards)
+    held = by_shard(linked.where(~F.col("parted")), "shard", shards)
     over = np.clip(1 - quota / np.maximum(held, 1), 0, 1)
     spill = F.element_at(F.array(*[F.lit(float(x)) for x in over]), F.col("shard") + 1)
     let_go = F.when(F.col("homes") == 1, coin("g1", "g2", seed=-1)).otherwise(coin("u", "row", seed=-1)) < spill
-    linked = stash(linked.withColumn("free", let_go))
+    linked = stash(linked.withColumn("free", F.col("parted") | let_go))
     staying = linked.where(~F.col("free"))
     columns = ["doc_id", "size", "text_crc32", "g1", "g2", "row", "u"]
     ballast = marked.where(F.col("linked").isNull()).select(*columns, F.lit(1).alias("homes")).union(
