@@ -5,10 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from tickwise.session import build_session
@@ -19,6 +15,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def bars_small(spark):
+    from helpers import SF_SMALL
     from tickwise.sources.fixtures import load_bars
     return load_bars(spark, SF_SMALL).cache()
 
@@ -27,12 +24,3 @@ def bars_small(spark):
 def bars_pd(bars_small):
     return bars_small.toPandas().sort_values(["ticker", "d"]).reset_index(drop=True)
 
-
-def series_df(spark, values, ticker="T", start="2020-01-01"):
-    """A bars frame from a list of closes (hand-made series)."""
-    import datetime as dt
-    d0 = dt.date.fromisoformat(start)
-    rows = [(ticker, d0 + dt.timedelta(days=i), float(v), float(v), float(v), float(v), 100)
-            for i, v in enumerate(values)]
-    from tickwise.schemas import BARS
-    return spark.createDataFrame(rows, BARS)

@@ -5,7 +5,7 @@ carries must give the same bars as the plain running-sum SQL."""
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tickwise.catalog import SQL
 from tickwise.sources.fixtures import load_bars
 from tools.compare import digest, norm

@@ -6,7 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL, series_df
+from helpers import SF_MID, SF_SMALL, series_df
 from tickwise.operators import backtest as BT
 from tickwise.operators import indicators as I
 from tickwise.operators import snapshot as SN

@@ -4,7 +4,7 @@ same row count, same column names, same order-insensitive value hash."""
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tickwise.catalog import QUERIES, SQL
 from tickwise.sources.fixtures import TABLES
 from tools.compare import digest, norm

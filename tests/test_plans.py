@@ -1,7 +1,7 @@
 """Plan shape: filters and columns reach the scan, no Python in the hot
 path, windows of one frame share one exchange."""
 
-from conftest import SF_MID, SF_SMALL
+from helpers import SF_MID, SF_SMALL
 from tickwise.operators import indicators as I
 from tickwise.operators import medallion as M
 from tickwise.operators.zones import drop_missing
