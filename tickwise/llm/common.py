@@ -39,7 +39,17 @@ def stash(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     schema = df.select(*[c for c in df.columns if c not in partition_by], *partition_by).schema
-    return spark.read.schema(schema).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
+    written.stashed_at = path
+    return written
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what ``stash`` has written for these frames (the very frames that
+    it returned); nothing may read them any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stashed_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def unit_interval(*columns, seed: int):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, extract, mixing, neardup, periods, quality, secret_scan, sharding, topk, toxicity, urlfilter
+from . import centroids, decontam, extract, mixing, neardup, periods, quality, secret_scan, sharding, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_neardup": neardup.op8_neardup,
     "op9_extract": extract.op9_extract,
     "op10_quality": quality.op10_quality,
+    "op11_centroids": centroids.op11_centroids,
     "op13_periods": periods.op13_periods,
 }
 SQL = {
@@ -23,4 +24,5 @@ SQL = {
     "op4_urlfilter": urlfilter.SQL,
     "op5_decontam": decontam.SQL,
     "op8_neardup": neardup.SQL,
+    "op11_centroids": centroids.SQL,
 }
