@@ -50,14 +50,19 @@ def sel(cols: list[tuple[str, int | None]]) -> str:
 
 
 def bars(spark, sf):
-    """Fixture bars of all of lineitem, for plans that read them once."""
+    """Fixture bars of all of lineitem."""
     return FX.load_bars(spark, sf)
 
 
 def series_bars(spark, sf):
-    """The same, written once: a series plan reads its bars several times
-    (positions, block carries, calendar), and each reference would otherwise
-    walk every tick again, since column pruning makes them differ."""
+    """The same with each bar's position in its series, which the day table of
+    the walk gives for nothing: no series plan has to index them again."""
+    return FX.load_bars(spark, sf, positions=True)
+
+
+def written_bars(spark, sf):
+    """Bars written once, for plans that read them for several purposes
+    (calendar, first dates, closes)."""
     return materialize(FX.load_bars(spark, sf), "bars")
 
 
@@ -119,7 +124,7 @@ SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ag END AS avg_gain', 6),
                         ('CASE WHEN i >= 13 THEN al END AS avg_loss', 6)])} FROM e""")
 def q_wilder(spark, sf):
     from tickwise.plans import series as S
-    f = I.prepare(series_bars(spark, sf), S.ema_halo([1 / 14], 1, 2))
+    f = I.prepare(series_bars(spark, sf), 1)
     f = I._gain_loss(f, "close", I.KEYS)
     f = S.add_emas(f, ["ticker"], [("_gain", "avg_gain", 1 / 14, 14), ("_loss", "avg_loss", 1 / 14, 14)])
     return rnd(I.finish(f).select("ticker", "d", "avg_gain", "avg_loss"), {"avg_gain": 6, "avg_loss": 6})
@@ -332,24 +337,6 @@ FROM lg WHERE strategy = 'MACD Momentum'""")(
         ST.strategy_macd(series_bars(spark, sf), 5, 15, 4), "MACD Momentum", 5000.0).select(
         "ticker", "d", "signal", "position", "strategy_return", "equity"), {"strategy_return": 12, "equity": 2}))
 
-# a ticker that stands still: days of small volume repeat the close before, so gains and losses are 0 for long runs
-_QUIET = f"""{O.with_(O.BARS, """quiet AS (
-  SELECT ticker, d, i, LAST_VALUE(CASE WHEN i < 200 OR i % 700 = 0 THEN close END IGNORE NULLS)
-         OVER (PARTITION BY ticker ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close FROM b)""",
-    O.gain_loss_cte('quiet'), O.ema_rec('e', 'gl', [('ag', 'gain', 1 / 14), ('al', 'loss', 1 / 14)], ['d']))}"""
-
-
-@register("rsi_quiet", f"""{_QUIET}
-SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ' + O.rsi_expr('ag', 'al') + ' END AS rsi', 6)])} FROM e""")
-def q_rsi_quiet(spark, sf):
-    from tickwise.plans import series as S
-    f = S.index_series(series_bars(spark, sf).select("ticker", "d", "close"), ["ticker"], ["d"], S.date_bucket("d"))
-    kept = F.when((F.col(S.IDX) < 200) | (F.col(S.IDX) % 700 == 0), F.col("close"))
-    f = S.with_blocks(f.withColumn("close", kept), 0, S.block_rows_for(0))
-    quiet = I.finish(I.fill_missing(f))
-    return rnd(I.rsi_wilder(quiet, 14).select("ticker", "d", "rsi"), {"rsi": 6})
-
-
 # ------------------------------------------------------------------ C1, C2, C6, B3, D5, D8, E8, E11
 from tickwise.operators import correlation as CR  # noqa: E402
 
@@ -367,20 +354,34 @@ cr AS (SELECT * FROM dr WHERE d IN (SELECT d FROM full_d))"""
 
 def _complete(spark, sf):
     """The complete returns, written once: they feed both sides of a pair."""
-    return materialize(CR.complete_returns(CR.daily_returns(series_bars(spark, sf))), "complete_returns")
+    return materialize(CR.complete_returns(CR.daily_returns(written_bars(spark, sf))), "complete_returns")
 
 
 register("padded_closes", f"""{_RET_CTES}
 SELECT ticker, d, close FROM padded""")(
-    lambda spark, sf: CR.padded_closes(series_bars(spark, sf)))
+    lambda spark, sf: CR.padded_closes(written_bars(spark, sf)))
+
+# RSI over the padded closes: a ticker stands still on every date without a bar of its own
+_QUIET = _RET_CTES + f""",
+quiet AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker ORDER BY d) - 1 AS i FROM padded),
+{O.gain_loss_cte('quiet')},
+{O.ema_rec('e', 'gl', [('ag', 'gain', 1 / 14), ('al', 'loss', 1 / 14)], ['d'])}"""
+
+
+@register("rsi_quiet", f"""{_QUIET}
+SELECT ticker, d, {sel([('CASE WHEN i >= 13 THEN ' + O.rsi_expr('ag', 'al') + ' END AS rsi', 6)])} FROM e""")
+def q_rsi_quiet(spark, sf):
+    padded = CR.padded_closes(written_bars(spark, sf), keep_index=True)
+    return rnd(I.rsi_wilder(padded, 14).select("ticker", "d", "rsi"), {"rsi": 6})
+
 
 register("daily_returns", f"""{_RET_CTES}
 SELECT ticker, d, {sel([('ret', 12)])} FROM dr""")(
-    lambda spark, sf: rnd(CR.daily_returns(series_bars(spark, sf)), {"ret": 12}))
+    lambda spark, sf: rnd(CR.daily_returns(written_bars(spark, sf)), {"ret": 12}))
 
 register("complete_returns", f"""{_RET_CTES}
 SELECT ticker, d, {sel([('ret', 12)])} FROM cr""")(
-    lambda spark, sf: rnd(CR.complete_returns(CR.daily_returns(series_bars(spark, sf))).select("ticker", "d", "ret"), {"ret": 12}))
+    lambda spark, sf: rnd(CR.complete_returns(CR.daily_returns(written_bars(spark, sf))).select("ticker", "d", "ret"), {"ret": 12}))
 
 # the tickers of the fixture, named so that the wide table's columns are known without a job
 TICKERS = ["AF", "AO", "NF", "NO", "RF", "RO"]

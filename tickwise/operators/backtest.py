@@ -54,15 +54,23 @@ def signal_metrics(signals: DataFrame, strategy: str = "custom", capital: float
 def backtest_curves(bars: DataFrame, capital: float = DEFAULT_CAPITAL,
                     block_rows: int | None = None, **params) -> DataFrame:
     """F14 for all strategies, with their parameters: equity curve per
-    (ticker, strategy, d) and the market curve."""
-    return curves_from(strategy_frame(bars, block_rows, **params), capital)
+    (ticker, strategy, d) and the market curve, all five growths in one scan
+    before the rows are stacked."""
+    f = ST.add_all_signals(I.prepare(bars, ST.strategy_halo(**params), block_rows=block_rows), **params)
+    f = f.withColumns({**{f"_g{k}": F.lit(1.0) + F.col("ret") * F.col(f"pos{k}") for k in range(4)}, "_m": F.lit(1.0) + F.col("ret")})
+    f = S.carry_scans(f, list(I.KEYS), [*((f"_g{k}", f"_eq{k}", "product") for k in range(4)), ("_m", "_mk", "product")], halo=0)
+    return _curves(ST.stack_strategies(f).withColumn("strategy_return", F.col("ret") * F.col("position")), capital)
 
 
 def curves_from(f: DataFrame, capital: float = DEFAULT_CAPITAL) -> DataFrame:
     """Equity and market curves of a strategy frame."""
     f = f.withColumn("_g", F.lit(1.0) + F.col("strategy_return")) \
          .withColumn("_m", F.lit(1.0) + F.col("ret"))
-    f = S.carry_scans(f, list(STRAT_KEYS), [("_g", "_eq", "product"), ("_m", "_mk", "product")])
+    f = S.carry_scans(f, list(STRAT_KEYS), [("_g", "_eq", "product"), ("_m", "_mk", "product")], halo=0)
+    return _curves(f, capital)
+
+
+def _curves(f: DataFrame, capital: float) -> DataFrame:
     f = f.withColumn("equity", F.col("_eq") * capital).withColumn("market", F.col("_mk") * capital)
     return I.finish(f).select("ticker", "strategy", "strategy_ord", "d", "ret", "signal",
                               "position", "strategy_return", "equity", "market")

@@ -44,15 +44,16 @@ def calendar_grid(bars: DataFrame) -> DataFrame:
     return days.join(calendar, "d", "left_semi")
 
 
-def padded_closes(bars: DataFrame, x: str = "close", block_rows: int | None = None) -> DataFrame:
+def padded_closes(bars: DataFrame, x: str = "close", block_rows: int | None = None, keep_index: bool = False) -> DataFrame:
     """(ticker, d, close) on every calendar date from the ticker's first
     bar on; a missing or NULL close is the last one before it."""
-    return I.finish(_padded(bars, x, block_rows)).select("ticker", "d", x)
+    out = I.finish(_padded(bars, x, block_rows, halo=0), keep_index=True)
+    return out.select("ticker", "d", x, *([S.IDX] if keep_index else []))
 
 
-def _padded(bars, x, block_rows):
+def _padded(bars, x, block_rows, halo=1):
     grid = calendar_grid(bars).select("ticker", "d").join(bars.select("ticker", "d", x), ["ticker", "d"], "left")
-    return I.fill_missing(I.prepare(grid, 1, block_rows=block_rows), x)
+    return I.fill_missing(I.prepare(grid, halo, block_rows=block_rows), x)
 
 
 def daily_returns(bars: DataFrame, x: str = "close", block_rows: int | None = None) -> DataFrame:
@@ -215,14 +216,22 @@ def pairwise_returns(returns: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def rolling_corr(pair_returns: DataFrame, n: int = 30, block_rows: int | None = None) -> DataFrame:
     """Correlation over the trailing n rows of each pair, NULL until the
-    frame is full or when a side is constant in it."""
+    frame is full or when a side is constant in it.  Sums over the frame are
+    differences of running sums, as in ``series.add_rolling``."""
     keys = ["ticker_a", "ticker_b"]
     f = I.prepare(pair_returns, n, keys=keys, block_rows=block_rows)
-    frame = S.block_window(keys).rowsBetween(-(n - 1), 0)
-    cov = F.covar_samp("ret_a", "ret_b").over(frame)
-    den = F.stddev_samp("ret_a").over(frame) * F.stddev_samp("ret_b").over(frame)
-    full = F.count("ret_a").over(frame) == n
-    f = f.withColumn("corr", F.when(full & (den > 0), ratio(cov, den)))
+    f = S.centred(f, keys, {"_a": "ret_a", "_b": "ret_b"})
+    a, b = F.col("ret_a") - F.col("_a_a"), F.col("ret_b") - F.col("_b_a")
+    sums = S.Prefix(f, keys, {"_sa": a, "_sb": b, "_qa": a * a, "_qb": b * b, "_ab": a * b},
+                    {f"_{k}{s}": c for s in "ab" for k, c in (("n", F.col(f"ret_{s}").isNotNull().cast("int")),
+                                                               ("k", F.coalesce(F.col(f"ret_{s}") != F.col(f"_{s}_p"), F.lit(False)).cast("int")))})
+    parts = {t: sums.over(t, n) for t in ("_sa", "_sb", "_qa", "_qb", "_ab")}
+    counts = {f"_{k}{s}": sums.count(f"_{k}{s}", n if k == "n" else n - 1) for s in "ab" for k in "nk"}
+    f = sums.df.withColumns(parts | counts)
+    full = (F.col("_na") == n) & (F.col("_nb") == n) & (F.col("_ka") > 0) & (F.col("_kb") > 0)
+    va, vb = (F.col(f"_q{s}") - F.col(f"_s{s}") * F.col(f"_s{s}") / n for s in "ab")
+    cov = F.col("_ab") - F.col("_sa") * F.col("_sb") / n
+    f = f.withColumn("corr", F.when(full & (va > 0) & (vb > 0), ratio(cov, F.sqrt(va) * F.sqrt(vb))))
     return I.finish(f).select(*keys, "d", "corr")
 
 

@@ -5,7 +5,10 @@ Two layers:
 * ``add_*`` functions take a *prepared* series frame (``prepare``: position
   index + blocks + halo) and add one indicator column using windows
   ``PARTITION BY key, _blk ORDER BY _i``.  Several of them over one frame
-  share a single exchange and sort.
+  share a single exchange and sort.  Those that reach back to the start of a
+  series (EMA, MACD, Wilder, cumulative max and product, forward fill) are
+  scans: each writes the frame once (``series.scan``), so put what belongs
+  together into one.
 * plain functions (``sma``, ``macd``, ``technical_panel`` ...) wrap
   prepare -> add -> ``finish`` for a bars DataFrame.
 
@@ -52,12 +55,12 @@ def _w(keys):
 
 def add_sma(df, n: int, x: str = "close", out: str | None = None, keys=KEYS) -> DataFrame:
     """Mean of the trailing n rows, NULL until n values."""
-    return df.withColumn(out or f"sma_{n}", S.rolling(F.avg, x, n, keys))
+    return S.add_rolling(df, keys, [S.Rolling(x, n, mean=out or f"sma_{n}")])
 
 
 def add_rolling_std(df, n: int, x: str = "close", out: str | None = None, keys=KEYS) -> DataFrame:
     """Sample std (ddof 1) of the trailing n rows, NULL until n values."""
-    return df.withColumn(out or f"std_{n}", S.rolling(F.stddev_samp, x, n, keys))
+    return S.add_rolling(df, keys, [S.Rolling(x, n, std=out or f"std_{n}")])
 
 
 def add_shift(df, x: str, out: str | None = None, k: int = 1, keys=KEYS) -> DataFrame:
@@ -80,7 +83,9 @@ def add_pct_change(df, x: str = "close", out: str = "ret", keys=KEYS) -> DataFra
 def fill_missing(df, x: str = "close", keys=KEYS) -> DataFrame:
     """Each missing value becomes the last one before it in its series,
     however far back and across blocks; leading ones stay missing."""
-    return S.ffill_scan(df, list(keys), x, "_padded").withColumn(x, F.col("_padded")).drop("_padded")
+    columns = df.columns
+    filled = S.ffill_scan(df, list(keys), x, "_padded")
+    return filled.select(*[F.col("_padded").alias(x) if c == x else F.col(c) for c in columns])
 
 
 def add_cumprod(df, x: str, out: str, keys=KEYS) -> DataFrame:
@@ -105,8 +110,9 @@ def add_ema(df, span: float | None = None, x: str = "close", out: str | None = N
 
 def add_bollinger(df, n: int = 20, k: float = 2.0, x: str = "close", keys=KEYS) -> DataFrame:
     """middle = SMA_n, upper/lower = middle +- k * std_n."""
-    mid, sd = S.rolling(F.avg, x, n, keys), S.rolling(F.stddev_samp, x, n, keys)
-    return df.withColumns({"bb_middle": mid, "bb_upper": mid + sd * k, "bb_lower": mid - sd * k})
+    df = S.add_rolling(df, keys, [S.Rolling(x, n, mean="bb_middle", std="_sd")])
+    mid, sd = F.col("bb_middle"), F.col("_sd")
+    return df.withColumns({"bb_upper": mid + sd * k, "bb_lower": mid - sd * k}).drop("_sd")
 
 
 def _gain_loss(df, x, keys):
@@ -129,8 +135,7 @@ def rsi_from(avg_gain: str, avg_loss: str):
 def add_rsi_sma(df, n: int = 14, x: str = "close", out: str = "rsi", keys=KEYS) -> DataFrame:
     """RSI from n-row simple means of gain and loss."""
     df = _gain_loss(df, x, keys)
-    df = df.withColumns({"_ag": S.rolling(F.avg, "_gain", n, keys),
-                         "_al": S.rolling(F.avg, "_loss", n, keys)})
+    df = S.add_rolling(df, keys, [S.Rolling("_gain", n, mean="_ag"), S.Rolling("_loss", n, mean="_al")])
     return _rsi_out(df, out)
 
 
@@ -151,15 +156,27 @@ def add_macd(df, fast: int = 12, slow: int = 26, signal: int = 9, x: str = "clos
     """F4 (strict=False): EMA_fast - EMA_slow and its EMA_signal, valid from
     the first row.  F5 (strict=True): each EMA with min_periods = span, plus
     the histogram ``macd_hist``."""
-    mp = (lambda s: s) if strict else (lambda s: 0)
-    df = S.add_emas(df, list(keys), [(x, "_ema_fast", 2.0 / (fast + 1), mp(fast)),
-                                     (x, "_ema_slow", 2.0 / (slow + 1), mp(slow))])
-    keep = [c for c in df.columns if c not in ("_ema_fast", "_ema_slow", "macd")]
-    df = df.select(*keep, (F.col("_ema_fast") - F.col("_ema_slow")).alias("macd"))
-    df = add_ema(df, signal, "macd", signal_out, mp(signal), keys=keys)
-    if strict:
-        df = df.withColumn("macd_hist", F.col("macd") - F.col(signal_out))
-    return df
+    df = S.scan(df, list(keys), macd_specs(fast, slow, x, strict))
+    return add_signal_line(macd_of(df), signal, strict, keys, signal_out)
+
+
+def macd_specs(fast: int, slow: int, x: str = "close", strict: bool = False) -> list[S.Ema]:
+    """The two averages of a MACD, as gaps ``_fast`` and ``_slow``."""
+    return [S.Ema(x, None, 2.0 / (n + 1), n if strict else 0, gap) for n, gap in ((fast, "_fast"), (slow, "_slow"))]
+
+
+def macd_of(df: DataFrame) -> DataFrame:
+    """EMA_fast - EMA_slow is the gap of the slow one less that of the fast:
+    exactly 0 while the series hasn't moved, whatever its level."""
+    keep = [c for c in df.columns if c not in ("_fast", "_slow", "macd")]
+    return df.select(*keep, (F.col("_slow") - F.col("_fast")).alias("macd"))
+
+
+def add_signal_line(df: DataFrame, signal: int = 9, strict: bool = False, keys=KEYS, signal_out: str = "signal_line",
+                    halo: int | None = None) -> DataFrame:
+    """EMA_signal of ``macd``; strict: with min_periods, and ``macd_hist``."""
+    hist = "macd_hist" if strict else None
+    return S.scan(df, list(keys), [S.Ema("macd", signal_out, 2.0 / (signal + 1), signal if strict else 0, hist)], halo)
 
 
 def add_crosses(df, short: str = "sma_50", long: str = "sma_200", keys=KEYS) -> DataFrame:
@@ -204,14 +221,11 @@ def rolling_std(bars, n: int, x: str = "close", block_rows=None) -> DataFrame:
 
 
 def ema(bars, span: float, x: str = "close", min_periods: int = 0, block_rows=None) -> DataFrame:
-    a = 2.0 / (span + 1.0)
-    return _run(bars, S.ema_halo([a]), lambda f: add_ema(f, span, x, None, min_periods),
-                block_rows=block_rows)
+    return _run(bars, 0, lambda f: add_ema(f, span, x, None, min_periods), block_rows=block_rows)
 
 
 def wilder(bars, n: int = 14, x: str = "close", block_rows=None) -> DataFrame:
-    return _run(bars, S.ema_halo([1.0 / n]),
-                lambda f: add_ema(f, x=x, out=f"wilder_{n}", alpha=1.0 / n, min_periods=n),
+    return _run(bars, 0, lambda f: add_ema(f, x=x, out=f"wilder_{n}", alpha=1.0 / n, min_periods=n),
                 block_rows=block_rows)
 
 
@@ -224,23 +238,21 @@ def rsi_sma(bars, n: int = 14, block_rows=None) -> DataFrame:
 
 
 def rsi_wilder(bars, n: int = 14, block_rows=None) -> DataFrame:
-    return _run(bars, S.ema_halo([1.0 / n], 1, n + 1), lambda f: add_rsi_wilder(f, n),
-                block_rows=block_rows)
+    return _run(bars, 1, lambda f: add_rsi_wilder(f, n), block_rows=block_rows)
 
 
 def macd_halo(fast=12, slow=26, signal=9, extra_window: int = 0) -> int:
-    return S.ema_halo([2 / (fast + 1), 2 / (slow + 1), 2 / (signal + 1)], 2, slow + signal + extra_window)
+    """Rows before a block that a MACD looks at: none but those of other frames."""
+    return extra_window
 
 
 def macd(bars, fast=12, slow=26, signal=9, strict=False, block_rows=None) -> DataFrame:
-    return _run(bars, macd_halo(fast, slow, signal),
-                lambda f: add_macd(f, fast, slow, signal, strict=strict), block_rows=block_rows)
+    return _run(bars, 0, lambda f: add_macd(f, fast, slow, signal, strict=strict), block_rows=block_rows)
 
 
 def crosses(bars, short: int = 50, long: int = 200, block_rows=None) -> DataFrame:
     def fn(f):
-        f = add_sma(f, short)
-        f = add_sma(f, long)
+        f = S.add_rolling(f, KEYS, [S.Rolling("close", n, mean=f"sma_{n}") for n in (short, long)])
         return add_crosses(f, f"sma_{short}", f"sma_{long}")
     return _run(bars, long + 1, fn, block_rows=block_rows)
 
@@ -254,18 +266,20 @@ def extension(bars, n: int = 200, block_rows=None) -> DataFrame:
 
 
 def panel_halo() -> int:
-    return S.ema_halo([2 / 201, 2 / 13, 2 / 27, 2 / 10], 2, 202)
+    """200 rows of the long average, one more for the bar before."""
+    return 201
 
 
 def add_technical_panel(f: DataFrame, keys=KEYS) -> DataFrame:
-    """every indicator of the signal dashboard over one shared frame."""
-    f = add_sma(f, 50, keys=keys)
-    f = add_sma(f, 200, keys=keys)
-    f = add_ema(f, 200, keys=keys)
+    """every indicator of the signal dashboard: one frame for all that
+    looks back a fixed number of rows, one scan for the averages and the high,
+    one for the MACD's signal line."""
+    f = S.add_rolling(f, keys, [S.Rolling("close", 50, mean="sma_50"), S.Rolling("close", 200, mean="sma_200")])
     f = add_crosses(f, "sma_50", "sma_200", keys=keys)
     f = add_rsi_sma(f, 14, keys=keys)
-    f = add_macd(f, 12, 26, 9, keys=keys)
-    f = add_drawdown(f, keys=keys)
+    f = S.scan(f, list(keys), [S.Ema("close", "ema_200", 2 / 201), *macd_specs(12, 26), S.Run("max", "close", "ath")], halo=0)
+    f = add_signal_line(macd_of(f), 9, keys=keys)
+    f = f.withColumn("drawdown_pct", ratio(F.col("close"), F.col("ath")) - F.lit(1.0))
     return add_extension(f, 200, sma_col="sma_200", keys=keys)
 
 
@@ -274,16 +288,16 @@ def technical_panel(bars, block_rows=None) -> DataFrame:
 
 
 def chart_halo() -> int:
-    return S.ema_halo([2 / 21, 1 / 14, 2 / 13, 2 / 27, 2 / 10], 2, 40)
+    return 20
 
 
 def add_chart_indicators(f: DataFrame, keys=KEYS) -> DataFrame:
     """The single-ticker chart set: SMA/EMA 20, Bollinger 20x2, Wilder RSI 14,
     strict MACD 12/26/9 with histogram."""
-    f = add_bollinger(f, 20, 2.0, keys=keys).withColumnRenamed("bb_middle", "sma_20")
-    f = add_ema(f, 20, keys=keys)
-    f = add_rsi_wilder(f, 14, keys=keys)
-    return add_macd(f, 12, 26, 9, strict=True, keys=keys, signal_out="macd_signal")
+    f = _gain_loss(add_bollinger(f, 20, 2.0, keys=keys).withColumnRenamed("bb_middle", "sma_20"), "close", keys)
+    f = S.scan(f, list(keys), [S.Ema("close", "ema_20", 2 / 21), *macd_specs(12, 26, strict=True),
+                               S.Ema("_gain", "_ag", 1 / 14, 14), S.Ema("_loss", "_al", 1 / 14, 14)], halo=0)
+    return add_signal_line(macd_of(_rsi_out(f, "rsi")), 9, True, keys, "macd_signal")
 
 
 def chart_indicators(bars, block_rows=None) -> DataFrame:

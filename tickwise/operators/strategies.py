@@ -24,15 +24,15 @@ def _position(f, signal: str, out: str, keys=I.KEYS):
 
 def add_sma_crossover(f, short: int = 50, long: int = 200, keys=I.KEYS) -> DataFrame:
     """long while SMA_short > SMA_long."""
-    f = I.add_sma(f, short, out="sma_short", keys=keys)
-    f = I.add_sma(f, long, out="sma_long", keys=keys)
+    f = S.add_rolling(f, keys, [S.Rolling("close", short, mean="sma_short"), S.Rolling("close", long, mean="sma_long")])
     f = f.withColumn("signal", flag(F.col("sma_short") > F.col("sma_long")))
     return _position(f, "signal", "position", keys)
 
 
 def add_macd_strategy(f, fast: int = 12, slow: int = 26, signal: int = 9, keys=I.KEYS) -> DataFrame:
     """long while MACD > its signal line (EMAs without min_periods)."""
-    f = I.add_macd(f, fast, slow, signal, keys=keys)
+    f = I.macd_of(S.scan(f, list(keys), I.macd_specs(fast, slow), halo=0))
+    f = I.add_signal_line(f, signal, keys=keys, halo=1)
     f = f.withColumn("signal", flag(F.col("macd") > F.col("signal_line")))
     return _position(f, "signal", "position", keys)
 
@@ -54,7 +54,7 @@ def add_bollinger_strategy(f, window: int = 20, num_std: float = 2.0, keys=I.KEY
 
 def strategy_halo(short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14, rsi_threshold=70.0, bb_n=20) -> int:
     """Rows of history that ``add_all_signals`` with these parameters sees."""
-    return max(short, long, rsi_n + 1, bb_n, I.macd_halo(fast, slow, signal)) + 1
+    return max(short, long, rsi_n + 1, bb_n) + 1
 
 
 def _single(bars, fn, halo, block_rows=None):
@@ -67,7 +67,7 @@ def strategy_sma_crossover(bars, short=50, long=200, block_rows=None):
 
 def strategy_macd(bars, fast=12, slow=26, signal=9, block_rows=None):
     return _single(bars, lambda f: add_macd_strategy(f, fast, slow, signal),
-                   I.macd_halo(fast, slow, signal, 1), block_rows)
+                   0, block_rows)
 
 
 def strategy_rsi(bars, window=14, sell_threshold=70.0, block_rows=None):
@@ -81,28 +81,30 @@ def strategy_bollinger(bars, window=20, num_std=2.0, block_rows=None):
 def add_all_signals(f, short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14,
                     rsi_threshold=70.0, bb_n=20, keys=I.KEYS) -> DataFrame:
     """F16 step 1: the four signals and positions side by side, plus the
-    bar return, over one shared (key, block) frame."""
-    w = S.block_window(list(keys))
+    bar return: one frame for all that looks back a fixed number of rows, a
+    scan for the MACD and one for its signal line, a lag for the positions."""
+    columns = [c for c in f.columns if c not in (S.IDX, S.BLK, S.HALO)]
     f = I.add_pct_change(f, "close", "ret", keys)
-    f = I.add_sma(f, short, out="_sma_s", keys=keys)
-    f = I.add_sma(f, long, out="_sma_l", keys=keys)
-    f = I.add_macd(f, fast, slow, signal, keys=keys, signal_out="_macd_sig")
+    f = S.add_rolling(f, keys, [S.Rolling("close", n, mean=c) for n, c in ((short, "_sma_s"), (long, "_sma_l"), (bb_n, "_bb_mid"))])
     f = I.add_rsi_sma(f, rsi_n, out="_rsi", keys=keys)
-    f = I.add_sma(f, bb_n, out="_bb_mid", keys=keys)
-    sigs = {
-        "sig0": flag(F.col("_sma_s") > F.col("_sma_l")),
-        "sig1": flag(F.col("macd") > F.col("_macd_sig")),
-        "sig2": flag(F.col("_rsi") < rsi_threshold),
-        "sig3": flag(F.col("close") < F.col("_bb_mid")),
-    }
-    f = f.withColumns(sigs)
+    f = f.withColumns({"sig0": flag(F.col("_sma_s") > F.col("_sma_l")),
+                       "sig2": flag(F.col("_rsi") < rsi_threshold),
+                       "sig3": flag(F.col("close") < F.col("_bb_mid"))})
+    f = f.select(*columns, S.IDX, S.BLK, S.HALO, "ret", "sig0", "sig2", "sig3")
+    f = I.macd_of(S.scan(f, list(keys), I.macd_specs(fast, slow), halo=0))
+    f = I.add_signal_line(f, signal, keys=keys, signal_out="_macd_sig", halo=1)
+    f = f.withColumn("sig1", flag(F.col("macd") > F.col("_macd_sig")))
+    w = S.block_window(list(keys))
     f = f.withColumns({f"pos{k}": F.lag(F.col(f"sig{k}"), 1).over(w) for k in range(4)})
-    return f.drop("_sma_s", "_sma_l", "macd", "_macd_sig", "_rsi", "_bb_mid")
+    return f.drop("macd", "_macd_sig")
 
 
 def stack_strategies(f: DataFrame) -> DataFrame:
-    """F16 step 2 / H1: one row per (ticker, strategy, bar) via ``stack``."""
-    parts = ", ".join(f"'{n}', {k}, sig{k}, pos{k}" for k, n in enumerate(STRATEGY_NAMES))
-    keep = [c for c in f.columns if not c.startswith(("sig", "pos"))]
+    """F16 step 2 / H1: one row per (ticker, strategy, bar) via ``stack``;
+    growth columns ``_eq0``.. go along as ``_eq``."""
+    extra = ["_eq"] if "_eq0" in f.columns else []
+    parts = ", ".join(f"'{n}', {k}, sig{k}, pos{k}" + "".join(f", {c}{k}" for c in extra) for k, n in enumerate(STRATEGY_NAMES))
+    wide = {f"{c}{k}" for k in range(len(STRATEGY_NAMES)) for c in ("sig", "pos", *extra)}
+    keep = [c for c in f.columns if c not in wide]
     return f.select(*keep, F.expr(
-        f"stack({len(STRATEGY_NAMES)}, {parts}) AS (strategy, strategy_ord, signal, position)"))
+        f"stack({len(STRATEGY_NAMES)}, {parts}) AS ({', '.join(['strategy', 'strategy_ord', 'signal', 'position', *extra])})"))

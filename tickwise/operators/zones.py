@@ -37,16 +37,13 @@ def extension_zone(df: DataFrame, threshold: float = 0.30, col: str = "extension
 def signal_events(df: DataFrame, mode: str = "Entry", level: str = "sma_200",
                   short: str = "sma_50") -> DataFrame:
     """Only the rows where a cross fires.  'Entry' = golden crosses,
-    'Exit' = death crosses, 'Both' = union of the two tagged sets."""
-    parts = []
-    if mode in ("Entry", "Both"):
-        parts.append(df.filter(F.col("golden_cross")).withColumn("event", F.lit("entry")))
-    if mode in ("Exit", "Both"):
-        parts.append(df.filter(F.col("death_cross")).withColumn("event", F.lit("exit")))
-    if not parts:
+    'Exit' = death crosses, 'Both' = the two tagged sets in one pass."""
+    kinds = {"Entry": ["entry"], "Exit": ["exit"], "Both": ["entry", "exit"]}
+    if mode not in kinds:
         raise ValueError(f"mode must be Entry, Exit or Both, not {mode!r}")
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.select("ticker", "d", "event", short, level)
+    flags = {"entry": F.col("golden_cross"), "exit": F.col("death_cross")}
+    events = F.filter(F.array(*[F.when(flags[k], F.lit(k)) for k in kinds[mode]]), lambda e: e.isNotNull())
+    return df.select("ticker", "d", F.explode(events).alias("event"), short, level)
 
 
 def trading_days(df: DataFrame, d: str = "d") -> DataFrame:

@@ -9,18 +9,17 @@ rows that task is the job.  Here a series is cut into blocks of ``B`` rows:
    without sorting a series in one task: rows are ranked inside coarse,
    order-monotone buckets (e.g. 32-day spans), and a small table of bucket
    sizes gives every bucket its starting offset (running sum over buckets).
+   A table that already has ``_i`` keeps it.
 2. ``with_blocks`` sets ``_blk = _i div B`` and copies the last ``halo`` rows
    of every block into the next one (``_halo = true``), so that any frame of
    at most ``halo`` preceding rows is complete inside ``PARTITION BY key,
    _blk``.  Halo copies are dropped at the end (``drop_halo``).
-3. Unbounded-preceding aggregates (cumulative product / max / sum, forward
-   fill) are done in two levels: inside the block, plus a carry computed over
-   the small table of block totals (``carry_scan``).
-4. ``add_ema`` evaluates the recursive exponential average inside blocks as a
-   scan over sub-blocks of ``Be`` rows, with ``q ** Be`` about 1e-174.  A row
-   sees its own sub-block and the two before it; what is older has a weight
-   below 1e-320, which no double holds and which the plain recursion has lost
-   as well, so the result is that of the recursion at every row.
+3. ``add_rolling`` takes sums over the last ``n`` rows as differences of
+   running sums inside a block, so that a row costs the same for any ``n``.
+4. ``scan`` does what reaches back to the start of a series (cumulative
+   product / max / sum, forward fill, recursive averages) in two levels: a
+   running state inside each block, written once, and a carry over the small
+   table of the blocks' last rows.
 
 All steps are built-in window and aggregate expressions (JVM, codegen); no
 Python runs per row.
@@ -30,15 +29,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.plans.materialize import materialize
+
 IDX = "_i"
 BLK = "_blk"
 HALO = "_halo"
 
-DEFAULT_BLOCK_ROWS = 1 << 17
+DEFAULT_BLOCK_ROWS = 1 << 11
 UNB = Window.unboundedPreceding
 
 
@@ -75,14 +77,17 @@ def index_series(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Co
 
     ``order`` must be a total order within a series and ``bucket`` must be
     non-decreasing along it.  No task sorts more than one (series, bucket)
-    group, and the offset table has one row per (series, bucket).
+    group, and the offset table has one row per (series, bucket).  A table
+    with positions is returned as it is.
     """
+    if IDX in df.columns:
+        return df
     keys = list(keys)
     tb, rn, off = "_tb", "_rn", "_off"
     staged = df.withColumn(tb, bucket)
     ranked = staged.withColumn(rn, F.row_number().over(
         Window.partitionBy(*keys, tb).orderBy(*_cols(order))))
-    sizes = ranked.groupBy(*keys, tb).agg(F.max(rn).alias("_n"))
+    sizes = staged.groupBy(*keys, tb).agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(*keys, tb, F.coalesce(
         F.sum("_n").over(Window.partitionBy(*keys).orderBy(tb).rowsBetween(UNB, -1)),
         F.lit(0)).alias(off))
@@ -106,19 +111,20 @@ def block_rows_for(halo: int, block_rows: int | None = None) -> int:
 
 def with_blocks(df: DataFrame, halo: int, block_rows: int) -> DataFrame:
     """Assign ``_blk`` and add halo copies of each block's last ``halo`` rows
-    to the next block.  Requires ``halo <= block_rows``."""
+    to the next block.  Requires ``halo <= block_rows``.  Both numbers stay
+    with the column, as its metadata."""
     if halo > block_rows:
         raise ValueError(f"halo {halo} exceeds block size {block_rows}")
     i = F.col(IDX)
     base = F.floor(i / F.lit(block_rows))
+    about = {"rows": block_rows, "halo": halo}
+    rest = [c for c in df.columns if c not in (BLK, HALO)]
     if halo <= 0:
-        return df.withColumn(BLK, base).withColumn(HALO, F.lit(False))
+        return df.select(*rest, base.alias(BLK, metadata=about), F.lit(False).alias(HALO))
     copies = F.when(F.pmod(i, F.lit(block_rows)) >= block_rows - halo,
                     F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (df.withColumn("_dup", F.explode(copies))
-            .withColumn(BLK, base + F.col("_dup"))
-            .withColumn(HALO, F.col("_dup") == 1)
-            .drop("_dup"))
+    return (df.select(*rest, F.explode(copies).alias("_dup"))
+            .select(*rest, (base + F.col("_dup")).alias(BLK, metadata=about), (F.col("_dup") == 1).alias(HALO)))
 
 
 def block_window(keys: Sequence[str]) -> Window:
@@ -129,151 +135,303 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO, BLK)
 
 
-def rolling(fn, x: str | Column, n: int, keys: Sequence[str], full: bool = True) -> Column:
-    """Trailing ``n``-row aggregate; with ``full`` the result is NULL until the
-    frame holds ``n`` non-null values (pandas ``rolling(n)``)."""
-    x = F.col(x) if isinstance(x, str) else x
-    frame = block_window(keys).rowsBetween(-(n - 1), 0)
-    value = fn(x).over(frame)
-    if not full:
-        return value
-    return F.when(F.count(x).over(frame) == n, value)
+# ---------------------------------------------------------------- rolling sums
+
+@dataclass(frozen=True)
+class Rolling:
+    """Mean and sample std of ``x`` over the last ``n`` rows, NULL until the
+    frame holds ``n`` values (pandas ``rolling(n)``); either may be left out."""
+    x: str
+    n: int
+    mean: str | None = None
+    std: str | None = None
+
+
+def _two_sum_error(before: Column, term: Column, after: Column) -> Column:
+    """What rounding took from ``after = before + term``, exactly."""
+    part = after - before
+    return (before - (after - part)) + (term - part)
+
+
+class Prefix:
+    """Running sums of some terms over a blocked frame, halo rows included,
+    each as a sum and the running sum of its rounding errors; the sum over the
+    last ``n`` rows is then a difference, whose error doesn't grow with the
+    block.  Terms are NULL where a value is missing and count as 0."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], terms: dict[str, Column], counts: dict[str, Column]):
+        self.w = block_window(list(keys))
+        run, before = self.w.rowsBetween(UNB, 0), self.w.rowsBetween(UNB, -1)
+        zero = F.lit(0.0)
+        self.temps = [c for t in terms for c in (f"{t}_t", f"{t}_s", f"{t}_b", f"{t}_e")] + [f"{c}_{k}" for c in counts for k in "ts"]
+        df = df.withColumns({**{f"{t}_t": F.coalesce(x, zero) for t, x in terms.items()}, **{f"{c}_t": x for c, x in counts.items()}})
+        df = df.withColumns({**{f"{t}_s": F.sum(f"{t}_t").over(run) for t in terms},
+                             **{f"{t}_b": F.coalesce(F.sum(f"{t}_t").over(before), zero) for t in terms},
+                             **{f"{c}_s": F.sum(f"{c}_t").over(run) for c in counts}})
+        self.df = df.withColumns({f"{t}_e": F.sum(_two_sum_error(F.col(f"{t}_b"), F.col(f"{t}_t"), F.col(f"{t}_s"))).over(run) for t in terms})
+
+    def over(self, term: str, n: int) -> Column:
+        """Sum of a term over the last ``n`` rows."""
+        s, e = F.col(f"{term}_s"), F.col(f"{term}_e")
+        return (s - F.lag(s, n, 0.0).over(self.w)) + (e - F.lag(e, n, 0.0).over(self.w))
+
+    def count(self, name: str, n: int) -> Column:
+        c = F.col(f"{name}_s")
+        return c - F.lag(c, n, 0).over(self.w) if n > 0 else F.lit(0)
+
+
+def centred(df: DataFrame, keys: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """For each name -> x: ``name_a``, the first value of the block, from which
+    sums are taken, and ``name_p``, the value before the row's."""
+    w = block_window(list(keys))
+    return df.withColumns({**{f"{c}_a": F.first(x, ignorenulls=True).over(w.rowsBetween(UNB, 0)) for c, x in columns.items()},
+                           **{f"{c}_p": F.last(x, ignorenulls=True).over(w.rowsBetween(UNB, -1)) for c, x in columns.items()}})
+
+
+def _seen(x: str) -> Column:
+    return F.col(x).isNotNull().cast("int")
+
+
+def _changed(x: str, before: str) -> Column:
+    return F.coalesce(F.col(x) != F.col(before), F.lit(False)).cast("int")
+
+
+def add_rolling(df: DataFrame, keys: Sequence[str], specs: Sequence[Rolling]) -> DataFrame:
+    """The moments of ``specs``; specs of one column share its running sums.
+
+    Sums are taken of ``x`` less the block's first value and of its square.
+    A frame of equal values is told apart by a count of changes: its mean is
+    the value and its std 0, exactly.  The halo must hold ``n`` rows."""
+    keys, keep = list(keys), [c for c in df.columns if c not in {o for r in specs for o in (r.mean, r.std)}]
+    name = {x: f"_m{k}" for k, x in enumerate(dict.fromkeys(r.x for r in specs))}
+    # NaN counts as missing
+    df = df.withColumns({f"{c}_v": F.nanvl(F.col(x).cast("double"), F.lit(None).cast("double")) for x, c in name.items()})
+    df = centred(df, keys, {c: f"{c}_v" for c in name.values()})
+    terms, counts = {}, {}
+    for x, c in name.items():
+        z = F.col(f"{c}_v") - F.col(f"{c}_a")
+        terms[f"{c}z"] = z
+        if any(r.std for r in specs if r.x == x):
+            terms[f"{c}q"] = z * z
+        counts[f"{c}n"], counts[f"{c}k"] = _seen(f"{c}_v"), _changed(f"{c}_v", f"{c}_p")
+    sums = Prefix(df, keys, terms, counts)
+    parts: dict[str, Column] = {}
+    for r in specs:
+        c, n = name[r.x], r.n
+        parts |= {f"{c}z{n}": sums.over(f"{c}z", n), f"{c}n{n}": sums.count(f"{c}n", n), f"{c}k{n}": sums.count(f"{c}k", n - 1)}
+        if r.std:
+            parts[f"{c}q{n}"] = sums.over(f"{c}q", n)
+    df = sums.df.withColumns(parts)
+    outs = []
+    for r in specs:
+        c, n = name[r.x], r.n
+        full, same, s = F.col(f"{c}n{n}") == n, F.col(f"{c}k{n}") == 0, F.col(f"{c}z{n}")
+        if r.mean:
+            outs.append(F.when(full, F.when(same, F.col(f"{c}_v")).otherwise(F.col(f"{c}_a") + s / n)).alias(r.mean))
+        if r.std:
+            var = F.greatest(F.lit(0.0), F.col(f"{c}q{n}") - s * s / n) / max(n - 1, 1)
+            outs.append(F.when(full & F.lit(n > 1), F.when(same, F.lit(0.0)).otherwise(F.sqrt(var))).alias(r.std))
+    return df.select(*keep, *outs)
 
 
 # ---------------------------------------------------------------- scans
 
-_SCANS = {
-    # kind: (in-block running agg, block total agg, carry agg over blocks, combine)
-    "sum": (F.sum, F.sum, F.sum, lambda carry, run: F.coalesce(carry, F.lit(0)) + run),
-    "max": (F.max, F.max, F.max, lambda carry, run: F.greatest(carry, run)),
-    "min": (F.min, F.min, F.min, lambda carry, run: F.least(carry, run)),
-    "product": (F.product, F.product, F.product,
-                lambda carry, run: F.coalesce(carry, F.lit(1.0)) * run),
+@dataclass(frozen=True)
+class Run:
+    """Running ``kind`` ("sum", "max", "min", "product", "last") of ``x`` from
+    the start of the series.  NULLs are skipped; the result is NULL where ``x``
+    is, except that "last" (forward fill) repeats the last value there."""
+    kind: str
+    x: str
+    out: str
+
+
+@dataclass(frozen=True)
+class Ema:
+    """pandas ``x.ewm(alpha=alpha, adjust=False, min_periods=...).mean()`` as
+    ``out``, and ``gap``: the value (the last one, on a NULL row) less the
+    average.  A value ``g`` rows after the last one enters with weights
+    ``q ** g`` to ``alpha``, scaled to 1; a NULL row repeats the average;
+    ``min_periods`` counts values."""
+    x: str
+    out: str | None
+    alpha: float
+    min_periods: int = 0
+    gap: str | None = None
+
+
+# in-block running aggregate (and of block totals), combination with the carry
+_RUNS = {
+    "sum": (F.sum, lambda carry, run: F.coalesce(carry, F.lit(0)) + run),
+    "max": (F.max, lambda carry, run: F.greatest(carry, run)),
+    "min": (F.min, lambda carry, run: F.least(carry, run)),
+    "product": (F.product, lambda carry, run: F.coalesce(carry, F.lit(1.0)) * run),
+    "last": (lambda c: F.last(c, ignorenulls=True), lambda carry, run: F.coalesce(run, carry)),
 }
 
+#: Products of decay factors that are divided by stay above exp(-DECAY).
+DECAY = 600.0
+
+
+def _decay_rows(alpha: float) -> int:
+    """Most rows, a power of two, after which the average keeps exp(-DECAY)."""
+    return 1 << max(0, int(math.log2(max(1.0, DECAY / -math.log(1.0 - alpha)))))
+
+
+def _factor(gap: Column, q: float, alpha: float) -> Column:
+    """What a value ``gap`` rows after the last one leaves to the average."""
+    decay = F.pow(F.lit(q), gap.cast("double"))
+    return F.when(gap == 1, F.lit(q)).otherwise(decay / (decay + F.lit(alpha)))
+
+
+def scan(df: DataFrame, keys: Sequence[str], specs: Sequence[Run | Ema], halo: int | None = None) -> DataFrame:
+    """Add the running results of ``specs`` to a blocked frame.
+
+    The frame with its in-block states is written once.  The blocks' last rows
+    (a pushed filter on that table) hold all that the next block needs; their
+    carry is a window over a table of one row a block.  The result is blocked
+    again, with ``halo`` rows (by default as many as before).
+
+    Averages run on differences: with ``e`` the value less the average, ``a``
+    the factor of the value and ``d`` its difference from the value before,
+    ``e = a (e' + d)``.  So equal values add exactly nothing, however long they
+    last, and ``x - e`` is then ``x`` itself.  Inside a block ``e = P (G + u)``
+    with ``P`` the product of the factors after its first value, ``G`` the sum
+    of ``a d / P`` and ``u`` the first value's ``e``; over a whole block ``e``
+    at its end is ``A + D e'``, a pair (D, A) that composes (``_affine``)."""
+    keys, about = list(keys), df.schema[BLK].metadata
+    rows, halo = about["rows"], about["halo"] if halo is None else halo
+    emas = [s for s in specs if isinstance(s, Ema)]
+    runs = [s for s in specs if isinstance(s, Run)]
+    outs = [o for s in specs for o in ((s.out, s.gap) if isinstance(s, Ema) else (s.out,)) if o]
+    keep = [c for c in df.columns if c not in {*outs, BLK, HALO}]
+    own = df.filter(~F.col(HALO)).drop(HALO)
+    width = min([rows, *(_decay_rows(s.alpha) for s in emas if s.alpha < 1)])
+    if width < rows:
+        own = own.withColumn(BLK, F.floor(F.col(IDX) / F.lit(width)))
+    w, i = block_window(keys), F.col(IDX)
+    run, before = w.rowsBetween(UNB, 0), w.rowsBetween(UNB, -1)
+    name = {x: f"_x{k}" for k, x in enumerate(dict.fromkeys(s.x for s in emas))}
+
+    state: dict[str, Column] = {"_end": F.lead(i).over(w).isNull()}
+    state |= {f"_r{k}": _RUNS[s.kind][0](F.col(s.x)).over(run) for k, s in enumerate(runs)}
+    last = lambda c, over: F.last(c, ignorenulls=True).over(over)
+    for x, c in name.items():
+        at = F.when(F.col(x).isNotNull(), i)
+        state |= {f"{c}_px": last(F.col(x), before), f"{c}_pi": last(at, before), f"{c}_lx": last(F.col(x), run), f"{c}_li": last(at, run),
+                  f"{c}_fx": F.first(x, ignorenulls=True).over(run), f"{c}_fi": F.first(at, ignorenulls=True).over(run), f"{c}_n": F.count(x).over(run)}
+    own = own.withColumns(state)
+    factor, product, gain = {}, {}, {}
+    for k, s in enumerate(emas):
+        c, x = name[s.x], F.col(s.x)
+        later = x.isNotNull() & F.col(f"{c}_pi").isNotNull()
+        factor[f"_a{k}"] = F.when(later, _factor(i - F.col(f"{c}_pi"), 1.0 - s.alpha, s.alpha)).otherwise(F.lit(1.0)) if s.alpha < 1 else F.lit(1.0)
+        product[f"_p{k}"] = F.product(f"_a{k}").over(run)
+        term = F.col(f"_a{k}") * (x - F.col(f"{c}_px")) / F.col(f"_p{k}") if s.alpha < 1 else F.lit(0.0)
+        gain[f"_g{k}"] = F.col(f"_p{k}") * F.sum(F.when(later, term).otherwise(F.lit(0.0))).over(run)
+    for step in (factor, product, gain):
+        own = own.withColumns(step) if step else own
+    per_x = [f"{c}_{f}" for c in name.values() for f in ("lx", "li", "fx", "fi", "n")]
+    per_ema = [f"_{f}{k}" for k in range(len(emas)) for f in "pg"]
+    per_run = [f"_r{k}" for k in range(len(runs))]
+    done = materialize(own.select(*keep, BLK, "_end", *per_x, *per_ema, *per_run), "scan")
+
+    ends = done.filter("_end").select(*keys, BLK, *per_x, *per_ema, *per_run)
+    order = Window.partitionBy(*keys).orderBy(BLK)
+    prior = order.rowsBetween(UNB, -1)
+    carry = {f"_c{k}": _RUNS[s.kind][0](F.col(f"_r{k}")).over(prior) for k, s in enumerate(runs)}
+    for c in name.values():
+        carry |= {f"{c}_cx": last(F.col(f"{c}_lx"), prior), f"{c}_ci": last(F.col(f"{c}_li"), prior), f"{c}_cn": F.coalesce(F.sum(f"{c}_n").over(prior), F.lit(0))}
+    ends = ends.withColumns(carry)
+    first, whole = {}, {}
+    for k, s in enumerate(emas):
+        c, p, g = name[s.x], F.col(f"_p{k}"), F.col(f"_g{k}")
+        known = F.col(f"{c}_ci").isNotNull() & (F.col(f"{c}_n") > 0)
+        a = _factor(F.col(f"{c}_fi") - F.col(f"{c}_ci"), 1.0 - s.alpha, s.alpha) if s.alpha < 1 else F.lit(0.0)
+        first[f"_f{k}"] = F.when(known, a).otherwise(F.lit(0.0))
+        first[f"_j{k}"] = F.when(known, F.col(f"{c}_fx") - F.col(f"{c}_cx")).otherwise(F.lit(0.0))
+        some = F.col(f"{c}_n") > 0
+        whole[f"_D{k}"] = F.when(some, p * F.col(f"_f{k}")).otherwise(F.lit(1.0))
+        whole[f"_A{k}"] = F.when(some, g + p * F.col(f"_f{k}") * F.col(f"_j{k}")).otherwise(F.lit(0.0))
+    if emas:
+        ends = _affine(ends.withColumns(first).withColumns(whole), keys, len(emas))
+    u = {f"_u{k}": F.col(f"_f{k}") * (F.col(f"_E{k}") + F.col(f"_j{k}")) for k in range(len(emas))}
+    into = [f"{c}_{f}" for c in name.values() for f in ("cx", "cn")] + [f"_E{k}" for k in range(len(emas))] + [f"_c{k}" for k in range(len(runs))]
+    ends = materialize(ends.withColumns(u).select(*keys, BLK, *into, *u) if u else ends.select(*keys, BLK, *into), "carry")
+
+    both = done.join(ends, [*keys, BLK])  # small by its files: the planner broadcasts it up to its threshold
+    result = []
+    for k, s in enumerate(runs):
+        value = _RUNS[s.kind][1](F.col(f"_c{k}"), F.col(f"_r{k}"))
+        result.append((value if s.kind == "last" else F.when(F.col(s.x).isNotNull(), value)).alias(s.out))
+    for k, s in enumerate(emas):
+        c = name[s.x]
+        e = F.when(F.col(f"{c}_n") == 0, F.col(f"_E{k}")).otherwise(F.col(f"_g{k}") + F.col(f"_p{k}") * F.col(f"_u{k}"))
+        seen = F.col(f"{c}_n") + F.col(f"{c}_cn") >= max(1, s.min_periods)
+        if s.out:
+            result.append(F.when(seen, F.coalesce(f"{c}_lx", f"{c}_cx") - e).alias(s.out))
+        if s.gap:
+            result.append(F.when(seen, e).alias(s.gap))
+    return with_blocks(both.select(*keep, *result), halo, rows)
+
+
+def _affine(ends: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """``_E{k}``: for each row of a small table ordered by block, the value
+    before it of the recursion ``E = A + D E'`` from 0 on, with 0 <= D <= 1.
+
+    Rows are grouped by the decay they add up to, ``DECAY`` a group, so that
+    products inside a group can be divided by.  What lies two groups back has
+    decayed by more than exp(-DECAY), three groups back by more than doubles
+    hold, so the value is that of the whole recursion."""
+    keys = list(keys)
+    order = Window.partitionBy(*keys).orderBy(BLK)
+    before = order.rowsBetween(UNB, -1)
+    steps: list[dict] = [{} for _ in range(6)]
+    for k in range(n):
+        d, group = F.col(f"_D{k}"), F.col(f"_G{k}")
+        lost = F.when(d > 0, F.least(-F.log(d), F.lit(2 * DECAY))).otherwise(F.lit(2 * DECAY))
+        steps[0][f"_G{k}"] = F.floor(F.sum(lost).over(order.rowsBetween(UNB, 0)) / F.lit(DECAY))
+        steps[1][f"_o{k}"] = F.coalesce(F.lag(group).over(order) != group, F.lit(True))
+        steps[1][f"_z{k}"] = F.coalesce(F.lead(group).over(order) != group, F.lit(True))
+        inside = Window.partitionBy(*keys, f"_G{k}").orderBy(BLK).rowsBetween(UNB, 0)
+        steps[2][f"_P{k}"] = F.product(F.when(F.col(f"_o{k}"), F.lit(1.0)).otherwise(d)).over(inside)
+        steps[3][f"_own{k}"] = F.col(f"_P{k}") * F.sum(F.col(f"_A{k}") / F.col(f"_P{k}")).over(inside)
+        steps[3][f"_tail{k}"] = F.col(f"_P{k}") * F.first(d).over(inside)
+        end = lambda c: F.coalesce(F.last(F.when(F.col(f"_z{k}"), F.col(c)), ignorenulls=True).over(before), F.lit(0.0))  # noqa: B023,E731
+        steps[4][f"_near{k}"] = F.col(f"_own{k}") + F.col(f"_tail{k}") * end(f"_own{k}")
+        steps[5][f"_sum{k}"] = F.col(f"_own{k}") + F.col(f"_tail{k}") * end(f"_near{k}")
+    for step in steps:
+        ends = ends.withColumns(step)
+    return ends.withColumns({f"_E{k}": F.coalesce(F.lag(f"_sum{k}").over(order), F.lit(0.0)) for k in range(n)})
+
 
 def carry_scan(df: DataFrame, keys: Sequence[str], x: str, out: str, kind: str) -> DataFrame:
-    """Running (unbounded preceding .. current row) aggregate of column ``x``
-    over a blocked series: in-block running value combined with the carry of
-    all earlier blocks.  NULL inputs are skipped, as pandas ``cumsum``/
-    ``cumprod``/``cummax`` skip NaN; the output is NULL where ``x`` is NULL."""
+    """Running aggregate of column ``x`` over a blocked series (``Run``)."""
     return carry_scans(df, keys, [(x, out, kind)])
 
 
-def carry_scans(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
-    """Several running aggregates ``(x, out, kind)`` over the same blocked
-    series with one table of block totals and one join: the input is
-    referenced twice however many scans there are."""
-    keys = list(keys)
-    specs = list(specs)
-    tots, carries, outs = [], [], {}
-    wc = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(UNB, -1)
-    wr = block_window(keys).rowsBetween(UNB, 0)
-    for n, (x, out, kind) in enumerate(specs):
-        run_agg, tot_agg, carry_agg, combine = _SCANS[kind]
-        tots.append(tot_agg(F.col(x)).alias(f"_tot{n}"))
-        carries.append(carry_agg(f"_tot{n}").over(wc).alias(f"_carry{n}"))
-        run = run_agg(F.when(~F.col(HALO), F.col(x))).over(wr)
-        outs[out] = F.when(F.col(x).isNotNull(), combine(F.col(f"_carry{n}"), run))
-    tot = df.filter(~F.col(HALO)).groupBy(*keys, BLK).agg(*tots)
-    carry = tot.select(*keys, BLK, *carries)
-    return (df.join(carry, [*keys, BLK], "left")
-            .withColumns(outs)
-            .drop(*[f"_carry{n}" for n in range(len(specs))]))
-
-
-def ffill_scan(df: DataFrame, keys: Sequence[str], x: str, out: str) -> DataFrame:
-    """Forward fill (last non-null at or before the row) across blocks."""
-    keys = list(keys)
-    own = F.when(~F.col(HALO), F.col(x))
-    # one row for each block, also for one without values: it passes the carry on
-    tot = (df.filter(~F.col(HALO)).groupBy(*keys, BLK)
-           .agg(F.max_by(F.col(x), F.when(F.col(x).isNotNull(), F.col(IDX))).alias("_tot")))
-    carry = tot.select(*keys, BLK, F.last("_tot", ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy(BLK).rowsBetween(UNB, -1)).alias("_carry"))
-    run = F.last(own, ignorenulls=True).over(block_window(keys).rowsBetween(UNB, 0))
-    return (df.join(carry, [*keys, BLK], "left")
-            .withColumn(out, F.coalesce(run, F.col("_carry")))
-            .drop("_carry"))
-
-
-# ---------------------------------------------------------------- EMA
-
-# Exponent of a sub-block: q ** Be = exp(-EMA_SPAN).  Small enough that
-# 1 / q ** Be is far from overflow, and twice of it is below the least double.
-EMA_SPAN = 400.0
+def carry_scans(df: DataFrame, keys: Sequence[str], specs, halo: int | None = None) -> DataFrame:
+    """Several running aggregates ``(x, out, kind)`` in one scan."""
+    return scan(df, keys, [Run(kind, x, out) for x, out, kind in specs], halo)
 
 
-def ema_subblock(alpha: float) -> int:
-    """Rows per EMA sub-block."""
-    q = 1.0 - alpha
-    return 1 if q <= 0.0 else max(1, math.ceil(-EMA_SPAN / math.log(q)))
+def ffill_scan(df: DataFrame, keys: Sequence[str], x: str, out: str, halo: int | None = None) -> DataFrame:
+    """Forward fill (last non-null at or before the row) across blocks."""
+    return scan(df, keys, [Run("last", x, out)], halo)
 
 
 def ema_halo(alphas: Sequence[float], depth: int = 1, window: int = 0) -> int:
-    """Halo rows that hold all the history that ``depth`` nested EMAs (and
-    ``window``-row frames) can see: three of the largest sub-blocks each."""
-    be = max([ema_subblock(a) for a in alphas] or [1])
-    return 3 * depth * be + window if alphas else window
+    """Halo rows that averages need: none, their history is carried; only the
+    ``window`` rows of other frames count."""
+    return window
 
 
 def add_ema(df: DataFrame, keys: Sequence[str], x: str, out: str, alpha: float,
             min_periods: int = 0) -> DataFrame:
-    """``out`` = pandas ``x.ewm(alpha=alpha, adjust=False, min_periods=...)``.
-
-    The average starts at the first value; a value ``g`` rows after the last
-    one enters with weights ``q ** g`` to ``alpha``, scaled to 1 (weights decay
-    by position); a NULL row repeats the average; ``min_periods`` counts
-    values.  Needs a blocked frame whose halo is at least ``ema_halo`` rows.
-    """
+    """One recursive average (``Ema``)."""
     return add_emas(df, keys, [(x, out, alpha, min_periods)])
 
 
 def add_emas(df: DataFrame, keys: Sequence[str], specs) -> DataFrame:
-    """Several independent EMAs ``(x, out, alpha, min_periods)``, in four
-    projections: row of the last value, factors, sub-block scans, outputs.
-
-    With ``a`` the factor that a value leaves to the average before it, the
-    recursion is ``y = a y' + (1 - a) x``.  Inside a sub-block ``P`` is the
-    running product of the factors after the first value and ``L`` the part
-    from its own values, ``P * sum((1 - a) x / P)``; ``a1 P`` is what is left of
-    the average at the end of the sub-block before, ``a1`` being the first
-    value's factor."""
-    keys = list(keys)
-    wb = block_window(keys)
-    i = F.col(IDX)
-    before = wb.rowsBetween(UNB, -1)
-    steps: list[dict] = [{} for _ in range(5)]
-    outs, last_of, temps = {}, {}, []
-    for n, (x, out, alpha, min_periods) in enumerate(specs):
-        xc, q, be = F.col(x), 1.0 - alpha, ema_subblock(alpha)
-        seen = F.count(xc).over(wb.rowsBetween(UNB, 0)) >= max(1, min_periods)
-        if q <= 0.0:
-            outs[out] = F.when(seen, F.last(xc, ignorenulls=True).over(wb.rowsBetween(UNB, 0)))
-            continue
-        if x not in last_of:
-            last_of[x] = f"_at{n}"
-            steps[0][f"_at{n}"] = F.last(F.when(xc.isNotNull(), i), ignorenulls=True).over(before)
-        at, (a, first, p, left, tail, near) = F.col(last_of[x]), (f"_{k}{n}" for k in "afplty")
-        sub, end = F.floor(i / F.lit(be)), F.pmod(i, F.lit(be)) == be - 1
-        decay = F.pow(F.lit(q), (i - at).cast("double"))
-        # consecutive values take q and alpha as they are: 1 - a would lose digits of a small alpha
-        steps[1][a] = (F.when(xc.isNull(), F.lit(1.0)).when(at.isNull(), F.lit(0.0)).when(i - at == 1, F.lit(q))
-                       .otherwise(decay / (decay + F.lit(alpha))))
-        own = F.when(i - at == 1, F.lit(alpha)).otherwise(F.lit(1.0) - F.col(a))
-        steps[1][first] = xc.isNotNull() & (at.isNull() | (F.floor(at / F.lit(be)) < sub))
-        wu = Window.partitionBy(*keys, BLK, sub).orderBy(IDX).rowsBetween(UNB, 0)
-        steps[2][p] = F.product(F.when(F.col(first), F.lit(1.0)).otherwise(F.col(a))).over(wu)
-        gain = F.when(xc.isNull(), F.lit(0.0)).otherwise(own * xc / F.col(p))
-        steps[3][left] = F.col(p) * F.sum(gain).over(wu)
-        steps[3][tail] = F.col(p) * F.coalesce(F.max(F.when(F.col(first), F.col(a))).over(wu), F.lit(1.0))
-        # only the last row of a sub-block is an end, so the last end before a row is that of the sub-block before
-        steps[4][near] = F.col(left) + F.col(tail) * F.coalesce(F.last(F.when(end, F.col(left)), ignorenulls=True).over(before), F.lit(0.0))
-        y = F.col(left) + F.col(tail) * F.coalesce(F.last(F.when(end, F.col(near)), ignorenulls=True).over(before), F.lit(0.0))
-        outs[out] = F.when(seen, y)
-    for step in steps:
-        if step:
-            df = df.withColumns(step)
-            temps += step
-    keep = [c for c in df.columns if c not in temps and c not in outs]
-    return df.select(*keep, *[v.alias(k) for k, v in outs.items()])
+    """Several independent averages ``(x, out, alpha, min_periods)`` in one scan."""
+    return scan(df, keys, [Ema(*s) for s in specs])

@@ -51,7 +51,7 @@ def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16):
     return S.adaptive_width(keyed, "l_orderkey", ["ticker", "l_shipdate"], target_rows)
 
 
-def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
+def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None, positions: bool = False) -> DataFrame:
     """Daily OHLCV bars of the lineitem price walk (D9: ticks -> bars).
 
     The walk is a running sum over all ticks of a ticker, so the direct plan
@@ -93,9 +93,10 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
         F.sum("tot").alias("move"),
         F.sum("qty").alias("vol"),
     )
-    start = F.coalesce(F.sum("move").over(
-        Window.partitionBy("ticker").orderBy("d").rowsBetween(unb, -1)), F.lit(0)) + F.lit(WALK_START_CENTS)
-    cents = days.withColumn("start", start)
+    by_day = Window.partitionBy("ticker").orderBy("d")
+    start = F.coalesce(F.sum("move").over(by_day.rowsBetween(unb, -1)), F.lit(0)) + F.lit(WALK_START_CENTS)
+    at = {S.IDX: (F.row_number().over(by_day) - 1).cast("long")} if positions else {}
+    cents = days.withColumns({"start": start, **at})
     return cents.select(
         "ticker", "d",
         ((F.col("start") + F.col("o")) / F.lit(100.0)).alias("open"),
@@ -103,11 +104,12 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None) -> DataFrame:
         ((F.col("start") + F.col("l")) / F.lit(100.0)).alias("low"),
         ((F.col("start") + F.col("move")) / F.lit(100.0)).alias("close"),
         F.col("vol").cast("long").alias("volume"),
+        *at,
     )
 
 
-def load_bars(spark: SparkSession, sf_dir: str, chunk_keys=None) -> DataFrame:
-    return bars_from_lineitem(table(spark, sf_dir, "lineitem"), chunk_keys)
+def load_bars(spark: SparkSession, sf_dir: str, chunk_keys=None, positions: bool = False) -> DataFrame:
+    return bars_from_lineitem(table(spark, sf_dir, "lineitem"), chunk_keys, positions)
 
 
 def ticks_from_events(events: DataFrame, keep: tuple = ()) -> DataFrame:
