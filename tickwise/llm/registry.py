@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroids, decontam, extract, mixing, neardup, periods, quality, secret_scan, sharding, topk, toxicity, urlfilter
+from . import centroids, decontam, extract, mixing, neardup, periods, quality, secret_scan, sharding, substrings, topk, toxicity, urlfilter
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_extract": extract.op9_extract,
     "op10_quality": quality.op10_quality,
     "op11_centroids": centroids.op11_centroids,
+    "op12_substrings": substrings.op12_substrings,
     "op13_periods": periods.op13_periods,
 }
 SQL = {
@@ -25,4 +26,5 @@ SQL = {
     "op5_decontam": decontam.SQL,
     "op8_neardup": neardup.SQL,
     "op11_centroids": centroids.SQL,
+    "op12_substrings": substrings.SQL,
 }
