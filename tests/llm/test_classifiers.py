@@ -91,3 +91,15 @@ def test_odd_tables(spark, docs_of):
     assert {r.score for r in X.score(d, X.fit(d, none), ["doc_id"]).collect()} == {0.0}
     assert X.score(docs_of([]), X.fit(d, one), ["doc_id"]).count() == 0
     assert Q.score(d, Q.fit(d, none)).columns == d.columns + ["score"]
+
+
+def test_sample_takes_one_row_of_an_id(spark, docs_of):
+    """Repeated ids with different texts: one row each, the same in every order,
+    and texts beyond the byte bound stay out."""
+    rows = [(i % 40, f"text {i} é") for i in range(400)] + [(50, "long " * (training.LONGEST // 5 + 1)), (51, None), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 3 + [(None, 1), (3, None)], "doc_id long, quality int")
+    take = lambda some, most: sorted(map(tuple, training.sample(docs_of(some), labels, "quality", 5, 0, most).collect()), key=str)
+    first = take(rows, 100)
+    assert first == take(rows[::-1], 100) and ("text 1 é", "en", 1) in first
+    ids = [i for i in [*range(40), 51] if zlib.crc32(str(i).encode()) % 5 != 0]
+    assert len(first) == len(ids) and 0 < len(take(rows, 7)) <= 14

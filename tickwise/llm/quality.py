@@ -136,7 +136,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> tupl
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[np.ndarray, float]:
-    rows = counted(sample(docs, labels, "quality", FOLDS, HELD_OUT, most)).limit(2 * most).collect()
+    rows = counted(sample(docs, labels, "quality", FOLDS, HELD_OUT, most)).collect()  # 2 * most rows at most
     rows = sorted((bytes(r.ids), bytes(r.counts), r.label) for r in rows)
     return train([(np.frombuffer(a, np.int32), np.frombuffer(c, np.float32), y) for a, c, y in rows])
 

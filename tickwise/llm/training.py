@@ -12,10 +12,16 @@ def remainder(key: Column, by: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % by
 
 
+#: Longest text, in bytes, of a training row; with the bound on rows this bounds what the driver gets.
+LONGEST = 1 << 18
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, by: int, held_out: int, most: int) -> DataFrame:
     """(text, lang, label) of at most ``most`` labelled documents of each class
     whose remainder isn't ``held_out``: those with the smallest hash of their
-    id.  Rows without id, label or document are left out."""
+    id.  Of different texts under one id the least counts (then the least
+    lang), so each id gives one row at most.  Rows without id, label or
+    document are left out, and texts of more than ``LONGEST`` bytes."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (remainder(F.col("doc_id"), by) != held_out))
              .groupBy("doc_id").agg(F.max(label).alias("_label")))
     picked = None
@@ -23,7 +29,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, by: int, held_out: in
         some = known.where(F.col("_label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         picked = some if picked is None else picked.union(some)
     # a documented bound of 2 * most rows of two numbers: small enough to send everywhere
-    return docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id").select("text", "lang", "_label")
+    short = docs.select("doc_id", "text", "lang").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
+    one = short.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "_label").agg(F.min(F.struct("text", "lang")).alias("_row"))
+    return one.select("_row.text", "_row.lang", "_label")
 
 
 def pick_threshold(scores: np.ndarray, y: np.ndarray) -> float:
