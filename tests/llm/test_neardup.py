@@ -140,3 +140,20 @@ def test_short_near_copies_are_all_linked(spark, docs_of):
             pairs += 1
     got = {r.doc_id: r.component_id for r in N.near_duplicates(docs_of(rows)).collect()}
     assert [i for i in range(pairs) if got[2 * i + 1] != 2 * i] == []
+
+
+def test_rows_of_one_id_link_all_that_they_hold(docs_of):
+    """Pairs of ids that share no text, joined by a third id with a near copy of
+    each; and an id with three texts.  200 such groups."""
+    rng = random.Random(12)
+    text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(30)]
+    rows = []
+    for g in range(200):
+        a, b = text(), text()
+        rows += [(10 * g + 3, " ".join(a)), (10 * g + 2, " ".join(b)), (10 * g + 5, " ".join(a + ["x"])), (10 * g + 5, " ".join(b + ["y"]))]
+    rows += [(9000, " ".join(text())), (9000, " ".join(text())), (9000, " ".join(text())), (9000, None)]
+    rng.shuffle(rows)
+    got = N.near_duplicates(docs_of(rows)).collect()
+    for r in got:
+        want = 10 * (r.doc_id // 10) + 2 if r.doc_id < 9000 else 9000
+        assert r.component_id == want and r.kept == (r.doc_id == want)

@@ -1,7 +1,7 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
 A text's set holds its distinct five-word shingles.  Texts with equal sets
-form a class and go on as one.  Each class gets a signature of ``CHUNKS *
+form a class, with a number of its own, and go on as one.  Each class gets a signature of ``CHUNKS *
 WIDTH`` minima of ``BITS`` bits.  By the pigeonhole principle two signatures
 that differ in at most ``CHUNKS * (ERRORS + 1) - 1`` minima have a chunk with
 at most ``ERRORS`` differing minima; listing, for each chunk, what is left
@@ -26,8 +26,9 @@ one text thus costs about as many comparisons as it has members.
 Edge cases: texts without words (null, empty, blank) have an empty set and
 link with nothing; a text with fewer than five words has its sequence as its
 one shingle; rows with a null doc_id link with nothing and are kept, with a
-null component; repeated rows of a doc_id share its component; an empty table
-gives an empty result; other columns are ignored.
+null component; rows of one doc_id are one document, whatever their texts: its
+component holds what any of them links with; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -84,6 +85,11 @@ def signed(x) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64), pa.int64())
 
 
+def fingerprint(h: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart."""
+    return int(T.mix(h + T.U(11)).sum()) & T.MASK, int(T.mix(h * T.U(T.BASE)).sum()) & T.MASK
+
+
 def features(docs: DataFrame) -> DataFrame:
     """doc_id, set size, fingerprint of the set, signature and sketch."""
     schema = "doc_id long, n long, f1 long, f2 long, sig binary, " + ", ".join(f"{c} long" for c in SKETCHES)
@@ -93,8 +99,8 @@ def features(docs: DataFrame) -> DataFrame:
             n, f1, f2, sig, sketch, odd = [], [], [], [], [], []
             for _, h in T.shingle_sets(b.column(1)):
                 n.append(len(h))
-                f1.append(int(T.mix(h + T.U(11)).sum()) & T.MASK if len(h) else 0)
-                f2.append(int(T.mix(h * T.U(T.BASE)).sum()) & T.MASK if len(h) else 0)
+                for f, x in zip((f1, f2), fingerprint(h)):
+                    f.append(x)
                 m = minima(h)
                 sig.append(signature(m).tobytes() if len(h) else None)
                 two = two_bits(m).reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * T.U(2))
@@ -161,17 +167,27 @@ def with_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
-    """(node, grams): the full set of each document."""
+    """(least, f1, f2, grams): id, fingerprint and full set of each text."""
     def run(batches):
         for b in batches:
             for a in range(0, b.num_rows, 64):
                 part = b.slice(a, 64)
-                sets = [h.view(np.int64) for _, h in T.shingle_sets(part.column(1))]
+                sets = [h for _, h in T.shingle_sets(part.column(1))]
                 ends = np.concatenate([[0], np.cumsum([len(h) for h in sets])]).astype(np.int32)
-                values = pa.array(np.concatenate(sets) if sets else [], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["node", "grams"])
+                values = pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())
+                f1, f2 = (signed(x) for x in zip(*map(fingerprint, sets)))
+                yield pa.RecordBatch.from_arrays([part.column(0), f1, f2, pa.ListArray.from_arrays(pa.array(ends), values)], ["least", "f1", "f2", "grams"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("least"), "text").mapInArrow(run, "least long, f1 long, f2 long, grams array<long>")
 
-    return docs.select(F.col("doc_id").cast("long").alias("node"), "text").mapInArrow(run, "node long, grams array<long>")
+
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, grams) of the classes (node, least, f1, f2), each once."""
+    ids = stash(nodes.select("least").distinct())
+    sets = stash(shingle_table(with_ids(docs.select(F.col("doc_id").cast("long").alias("least"), "text"), ids, "least").toDF("doc_id", "text"))
+                 .join(nodes.select("node", "least", "f1", "f2"), ["least", "f1", "f2"]).select("node", "grams"))
+    # repeated rows of a document give its set again
+    return sets if sets.count() == nodes.count() else stash(sets.dropDuplicates(["node"]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -205,9 +221,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
     every = stash(features(docs))
     solid = every.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stash(solid.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node")))
-    own = solid.withColumnRenamed("doc_id", "node").join(classes, ["f1", "f2", "n", "node"]).dropDuplicates(["node"])
-    nodes = stash(own.select("node", "n", "sig", *SKETCHES))
+    classes = stash(solid.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()))
+    own = solid.withColumnRenamed("doc_id", "least").join(classes, ["f1", "f2", "n", "least"]).dropDuplicates(["node"])
+    nodes = stash(own.select("node", "least", "f1", "f2", "n", "sig", *SKETCHES))
 
     keyed = chunk_keys(nodes)
     shared = keyed.groupBy("key").agg(
@@ -216,7 +232,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     live = stash(keyed.join(shared, "key"))
     seen = live.groupBy("node").agg(F.sum("size").alias("seen"))
     info = stash(nodes.drop("sig").join(seen, "node"))
-    sets = stash(shingle_table(with_ids(docs.select("doc_id", "text"), info.select("node"), "doc_id")))
+    sets = full_sets(docs, info.select("node", "least", "f1", "f2"))
+    info = info.drop("least", "f1", "f2")
 
     members = live.select("key", "node").join(info, "node")
     hubs = members.groupBy("key").agg(F.max(F.struct("seen", -F.col("node"), "node", "n", *SKETCHES)).alias("hub")).select(
@@ -235,10 +252,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .where((F.col("o.component") != F.col("m.component")) & (F.col("m.inner") | (F.col("o.node") < F.col("m.node"))) & may_link("o", "m"))
               .select(F.col("o.node").alias("a"), F.col("m.node").alias("b")).distinct())
     more = stash(confirmed(across, sets))
-    groups = components(links.union(more)).withColumnRenamed("component", "_component")
-
-    of_class = stash(classes.join(groups, "node", "left").select("f1", "f2", "n", F.coalesce("_component", "node").alias("_component")))
-    linked = solid.select("doc_id", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"]).select("doc_id", "n", F.col("_component").alias("component_id"))
+    rows = stash(solid.select("doc_id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"]).select("doc_id", "n", "node", "least"))
+    torn = rows.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
+    same = stash(rows.select("doc_id", "node").join(torn, "doc_id").where("node != a").select("a", F.col("node").alias("b")).distinct())
+    groups = stash(components(links.union(more).union(same)))
+    names = groups.join(classes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    linked = rows.join(groups.join(names, "component"), "node", "left").select("doc_id", "n", F.coalesce("component_id", "least").alias("component_id"))
     alone = every.where(~((F.col("n") > 0) & F.col("doc_id").isNotNull())).select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
