@@ -12,7 +12,7 @@ def brute(docs, items):
         s = brute_set((t or "").lower())
         for i, x in items:
             q = brute_set((x or "").lower())
-            if i is not None and q and len(s & q) >= math.ceil(len(q) * D.CONTAINED):
+            if q and len(s & q) >= math.ceil(len(q) * D.CONTAINED):
                 out.add((d, i, len(s & q), len(q)))
     return out
 
@@ -37,9 +37,9 @@ def case(seed):
     return docs, items
 
 
-def rows_of(found, docs):
+def rows_of(found, docs, bench):
     keys = D.keyed(docs).select("doc_id", "_k1", "_k2")
-    return [tuple(r) for r in keys.join(found, ["_k1", "_k2"]).select("doc_id", "item_id", "shared", "item_shingles").collect()]
+    return [tuple(r) for r in keys.join(D.with_items(found, bench), ["_k1", "_k2"]).select("doc_id", "item_id", "shared", "item_shingles").collect()]
 
 
 def test_equals_brute_force(spark, docs_of):
@@ -47,7 +47,7 @@ def test_equals_brute_force(spark, docs_of):
         docs, items = case(seed)
         bench = spark.createDataFrame([(i, t, "k") for i, t in items], "item_id long, text string, gram string")
         df = docs_of(docs)
-        assert set(rows_of(D.contaminated(df, bench), df)) == brute(docs, items)
+        assert set(rows_of(D.contaminated(df, bench), df, bench)) == brute(docs, items)
         bad = {d for d, *_ in brute(docs, items)}
         left = D.clean(df, bench)
         assert left.columns == df.columns
@@ -59,7 +59,7 @@ def test_shuffled_joins_give_the_same(spark, docs_of, monkeypatch):
     docs, items = case(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
     df = docs_of(docs)
-    assert set(rows_of(D.contaminated(df, bench), df)) == brute(docs, items)
+    assert set(rows_of(D.contaminated(df, bench), df, bench)) == brute(docs, items)
 
 
 def test_empty_tables(spark, docs_of):
@@ -68,3 +68,14 @@ def test_empty_tables(spark, docs_of):
     d = docs_of([(1, "a b c d e f")])
     assert D.contaminated(d, none).count() == 0 and D.clean(d, none).count() == 1
     assert D.contaminated(docs_of([]), one).count() == 0 and D.clean(docs_of([]), one).count() == 0
+
+
+def test_null_and_shared_item_ids_and_clashing_columns(spark):
+    """Two texts under one id and one without id: what holds any of them goes.
+    The columns of the documents come back as they were, whatever their names."""
+    texts = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    bench = spark.createDataFrame([(1, texts[0], 1), (1, texts[1], 1), (None, texts[2], 1)], "item_id long, text string, _i1 int")
+    rows = [(k, "some words before " + t, 7, "x", 8) for k, t in enumerate(texts)] + [(9, "nothing of the kind", 7, "x", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _k1 long, _row string, gram int")
+    assert [tuple(r) for r in D.clean(docs, bench).collect()] == [rows[3]] and D.clean(docs, bench).columns == docs.columns
+    assert sorted(rows_of(D.contaminated(docs, bench), docs, bench), key=str) == sorted([(0, 1, 8, 8), (1, 1, 8, 8), (2, None, 8, 8)], key=str)

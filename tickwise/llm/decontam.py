@@ -15,15 +15,16 @@ the same joins shuffle by shingle.
 
 Edge cases: case and blanks don't matter; texts with fewer than five words have
 their whole sequence as their one shingle; texts without words (null, empty,
-blank) hold and match nothing; documents are told apart by their text, so a
-null or repeated doc_id changes nothing and each row of a matching text is
-reported; empty tables give an empty result; other columns are ignored.
+blank) hold and match nothing; documents and items are told apart by their
+text, so a null or repeated doc_id or item_id changes nothing, each row of a
+matching text is reported and ``clean`` drops them all; empty tables give an
+empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import GAP, stash, table
@@ -34,9 +35,14 @@ WORDS = 5
 BROADCAST_ROWS = 1_000_000
 
 
+def text_keys(text: Column, *names: str) -> list[Column]:
+    """A 128-bit key of a text, as two columns."""
+    return [F.xxhash64(text).alias(names[0]), F.xxhash64(F.lit("2"), text).alias(names[1])]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a 128-bit key of their text."""
-    return docs.withColumn("_k1", F.xxhash64("text")).withColumn("_k2", F.xxhash64(F.lit("2"), F.col("text")))
+    """``doc_id`` and ``text`` with a 128-bit key of the text."""
+    return docs.select("doc_id", "text", *text_keys(F.col("text"), "_k1", "_k2"))
 
 
 def shingled(texts: DataFrame, *keys: str) -> DataFrame:
@@ -55,51 +61,60 @@ def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(_k1, _k2, item_id, shared, item_shingles) of each text that holds an
-    item, by the key of the text."""
-    items = stash(shingled(benchmark, "item_id").where(F.col("item_id").isNotNull()).select("item_id", "gram").distinct())
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("q"))
+    """(_k1, _k2, _i1, _i2, shared, item_shingles) of each text that holds an
+    item, by the keys of both texts."""
+    tests = benchmark.select("text", *text_keys(F.col("text"), "_i1", "_i2")).where(F.col("text").isNotNull())
+    item = ["_i1", "_i2"]
+    items = stash(shingled(tests, *item).select(*item, "gram").distinct())
+    sizes = items.groupBy(*item).agg(F.count("*").alias("q"))
     need = F.ceil(F.col("q") * F.lit(CONTAINED)).cast("long")
-    place = F.row_number().over(Window.partitionBy("item_id").orderBy("gram"))
+    place = F.row_number().over(Window.partitionBy(*item).orderBy("gram"))
     sketch = stash(
-        items.join(sizes, "item_id").withColumn("need", need).withColumn("_place", place)
+        items.join(sizes, item).withColumn("need", need).withColumn("_place", place)
         .where(F.col("_place") <= F.col("q") - F.col("need") + 1)
-        .withColumn("part", F.floor(F.log2("q")).cast("int")).select("item_id", "gram", "need", "part"))
+        .withColumn("part", F.floor(F.log2("q")).cast("int")).select(*item, "gram", "need", "part"))
     # one row per size class: the shortest document and the largest hash of interest
     parts = sketch.groupBy("part").agg(F.min("need").alias("least"), F.max("gram").alias("top"), F.count("*").alias("rows")).collect()
     texts = keyed(docs.where(F.col("text").isNotNull()))
     if not parts:
-        return texts.select("_k1", "_k2", F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("shared"),
+        return texts.select("_k1", "_k2", F.lit(0).cast("long").alias("_i1"), F.lit(0).cast("long").alias("_i2"), F.lit(0).cast("long").alias("shared"),
                             F.lit(0).cast("long").alias("item_shingles")).limit(0)
 
     grams = shingled(texts, "_k1", "_k2")
     of_interest = F.lit(False)
     for p in parts:
         of_interest = of_interest | ((F.col("most") >= p.least) & (F.col("gram") <= p.top))
-    small = sketch.select("gram", "item_id", "need")
+    small = sketch.select("gram", *item, "need")
     hits = (grams.where(of_interest).join(maybe_broadcast(small, sum(p.rows for p in parts)), "gram")
-            .where(F.col("most") >= F.col("need")).select("_k1", "_k2", "item_id").distinct())
+            .where(F.col("most") >= F.col("need")).select("_k1", "_k2", *item).distinct())
     hits = stash(hits)
 
     # the texts with a hit, in full, against the whole items
     suspects = stash(hits.select("_k1", "_k2").distinct())
     again = shingled(texts.join(maybe_broadcast(suspects, suspects.count()), ["_k1", "_k2"], "left_semi"), "_k1", "_k2")
     found = again.select("_k1", "_k2", "gram").join(maybe_broadcast(items, items.count()), "gram").distinct()
-    shared = found.groupBy("_k1", "_k2", "item_id").agg(F.count("*").alias("shared"))
-    shared = shared.join(hits, ["_k1", "_k2", "item_id"], "left_semi")
-    return shared.join(sizes.withColumnRenamed("q", "item_shingles"), "item_id").where(
-        F.col("shared") >= F.ceil(F.col("item_shingles") * F.lit(CONTAINED))).select("_k1", "_k2", "item_id", "shared", "item_shingles")
+    shared = found.groupBy("_k1", "_k2", *item).agg(F.count("*").alias("shared"))
+    shared = shared.join(hits, ["_k1", "_k2", *item], "left_semi")
+    return shared.join(sizes.withColumnRenamed("q", "item_shingles"), item).where(
+        F.col("shared") >= F.ceil(F.col("item_shingles") * F.lit(CONTAINED))).select("_k1", "_k2", *item, "shared", "item_shingles")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, columns as they were."""
     bad = stash(contaminated(docs, benchmark).select("_k1", "_k2").distinct())
-    return keyed(docs).join(maybe_broadcast(bad, bad.count()), ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *text_keys(F.col("text"), "_k1", "_k2"))
+    return rows.join(maybe_broadcast(bad, bad.count()), ["_k1", "_k2"], "left_anti").select("_row.*")
+
+
+def with_items(found: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``found`` with the item_id of each row of the benchmark that has the text."""
+    of = stash(benchmark.where(F.col("text").isNotNull()).select("item_id", *text_keys(F.col("text"), "_i1", "_i2")))
+    return found.join(maybe_broadcast(of, of.count()), ["_i1", "_i2"]).drop("_i1", "_i2")
 
 
 def op5_decontam(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    found = stash(contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text")))
+    docs, bench = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    found = stash(with_items(contaminated(docs, bench), bench))
     rows = keyed(docs.where(F.col("text").isNotNull())).select("doc_id", "_k1", "_k2")
     return rows.join(maybe_broadcast(found, found.count()), ["_k1", "_k2"]).select("doc_id", "item_id", "shared", "item_shingles")
 
