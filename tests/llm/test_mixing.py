@@ -45,3 +45,11 @@ def test_mix_repeats_rows_and_keeps_columns(docs_of):
 def test_empty_and_wordless(docs_of):
     assert M.mix(docs_of([])).count() == 0
     assert [r._target for r in M.rated(docs_of([(1, "", "s"), (2, None, None)])).collect()] == [0.0, 0.0]
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "a b c", "s", 7, 8, 9, 10, "r") for i in range(50)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, _n int, _size int, _copies int, _target int, _row string")
+    m = M.mix(d)
+    assert m.columns == d.columns and {tuple(r)[1:] for r in m.collect()} == {rows[0][1:]}
+    assert {r._size for r in M.rated(d).collect()} == {3}

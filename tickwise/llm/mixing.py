@@ -73,7 +73,9 @@ def targets(sources: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: floa
 
 
 def rated(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: float = CAP, seed: int = SEED) -> DataFrame:
-    """The documents with ``_size, _source_size, _target, _copies``."""
+    """The documents with ``_size, _source_size, _target, _copies`` (in place
+    of columns of these names, if there are any)."""
+    docs = docs.drop("_size", "_source_size", "_target", "_copies")
     sized = docs.withColumn("_size", size_of(F.col("text")))
     per = sized.groupBy("source").agg(F.sum("_size").alias("source_size"))
     t = targets(per, weights, total, cap).select(
@@ -87,9 +89,11 @@ def rated(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, cap: float = C
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed corpus: each document as many times as it is taken."""
-    r = rated(docs, **how)
-    return r.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(*docs.columns)
+    """The mixed corpus: each document as many times as it is taken.  The rows
+    travel as one struct, so no column of theirs can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    r = rated(docs.select("doc_id", "text", "source", whole), **how)
+    return r.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select("_row.*")
 
 
 def op2_mixing(spark, sf_dir):
