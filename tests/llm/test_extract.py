@@ -1,3 +1,5 @@
+import numpy as np
+
 from tickwise.llm import extract as X
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body>
@@ -50,3 +52,33 @@ def test_query_equals_the_article_of_every_given_page(spark):
         body = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
         assert r.text == "\n\n".join(x for x in parts if x) and r.n_chars == len(r.text)
+
+
+def test_names_of_boxes_decide_nothing():
+    body = "<h1>A heading</h1><p>The first paragraph has a few words.</p><p>So has the second one here.</p>"
+    want = "A heading\n\nThe first paragraph has a few words.\n\nSo has the second one here."
+    for attrs in ('class="post related"', 'id="comments"', 'data-x="hidden gem"', "title='display:none'"):
+        assert X.main_text(f"<nav><a href=a>Home</a></nav><article {attrs}>{body}</article>") == want
+    assert X.main_text(f"<article>{body}<p data-x='hidden gem'>Seen.</p></article>") == want + "\n\nSeen."
+    for attrs in ("hidden", 'aria-hidden="true"', 'style="color:red; display: none"', "role=navigation"):
+        assert X.main_text(f"<article>{body}<div {attrs}><p>Not to be seen by any reader.</p></div></article>") == want
+
+
+def test_short_list_items_stay():
+    items = ["Apples from the garden", "Pears", "Plums that are ripe in autumn", "Figs"]
+    page = "<article><h1>Fruit</h1><p>What there is to eat in the house today:</p><ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul></article>"
+    assert X.main_text(page).split("\n\n")[2:] == items
+
+
+def test_tree_learns_from_a_bounded_sample(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    model = X.fit(pages)
+    assert model == X.fit(pages.repartition(3)) and model != X.tree()
+    x, y = X.labelled()
+    assert np.mean([X.decide(model, r) == c for r, c in zip(x, y)]) > 0.85
+    # without the place of the blocks most of them are still told apart
+    whole = {r.page_id: r.text for r in X.extract(pages, model).collect()}
+    blind = {r.page_id: r.text for r in X.extract(pages, model, placed=False).collect()}
+    kept = [set(whole[i].split("\n\n")) & set(blind[i].split("\n\n")) for i in whole]
+    assert sum(map(len, kept)) > 0.9 * sum(len(whole[i].split("\n\n")) for i in whole)
+    assert X.fit(pages.where("false")) == X.tree()

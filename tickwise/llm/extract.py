@@ -1,10 +1,17 @@
-"""Main text of web pages: flat text blocks, described by their own and their
-neighbours' word count and link density and by the box they stand in, and
-kept or dropped by a decision tree that is trained on a small labelled table.
+"""Main text of web pages: flat text blocks, each described by its own and its
+neighbours' word count and link density and by one number that says where the
+markup puts it, and kept or dropped by a decision tree.
+
+The tree is trained on a small labelled table and on the blocks of at most
+``PAGES`` pages that hold an article element, labelled by whether they stand in
+it.  Each of those pages is shown twice, once with the place of its blocks and
+once as a page without such an element, so that the tree also learns what word
+counts and link densities say alone.
 
 Edge cases: null or empty html gives an empty text; markup that is not closed
 or cut off is read as far as it goes; repeated rows each give a row; an empty
-table gives an empty result; other columns are ignored.
+table gives an empty result; other columns are ignored, and one that is named
+like the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -30,22 +38,29 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that hold no part of an article wherever they stand.
+#: Elements and landmark roles that hold no part of an article wherever they stand.
 CHROME = {"nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "textarea", "input", "fieldset"} | SILENT
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
 PROSE = {"article", "main"}
-#: Words in class, id or role that name such a box.
-HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|adverts?|advertisement|banner|cookies?|consent|gdpr|notice|notices|alert|comments?|disqus|respond|sidebar|"
-    r"menu|nav|navbar|navigation|breadcrumbs?|footer|contentinfo|complementary|search|promo|promoted|sponsor|sponsored|related|"
-    r"share|sharing|social|subscribe|newsletter|popup|modal|dialog|login|signup|pagination|pager|toolbar|widget|skip-link)(?:$|[\s_-])", re.I)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?until)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-
-
-def blocks_of(page: str) -> list[tuple[str, int, int, int, int]]:
-    """(text, words, words in links, inside chrome, inside an article) of each
-    block, in page order."""
-    out: list[tuple[str, int, int, int, int]] = []
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+GONE = re.compile(r"display\s*:\s*none", re.I)
+#: Where a block stands: in a box of the kinds above, or outside the page's article; on a page without one; in it.
+OUTSIDE, UNKNOWN, INSIDE = 0, 1, 2
+
+
+def boxed(name: str, attrs: str) -> bool:
+    """Whether an element with these attributes is hidden or no prose."""
+    if name in CHROME:
+        return True
+    if not attrs:
+        return False
+    of = {k.lower(): (a or b or c).strip().lower() for k, a, b, c in ATTRIBUTE.findall(attrs)}
+    return of.get("hidden", "until-found") != "until-found" or of.get("aria-hidden") == "true" or of.get("role") in ROLES or bool(GONE.search(of.get("style", "")))
+
+
+def blocks_of(page: str) -> list[tuple[str, int, int, int]]:
+    """(text, words, words in links, place) of each block, in page order."""
+    out: list[tuple[str, int, int, bool, bool]] = []
     buffer: list[tuple[str, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # element, chrome, prose
     links = 0
@@ -57,7 +72,7 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int, int]]:
             text = " ".join("".join(t for t, _ in buffer).split())
             if text:
                 linked = sum(len(t.split()) for t, a in buffer if a)
-                out.append((text, len(text.split()), linked, int(chrome), int(prose)))
+                out.append((text, len(text.split()), linked, chrome, prose))
             buffer = []
 
     at, n = 0, len(page)
@@ -94,38 +109,37 @@ def blocks_of(page: str) -> list[tuple[str, int, int, int, int]]:
         elif name == "body":
             stack, chrome, prose = [], False, False
         elif name not in VOID and name not in ("p", "li", "html", "option", "dt", "dd", "tr", "td", "th"):
-            named = " ".join(a or b or c for a, b, c in NAMES.findall(attrs)) if attrs else ""
-            box = name in CHROME or name == "header" and not prose or bool(named and HINT.search(named)) or bool(attrs and HIDDEN.search(attrs))
+            box = boxed(name, attrs) or name == "header" and not prose
             prose = prose or name in PROSE
             chrome = chrome or box
             stack.append((name, chrome, prose))
     flush()
-    return out
+    known = any(prose and not chrome for *_, chrome, prose in out)
+    return [(t, w, a, OUTSIDE if chrome or known and not prose else INSIDE if prose else UNKNOWN) for t, w, a, chrome, prose in out]
 
 
-#: Labelled table to train on: in chrome, in an article, words, link density,
-#: words and link density of the block before and of the block after, main text.
-FEATURES = ("chrome", "article", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: Pages, of those with an article, whose blocks the tree learns from.
+PAGES = 50
+#: Labelled table to train on: place, words, link density, words and link
+#: density of the block before and of the block after, main text.
+FEATURES = ("place", "words", "links", "words_before", "links_before", "words_after", "links_after")
 LABELLED = """
-0 1 8 0 9 0 60 0 1        0 1 60 0 8 0 45 0 1       0 1 45 0 60 0 3 0 1       0 1 3 0 45 0 80 0 1
-0 1 1 0 80 0 1 0 1        0 1 1 0 1 0 30 0 1        0 1 120 .05 30 0 12 0 1   0 1 12 .1 120 0 14 0 1
-0 1 5 0 0 0 0 0 1         0 1 4 0 9 0 14 0 1        0 1 14 0 4 0 7 0 1        0 1 30 .2 5 0 5 0 1
-0 1 2 0 90 .1 9 0 1       0 1 7 0 1 1 25 0 1        0 1 25 0 7 0 13 1 1       0 1 200 0 2 0 2 0 1
-0 1 6 1 40 0 5 1 0        0 1 5 1 6 1 4 1 0         0 1 4 1 5 1 14 0 0        0 1 3 1 70 0 30 0 0
-1 0 1 1 0 0 1 1 0         1 0 1 1 1 1 2 1 0         1 0 9 0 1 1 6 0 0         1 0 14 0 60 0 0 0 0
-1 0 40 0 12 0 20 0 0      1 0 25 0 40 0 8 0 0       1 0 80 .1 30 0 30 0 0     1 0 3 0 5 0 0 0 0
-1 1 30 0 60 0 50 0 0      1 1 4 0 90 0 7 0 0        1 1 12 .9 40 0 40 0 0     1 1 70 0 20 0 22 0 0
-1 1 5 0 5 0 5 0 0         1 0 6 .5 2 1 9 0 0        1 1 1 1 30 0 1 1 0        1 0 120 0 0 0 40 0 0
-0 0 60 0 8 0 45 0 1       0 0 45 .1 60 0 30 0 1     0 0 30 0 45 0 20 0 1      0 0 90 0 0 0 0 0 1
-0 0 20 .1 70 0 40 0 1     0 0 25 .2 4 1 4 1 1       0 0 40 0 3 0 5 0 1        0 0 18 0 22 0 16 0 1
-0 0 7 0 2 1 50 0 1        0 0 9 0 30 0 40 0 1       0 0 4 0 50 0 45 0 1       0 0 6 0 60 0 35 .1 1
-0 0 2 1 0 0 2 1 0         0 0 1 1 2 1 1 1 0         0 0 5 .8 3 1 4 1 0        0 0 30 .9 20 1 20 1 0
-0 0 3 0 2 1 2 1 0         0 0 4 0 3 0 2 0 0         0 0 2 0 0 0 3 1 0         0 0 6 0 5 0 0 0 0
-0 0 40 0 40 0 0 0 1       0 0 35 0 50 0 4 1 1       0 0 70 0 6 0 3 0 1        0 0 28 0 0 0 0 0 1
-0 0 15 0 40 0 3 .5 1      0 0 50 .1 2 .5 2 .5 1     0 0 16 0 4 .9 30 0 1      0 0 22 .3 30 0 3 0 1
-0 0 3 0 2 1 40 0 1        0 0 5 0 2 1 60 0 1        0 0 4 0 4 .9 35 0 1       0 0 2 0 0 0 50 0 1
-0 0 3 0 60 0 2 1 0        0 0 4 0 50 0 5 .5 0       0 0 2 0 40 0 0 0 0        0 0 5 0 30 0 3 1 0
-0 0 12 .6 40 0 30 0 0     0 0 8 .7 60 0 10 0 0      0 0 5 0 4 1 6 .5 0        0 0 3 1 60 0 60 0 0
+2 8 0 9 0 60 0 1            2 60 0 8 0 45 0 1           2 45 0 60 0 3 0 1           2 3 0 45 0 80 0 1           2 1 0 80 0 1 0 1
+2 1 0 1 0 30 0 1            2 120 .05 30 0 12 0 1        2 12 .1 120 0 14 0 1        2 5 0 0 0 0 0 1             2 4 0 9 0 14 0 1
+2 14 0 4 0 7 0 1            2 30 .2 5 0 5 0 1           2 2 0 90 .1 9 0 1           2 7 0 1 1 25 0 1            2 25 0 7 0 13 1 1
+2 200 0 2 0 2 0 1           2 6 1 40 0 5 1 0            2 5 1 6 1 4 1 0             2 4 1 5 1 14 0 0            2 3 1 70 0 30 0 0
+0 1 1 0 0 1 1 0             0 1 1 1 1 2 1 0             0 9 0 1 1 6 0 0             0 14 0 60 0 0 0 0           0 40 0 12 0 20 0 0
+0 25 0 40 0 8 0 0           0 80 .1 30 0 30 0 0         0 3 0 5 0 0 0 0             0 30 0 60 0 50 0 0          0 4 0 90 0 7 0 0
+0 12 .9 40 0 40 0 0         0 70 0 20 0 22 0 0          0 5 0 5 0 5 0 0             0 6 .5 2 1 9 0 0            0 1 1 30 0 1 1 0
+0 120 0 0 0 40 0 0          1 60 0 8 0 45 0 1           1 45 .1 60 0 30 0 1         1 30 0 45 0 20 0 1          1 90 0 0 0 0 0 1
+1 20 .1 70 0 40 0 1         1 25 .2 4 1 4 1 1           1 40 0 3 0 5 0 1            1 18 0 22 0 16 0 1          1 7 0 2 1 50 0 1
+1 9 0 30 0 40 0 1           1 4 0 50 0 45 0 1           1 6 0 60 0 35 .1 1          1 2 1 0 0 2 1 0             1 1 1 2 1 1 1 0
+1 5 .8 3 1 4 1 0            1 30 .9 20 1 20 1 0         1 3 0 2 1 2 1 0             1 4 0 3 0 2 0 0             1 2 0 0 0 3 1 0
+1 6 0 5 0 0 0 0             1 40 0 40 0 0 0 1           1 35 0 50 0 4 1 1           1 70 0 6 0 3 0 1            1 28 0 0 0 0 0 1
+1 15 0 40 0 3 .5 1          1 50 .1 2 .5 2 .5 1         1 16 0 4 .9 30 0 1          1 22 .3 30 0 3 0 1          1 3 0 2 1 40 0 1
+1 5 0 2 1 60 0 1            1 4 0 4 .9 35 0 1           1 2 0 0 0 50 0 1            1 3 0 60 0 2 1 0            1 4 0 50 0 5 .5 0
+1 2 0 40 0 0 0 0            1 5 0 30 0 3 1 0            1 12 .6 40 0 30 0 0         1 8 .7 60 0 10 0 0          1 5 0 4 1 6 .5 0
+1 3 1 60 0 60 0 0           2 1 0 1 0 1 0 1             2 1 0 12 0 9 0 1            2 1 0 2 0 1 0 1             2 2 0 1 0 30 0 1
 """
 
 
@@ -141,21 +155,64 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 8):
         return int(2 * y.sum() >= len(y))
     best = None
     for f in range(x.shape[1]):
-        values = np.unique(x[:, f])
-        for t in (values[1:] + values[:-1]) / 2:
-            low = x[:, f] <= t
-            cost = sum(s.sum() * 2 * y[s].mean() * (1 - y[s].mean()) for s in (low, ~low))
-            if best is None or cost < best[0] - 1e-12:
-                best = cost, f, t, low
+        order = np.argsort(x[:, f], kind="stable")
+        v, hits = x[order, f], np.cumsum(y[order])
+        cut = np.flatnonzero(v[1:] > v[:-1])  # last row below each threshold
+        if not len(cut):
+            continue
+        n, k = cut + 1.0, hits[cut]
+        m, j = len(y) - n, hits[-1] - k
+        cost = 2 * k * (1 - k / n) + 2 * j * (1 - j / m)
+        i = int(cost.argmin())
+        if best is None or cost[i] < best[0] - 1e-12:
+            best = cost[i], f, (v[cut[i]] + v[cut[i] + 1]) / 2
     if best is None:
         return int(2 * y.sum() >= len(y))
-    _, f, t, low = best
+    _, f, t = best
+    low = x[:, f] <= t
     return f, float(t), grow(x[low], y[low], depth - 1), grow(x[~low], y[~low], depth - 1)
 
 
+def planted(x: np.ndarray, y: np.ndarray):
+    """A tree that parts the blocks by place first and then grows."""
+    below = [grow(x[x[:, 0] == p], y[x[:, 0] == p]) if (x[:, 0] == p).any() else 0 for p in (OUTSIDE, UNKNOWN, INSIDE)]
+    return 0, 0.5, below[0], (0, 1.5, below[1], below[2])
+
+
 @lru_cache(maxsize=1)
 def tree():
-    return grow(*labelled())
+    """The tree that the small table alone gives."""
+    return planted(*labelled())
+
+
+def rows_of(blocks: list[tuple[str, int, int, int]]) -> list[tuple]:
+    """The features of each block of a page."""
+    shape = [(0, 0.0), *((w, a / w) for _, w, a, _ in blocks), (0, 0.0)]
+    return [(b[3], *shape[i + 1], *shape[i], *shape[i + 2]) for i, b in enumerate(blocks)]
+
+
+def fit(pages: DataFrame, key: str = "page_id", html: str = "html", most: int = PAGES):
+    """A tree from the small table and the blocks of at most ``most`` pages
+    with an article: those with the smallest hash of key and page.  Only the
+    blocks' numbers leave the executors."""
+    some = (pages.where(F.contains(F.lower(html), F.lit("<article"))).select(F.xxhash64(key, html).alias("_h"), F.col(html).alias("_html"))
+            .orderBy("_h", "_html").limit(most))
+
+    def run(batches):
+        for b in batches:
+            found = []
+            for page in b.column(0):
+                rows = rows_of(blocks_of(page.as_py()))
+                found.append([x for r in rows if any(q[0] == INSIDE for q in rows) for x in (*r, r[0] == INSIDE)])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64()))], ["rows"])
+
+    seen = some.select("_html").mapInArrow(run, "rows array<double>").collect()  # ``most`` pages
+    x, y = labelled()
+    more = np.array([v for r in seen for v in r.rows]).reshape(-1, len(FEATURES) + 1)
+    more = more[np.lexsort(more.T)]
+    unplaced = more.copy()
+    unplaced[:, 0] = UNKNOWN
+    return planted(np.concatenate([x, more[:, :-1], unplaced[:, :-1]]), np.concatenate([y, more[:, -1], unplaced[:, -1]]).astype(int))
 
 
 def decide(node, row) -> int:
@@ -164,33 +221,29 @@ def decide(node, row) -> int:
     return node
 
 
-def main_text(page: str | None, model=None) -> str:
-    """The kept blocks of a page, joined by an empty line."""
+def main_text(page: str | None, model=None, placed: bool = True) -> str:
+    """The kept blocks of a page, joined by an empty line.  ``placed`` False:
+    judged without the place of the blocks."""
     model = model or tree()
     blocks = blocks_of(page or "")
-    shape = [(0, 0.0), *((w, a / w) for _, w, a, _, _ in blocks), (0, 0.0)]
-    kept = []
-    for i, (text, _, _, chrome, prose) in enumerate(blocks):
-        if decide(model, (chrome, prose, *shape[i + 1], *shape[i], *shape[i + 2])):
-            kept.append(text)
-    return "\n\n".join(kept)
+    rows = rows_of(blocks if placed else [(t, w, a, UNKNOWN) for t, w, a, _ in blocks])
+    return "\n\n".join(b[0] for b, r in zip(blocks, rows) if decide(model, r))
 
 
-def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
+def extract(pages: DataFrame, model=None, html: str = "html", out: str = "text", placed: bool = True) -> DataFrame:
     """The other columns of ``pages`` with the main text of each page."""
     keep = [c for c in pages.columns if c not in (html, out)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(keep).schema)
+    model = model or tree()
 
     def run(batches):
-        model = tree()
         for b in batches:
-            texts = pa.array([main_text(x.as_py(), model) for x in b.column(len(keep))], pa.string())
+            texts = pa.array([main_text(x.as_py(), model, placed) for x in b.column(len(keep))], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], texts], [*keep, out])
 
     return pages.select(*keep, html).mapInArrow(run, f"{schema}, `{out}` string")
 
 
 def op9_extract(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extract(pages, fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
