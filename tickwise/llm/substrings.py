@@ -157,7 +157,7 @@ def repeated_pieces(live: DataFrame) -> tuple[DataFrame, DataFrame]:
     plain = contents.join(of, "m", "left_anti").select(F.col("m").alias("a"), F.col("t").alias("b"), "head", "tail", "n", "source", F.lit(True).alias("whole"))
     # one holder of each content shows its nodes
     shown = contents.join(of, "m", "left_semi").select("m", "t", "last", F.col("source.doc").alias("doc"), F.col("source.row").alias("row"), F.col("source.at").alias("at"))
-    shown = live.join(shown, ["m", "t", "doc", "row", "at"])
+    shown = live.join(of, "m", "left_semi").join(shown, ["m", "t", "doc", "row", "at"])
     step = F.transform(F.sequence(F.lit(0), F.size("nodes") - 2), lambda i: F.struct(i.alias("i"), F.col("nodes")[i].alias("a"), F.col("nodes")[i + 1].alias("b")))
     windows = stash(shown.select("m", "t", "doc", "row", "at", "last", F.explode(step).alias("w")).select("m", "t", "doc", "row", "at", "last", "w.*"))
     edges = windows.groupBy("a", "b").agg(F.min(F.struct("doc", "row", (F.col("at") + F.col("i")).alias("at"))).alias("source"), F.max("last").alias("last"))
