@@ -173,3 +173,95 @@ def test_parameters_do_not_depend_on_blocks(spark):
     assert abs(one.final_equity - b[0].final_equity) < 1e-6
     last = BT.backtest_signals(ST.strategy_sma_crossover(df, 40, 700)).orderBy("d").collect()[-1]
     assert abs(last.equity - one.final_equity) < 1e-6
+
+
+def test_flat_closes_give_no_macd_sign(spark):
+    """Eight tickers that never move, at levels a double can't hold exactly."""
+    from helpers import series_df
+
+    from tickwise.operators import strategies as ST
+    from tickwise.operators import zones as Z
+    levels = [5001.5, 0.1, 99.99, 1234.56, 1 / 3, 7e-9, 3.3e7, 17.35]
+    df = series_df(spark, {f"T{k}": [v] * 300 for k, v in enumerate(levels)})
+    for strict in (False, True):
+        m = I.macd(df, strict=strict, block_rows=64).toPandas()
+        start = 25 if strict else 0
+        got = m.sort_values(["ticker", "d"])["macd"].to_numpy(dtype=float).reshape(8, 300)
+        assert np.isnan(got[:, :start]).all() and (got[:, start:] == 0).all()
+    assert Z.macd_regime(I.macd(df)).where("regime IS NOT NULL").count() == 0
+    assert Z.hist_sign(I.macd(df, strict=True)).where("hist_sign = 'neg'").count() == 0
+    assert ST.strategy_macd(df).where("signal > 0").count() == 0
+
+
+def test_macd_sign_holds_on_in_a_flat_stretch(spark):
+    """A rise, then 400 equal closes: the slow average lags behind all along,
+    and the exact signs are those of the plain recursion in high precision."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    c = [100 + k for k in range(30)] + [129] * 400
+
+    def ema(xs, span):
+        a, y, out = Decimal(2) / (span + 1), None, []
+        for x in xs:
+            y = Decimal(x) if y is None else (1 - a) * y + a * Decimal(x)
+            out.append(y)
+        return out
+    m = [f - s for f, s in zip(ema(c, 12), ema(c, 26))]
+    out = I.macd(_one(spark, [float(v) for v in c]), block_rows=64).orderBy("d").toPandas()
+    np.testing.assert_allclose(out["macd"].to_numpy(dtype=float), [float(x) for x in m], rtol=1e-9, atol=1e-12)
+    assert (out["macd"].iloc[1:] > 0).all()
+
+
+def test_ema_over_a_long_null_run(spark):
+    """300 values, 2,500 NULLs, 300 values, in blocks of 64 to 2,048 rows."""
+    rng = np.random.default_rng(6)
+    values = [*rng.uniform(10, 20, 300), *[None] * 2500, *rng.uniform(10, 20, 300)]
+    values = [None if v is None else float(v) for v in values]
+    x = pd.Series(values, dtype=float)
+    for rows in (64, 2048):
+        for span, mp in ((3, 0), (200, 310)):
+            out = I.ema(_one(spark, values), span, min_periods=mp, block_rows=rows).orderBy("d").toPandas()[f"ema_{span}"].to_numpy(dtype=float)
+            want = x.ewm(span=span, adjust=False, min_periods=mp).mean().to_numpy()
+            assert (np.isnan(out) == np.isnan(want)).all()
+            np.testing.assert_allclose(out[~np.isnan(want)], want[~np.isnan(want)], rtol=1e-12)
+
+
+def test_averages_carry_over_many_blocks_without_a_halo(spark):
+    rng = np.random.default_rng(7)
+    x = pd.Series(5000 + np.cumsum(rng.standard_normal(7000)))
+    assert I.panel_halo() <= 201 and S.ema_halo([2 / 201]) == 0
+    for span in (2, 9, 200, 5000):
+        out = I.ema(_one(spark, [float(v) for v in x]), span, block_rows=128).orderBy("d").toPandas()[f"ema_{span}"]
+        np.testing.assert_allclose(out, x.ewm(span=span, adjust=False).mean(), rtol=1e-13)
+
+
+@pytest.mark.parametrize("n", [2, 20, 2000])
+def test_rolling_moments_of_any_length(spark, n):
+    """Against pandas; closes with gaps, a flat stretch and a large level."""
+    rng = np.random.default_rng(8)
+    x = pd.Series(1e5 + np.cumsum(rng.standard_normal(6000)))
+    x[2500:2600] = x[2500]
+    x[[7, 5000]] = np.nan
+    df = _one(spark, [None if np.isnan(v) else float(v) for v in x])
+    f = S.add_rolling(I.prepare(df, n), ["ticker"], [S.Rolling("close", n, "m", "s")])
+    out = I.finish(f).orderBy("d")
+    assert f"-{n - 1}," not in out._jdf.queryExecution().executedPlan().toString()  # no frame of n rows
+    out = out.toPandas()
+    for c, want in (("m", x.rolling(n).mean()), ("s", x.rolling(n).std())):
+        got, want = out[c].to_numpy(dtype=float), want.to_numpy()
+        assert (np.isnan(got) == np.isnan(want)).all()
+        np.testing.assert_allclose(got[~np.isnan(want)], want[~np.isnan(want)], rtol=1e-9, atol=2e-6 if c == "s" else 0)
+    if n == 20:
+        assert (out["s"].iloc[2520:2600] == 0).all() and (out["m"].iloc[2520:2600] == x[2500]).all()
+
+
+def test_wilder_rsi_on_a_quiet_ticker(spark):
+    """Closes that move at every 700th row only."""
+    rng = np.random.default_rng(9)
+    c = pd.Series([float(100 + k) if k < 200 else (float(rng.uniform(90, 110)) if k % 700 == 0 else np.nan) for k in range(5000)]).ffill()
+    d = c.diff()
+    g, l = (v.fillna(0.0).ewm(alpha=1 / 14, adjust=False, min_periods=14).mean() for v in (d.clip(lower=0), (-d).clip(lower=0)))
+    want = (100 - 100 / (1 + g / l)).to_numpy()
+    out = I.rsi_wilder(_one(spark, [float(v) for v in c])).orderBy("d").toPandas()["rsi"].to_numpy(dtype=float)
+    assert (np.isnan(out) == np.isnan(want)).all()
+    np.testing.assert_allclose(out[13:], want[13:], rtol=1e-9)

@@ -51,13 +51,41 @@ register("resample_weekly", _resample_sql("week"))(
 register("resample_monthly", _resample_sql("month"))(
     lambda spark, sf: BR.resample(bars(spark, sf), "1mo"))
 
+_STORES: dict[tuple[str, str], lake.BarStore] = {}
+
+
+def stored(spark, sf):
+    """The bars of a data folder, written once a session into folders by month
+    and ticker bucket."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        _STORES[key] = lake.BarStore(_scratch(spark, "bars"), buckets=2).write(bars(spark, sf))
+    return _STORES[key]
+
+
+def requested_by_orders(spark, sf):
+    """A request table that grows with the data: one row an order, the symbol
+    being the first letter of its customer's nation and the order's status."""
+    orders = FX.table(spark, sf, "orders").select("o_custkey", "o_orderstatus")
+    customer = FX.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = FX.table(spark, sf, "nation").select("n_nationkey", F.substring("n_name", 1, 1).alias("letter"))
+    return (orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(F.concat("letter", "o_orderstatus").alias("symbol")))
+
+
 register("lookback_1y", f"""{BASE}
 SELECT {BAR_COLS} FROM bars WHERE d >= (SELECT MAX(d) FROM bars) - INTERVAL 12 MONTH""")(
-    lambda spark, sf: Z.lookback(bars(spark, sf), "1y"))
+    lambda spark, sf: stored(spark, sf).load_period(spark, None, "1y"))
 
 register("bars_range", f"""{BASE}
 SELECT {BAR_COLS} FROM bars WHERE ticker IN ('AF', 'NO', 'RF') AND d >= DATE '1997-01-01' AND d < DATE '1999-01-01'""")(
-    lambda spark, sf: lake.load_bars_range(bars(spark, sf), ["AF", "NO", "RF", "ZZZ"], "1997-01-01", "1999-01-01"))
+    lambda spark, sf: stored(spark, sf).load_range(spark, ["AF", "NO", "RF", "ZZZ"], "1997-01-01", "1999-01-01"))
+
+register("bars_requested", f"""{BASE},
+asked AS (SELECT DISTINCT SUBSTR(n_name, 1, 1) || o_orderstatus AS ticker FROM orders
+          JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)
+SELECT {BAR_COLS} FROM bars WHERE ticker IN (SELECT ticker FROM asked)""")(
+    lambda spark, sf: stored(spark, sf).load_range(spark, requested_by_orders(spark, sf)))
 
 register("bars_period", f"""{BASE},
 lb AS (SELECT *, d AS bar_d FROM bars WHERE ticker = 'NF' AND d >= (SELECT MAX(d) FROM bars WHERE ticker = 'NF') - INTERVAL 60 MONTH)
@@ -65,7 +93,7 @@ SELECT ticker, CAST(DATE_TRUNC('week', bar_d) AS DATE) AS d,
        ARG_MIN(open, bar_d) AS open, MAX(high) AS high, MIN(low) AS low,
        ARG_MAX(close, bar_d) AS close, CAST(SUM(volume) AS BIGINT) AS volume
 FROM lb GROUP BY ticker, DATE_TRUNC('week', bar_d)""")(
-    lambda spark, sf: lake.load_bars_period(bars(spark, sf), "NF", "5y", "1wk"))
+    lambda spark, sf: stored(spark, sf).load_period(spark, "NF", "5y", "1wk"))
 
 register("trading_days", f"""{BASE}
 SELECT {BAR_COLS} FROM bars WHERE DAYOFWEEK(d) BETWEEN 1 AND 5""")(
@@ -343,7 +371,7 @@ SELECT ticker, {sel([('SMA', 6), ('volatility', 6)])},
 def run_stream_gold(spark, sf, root):
     run_stream_silver(spark, sf, root)
     SM.run_gold(spark, f"{root}/silver", f"{root}/gold", f"{root}/ck-gold")
-    return spark.read.parquet(f"{root}/gold")
+    return lake.read_gold(spark, f"{root}/gold")
 
 
 register("stream_gold", f"""{STREAM_SILVER_SQL}

@@ -13,8 +13,8 @@ Scale notes:
 * the correlation matrix is a distributed Gram: each partition of dates adds
   up its own cross products (numpy, one pass) and the partial sums are
   reduced by pair.  No per-date pair rows are ever produced;
-* the KDE likewise adds each partition's kernels into the grid (numpy) and
-  reduces the partial grids; samples are never paired with grid rows.
+* the KDE adds each return's kernel to the few grid points it reaches, in a
+  hash aggregate with partial sums before the shuffle.
 """
 
 from __future__ import annotations
@@ -237,40 +237,19 @@ def rolling_corr(pair_returns: DataFrame, n: int = 30, block_rows: int | None =
 
 # ------------------------------------------------------------------ D8
 
-def _kde_partials(batches: Iterator[pd.DataFrame], gridsize: int) -> Iterator[pd.DataFrame]:
-    """Per partition: every sample's Gaussian kernel at each of its ticker's
-    ``gridsize`` grid points (one numpy array per batch), summed per ticker.
-    Rows with no positive bandwidth contribute nothing."""
-    k = np.arange(gridsize)
-    acc: dict[str, np.ndarray] = {}
-    for pdf in batches:
-        pdf = pdf[pdf["h"] > 0]
-        if pdf.empty:
-            continue
-        h = pdf["h"].to_numpy()[:, None]
-        x = pdf["g0"].to_numpy()[:, None] + k[None, :] * pdf["step"].to_numpy()[:, None]
-        z = (x - pdf["ret"].to_numpy()[:, None]) / h
-        kern = np.exp(-(z * z) / 2)
-        codes, names = pd.factorize(pdf["ticker"])
-        sums = np.zeros((len(names), gridsize))
-        np.add.at(sums, codes, kern)
-        for name, row in zip(names, sums):
-            acc[name] = acc[name] + row if name in acc else row
-    if acc:
-        names = list(acc)
-        yield pd.DataFrame({"ticker": np.repeat(names, gridsize), "k": np.tile(k, len(names)).astype("int32"),
-                            "s": np.concatenate([acc[t] for t in names])})
+#: A kernel this many bandwidths away from a grid point is below 1e-17 of its peak.
+REACH = 9.0
 
 
 def return_density(complete: DataFrame, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian KDE of each ticker's returns on a ``gridsize`` grid from
     min - cut*h to max + cut*h, Scott bandwidth h = std * n^(-1/5).
 
-    Samples are never grouped by ticker or paired with grid rows: each
-    partition adds its own samples' kernels into the grid points of their
-    tickers (numpy), and the partial sums (tickers x grid per partition) are
-    reduced by (ticker, k).  NULL density where the bandwidth is not positive
-    (a constant series or one sample)."""
+    A return adds its kernel to the grid points within ``REACH`` bandwidths
+    only, a number of points that shrinks as the sample grows; the kernels are
+    summed by (ticker, k) in a hash aggregate, before and after the shuffle.
+    NULL density where the bandwidth is not positive (a constant series or one
+    sample)."""
     r = complete.filter(F.col("ret").isNotNull()).select("ticker", "ret")
     st = r.groupBy("ticker").agg(F.count("ret").alias("n"), F.stddev_samp("ret").alias("sd"),
                                  F.min("ret").alias("lo"), F.max("ret").alias("hi"))
@@ -279,9 +258,12 @@ def return_density(complete: DataFrame, gridsize: int = 200, cut: float = 3.0) -
         "ticker", "n", "h",
         (F.col("lo") - F.col("h") * cut).alias("g0"),
         ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (gridsize - 1)).alias("step"))
-    parts = r.join(st.select("ticker", "h", "g0", "step"), "ticker").mapInPandas(
-        lambda it: _kde_partials(it, gridsize), "ticker string, k int, s double")
-    sums = parts.groupBy("ticker", "k").agg(F.sum("s").alias("_s"))
+    near = r.join(st.select("ticker", "h", "g0", "step").filter(F.col("h") > 0), "ticker")
+    at, reach = (F.col("ret") - F.col("g0")) / F.col("step"), F.col("h") * REACH / F.col("step")
+    first, last = F.greatest(F.lit(0), F.ceil(at - reach)).cast("int"), F.least(F.lit(gridsize - 1), F.floor(at + reach)).cast("int")
+    near = near.select("ticker", "ret", "h", "g0", "step", F.explode(F.sequence(first, last)).alias("k"))
+    z = (F.col("g0") + F.col("k") * F.col("step") - F.col("ret")) / F.col("h")
+    sums = near.groupBy("ticker", "k").agg(F.sum(F.exp(-(z * z) / 2)).alias("_s"))
     grid = st.select("ticker", "n", "h", "g0", "step",
                      F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("k"))
     out = grid.join(sums, ["ticker", "k"], "left")

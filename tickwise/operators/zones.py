@@ -91,16 +91,19 @@ def tickers(df: DataFrame, key: str = "ticker") -> DataFrame:
     return df.select(key).distinct()
 
 
+#: Months of the lookback codes.
+LOOKBACKS = {"1mo": 1, "3mo": 3, "6mo": 6, "1y": 12, "2y": 24, "5y": 60, "10y": 120}
+
+
 def lookback(df: DataFrame, period: str, d: str = "d", anchor=None, key: str | None = None) -> DataFrame:
     """Rows within the last 1mo/3mo/6mo/1y/2y/5y (or 'max') before the
     anchor date.  The anchor is the table's last date (a one-row aggregate
     scalar subquery) or a given date; per-series anchors with ``key``."""
-    months = {"1mo": 1, "3mo": 3, "6mo": 6, "1y": 12, "2y": 24, "5y": 60, "10y": 120}
     if period == "max":
         return df
-    if period not in months:
+    if period not in LOOKBACKS:
         raise ValueError(f"unknown period {period!r}")
-    k = months[period]
+    k = LOOKBACKS[period]
     if anchor is not None:
         return df.filter(F.col(d) >= F.add_months(F.lit(anchor).cast("date"), -k))
     if key:

@@ -36,8 +36,9 @@ def decode_ticks(frames: DataFrame, schema=TICK, keep_raw: bool = False) -> Data
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
-    """Rows whose JSON did not parse (needs ``keep_raw=True``)."""
-    return decoded.filter(F.col("ticker").isNull() & F.col("timestamp").isNull())
+    """Rows that are no ticks: JSON that did not parse, or without ticker or
+    time (needs ``keep_raw=True``)."""
+    return decoded.filter(F.col("ticker").isNull() | F.col("timestamp").isNull())
 
 
 def tick_json():
