@@ -221,17 +221,14 @@ def rolling_corr(pair_returns: DataFrame, n: int = 30, block_rows: int | None =
     keys = ["ticker_a", "ticker_b"]
     f = I.prepare(pair_returns, n, keys=keys, block_rows=block_rows)
     f = S.centred(f, keys, {"_a": "ret_a", "_b": "ret_b"})
-    a, b = F.col("ret_a") - F.col("_a_a"), F.col("ret_b") - F.col("_b_a")
-    sums = S.Prefix(f, keys, {"_sa": a, "_sb": b, "_qa": a * a, "_qb": b * b, "_ab": a * b},
-                    {f"_{k}{s}": c for s in "ab" for k, c in (("n", F.col(f"ret_{s}").isNotNull().cast("int")),
-                                                               ("k", F.coalesce(F.col(f"ret_{s}") != F.col(f"_{s}_p"), F.lit(False)).cast("int")))})
-    parts = {t: sums.over(t, n) for t in ("_sa", "_sb", "_qa", "_qb", "_ab")}
-    counts = {f"_{k}{s}": sums.count(f"_{k}{s}", n if k == "n" else n - 1) for s in "ab" for k in "nk"}
-    f = sums.df.withColumns(parts | counts)
-    full = (F.col("_na") == n) & (F.col("_nb") == n) & (F.col("_ka") > 0) & (F.col("_kb") > 0)
-    va, vb = (F.col(f"_q{s}") - F.col(f"_s{s}") * F.col(f"_s{s}") / n for s in "ab")
-    cov = F.col("_ab") - F.col("_sa") * F.col("_sb") / n
-    f = f.withColumn("corr", F.when(full & (va > 0) & (vb > 0), ratio(cov, F.sqrt(va) * F.sqrt(vb))))
+    a, b = "(ret_a - _a_a)", "(ret_b - _b_a)"
+    sums = S.Prefix(f, keys, {"_sa": a, "_sb": b, "_qa": f"{a} * {a}", "_qb": f"{b} * {b}", "_ab": f"{a} * {b}"},
+                    {f"_{k}{s}": c for s in "ab" for k, c in (("n", S.seen(f"ret_{s}")), ("k", S.changed(f"ret_{s}", f"_{s}_p")))})
+    f = S.with_sql(sums.df, {t: sums.over(t, n) for t in ("_sa", "_sb", "_qa", "_qb", "_ab")}
+                   | {f"_{k}{s}": sums.count(f"_{k}{s}", n if k == "n" else n - 1) for s in "ab" for k in "nk"})
+    full = f"_na = {n} AND _nb = {n} AND _ka > 0 AND _kb > 0"
+    va, vb = (f"(_q{s} - _s{s} * _s{s} / {n})" for s in "ab")
+    f = S.with_sql(f, {"corr": f"CASE WHEN {full} AND {va} > 0 AND {vb} > 0 THEN (_ab - _sa * _sb / {n}) / (SQRT({va}) * SQRT({vb})) END"})
     return I.finish(f).select(*keys, "d", "corr")
 
 

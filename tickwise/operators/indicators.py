@@ -115,13 +115,14 @@ def add_bollinger(df, n: int = 20, k: float = 2.0, x: str = "close", keys=KEYS)
     return df.withColumns({"bb_upper": mid + sd * k, "bb_lower": mid - sd * k}).drop("_sd")
 
 
-def _gain_loss(df, x, keys):
-    """Gain / loss of each bar; the first bar's missing diff becomes 0.0."""
-    delta = F.col(x) - F.lag(F.col(x), 1).over(_w(keys))
-    return df.withColumns({
-        "_gain": F.when(delta > 0, delta).otherwise(F.lit(0.0)),
-        "_loss": F.when(delta < 0, -delta).otherwise(F.lit(0.0)),
-    })
+def _gain_loss(df, x, keys, ret: str | None = None):
+    """Gain / loss of each bar (the first bar's missing diff becomes 0.0), and
+    its return if asked for."""
+    before = f"LAG(`{x}`) {S._Over(keys, S.BLK).row}"
+    df = S.with_sql(df, {"_before": before})
+    more = {ret: f"try_divide(`{x}`, _before) - 1D"} if ret else {}
+    return S.with_sql(df, {"_gain": f"CASE WHEN `{x}` > _before THEN `{x}` - _before ELSE 0D END",
+                           "_loss": f"CASE WHEN `{x}` < _before THEN _before - `{x}` ELSE 0D END", **more}).drop("_before")
 
 
 def rsi_from(avg_gain: str, avg_loss: str):
@@ -185,8 +186,8 @@ def add_crosses(df, short: str = "sma_50", long: str = "sma_200", keys=KEYS) ->
     w = _w(keys)
     s, l = F.col(short), F.col(long)
     ps, pl = F.lag(s, 1).over(w), F.lag(l, 1).over(w)
-    return (df.withColumn("golden_cross", F.coalesce((s > l) & (ps < pl), F.lit(False)))
-              .withColumn("death_cross", F.coalesce((s < l) & (ps > pl), F.lit(False))))
+    return df.withColumns({"golden_cross": F.coalesce((s > l) & (ps < pl), F.lit(False)),
+                           "death_cross": F.coalesce((s < l) & (ps > pl), F.lit(False))})
 
 
 def add_drawdown(df, x: str = "close", keys=KEYS) -> DataFrame:
@@ -274,9 +275,10 @@ def add_technical_panel(f: DataFrame, keys=KEYS) -> DataFrame:
     """every indicator of the signal dashboard: one frame for all that
     looks back a fixed number of rows, one scan for the averages and the high,
     one for the MACD's signal line."""
-    f = S.add_rolling(f, keys, [S.Rolling("close", 50, mean="sma_50"), S.Rolling("close", 200, mean="sma_200")])
-    f = add_crosses(f, "sma_50", "sma_200", keys=keys)
-    f = add_rsi_sma(f, 14, keys=keys)
+    f = S.add_rolling(_gain_loss(f, "close", keys), keys, [
+        S.Rolling("close", 50, mean="sma_50"), S.Rolling("close", 200, mean="sma_200"),
+        S.Rolling("_gain", 14, mean="_ag"), S.Rolling("_loss", 14, mean="_al")])
+    f = add_crosses(_rsi_out(f, "rsi"), "sma_50", "sma_200", keys=keys)
     f = S.scan(f, list(keys), [S.Ema("close", "ema_200", 2 / 201), *macd_specs(12, 26), S.Run("max", "close", "ath")], halo=0)
     f = add_signal_line(macd_of(f), 9, keys=keys)
     f = f.withColumn("drawdown_pct", ratio(F.col("close"), F.col("ath")) - F.lit(1.0))

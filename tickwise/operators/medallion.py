@@ -33,16 +33,19 @@ def dedup_ticks(ticks: DataFrame, keys: Sequence[str] = ("ticker", "timestamp"))
         .select(*ticks.columns)
 
 
-def tick_features(ticks: DataFrame, n: int = 5, bucket_seconds=None,
+#: Seconds of an indexing bucket: after ``dedup_ticks`` a ticker has one tick a
+#: second at most, so a bucket holds no more rows than this.
+BUCKET_SECONDS = 1 << 16
+
+
+def tick_features(ticks: DataFrame, n: int = 5, bucket_seconds: int = BUCKET_SECONDS,
                   block_rows: int | None = None) -> DataFrame:
     """E1 (batch silver): per ticker, average and sample std of the price over
     the trailing n ticks (partial frames at the start, std NULL on one tick);
     window_start = window_end = the tick time.  The indexing buckets are
-    ``bucket_seconds`` wide; by default the width is derived from the data
-    (about 64k ticks per ticker and bucket)."""
+    ``bucket_seconds`` wide; for ticks that repeat a second often choose it by
+    ``series.adaptive_width``."""
     t = ticks.select("ticker", "price", "timestamp")
-    if bucket_seconds is None:
-        bucket_seconds = S.adaptive_width(t, "timestamp", ["ticker"])
     f = I.prepare(t, n, order=("timestamp",),
                   bucket=S.seconds_bucket("timestamp", bucket_seconds), block_rows=block_rows)
     frame = S.block_window(["ticker"]).rowsBetween(-(n - 1), 0)

@@ -84,9 +84,10 @@ def add_all_signals(f, short=50, long=200, fast=12, slow=26, signal=9, rsi_n=14,
     bar return: one frame for all that looks back a fixed number of rows, a
     scan for the MACD and one for its signal line, a lag for the positions."""
     columns = [c for c in f.columns if c not in (S.IDX, S.BLK, S.HALO)]
-    f = I.add_pct_change(f, "close", "ret", keys)
-    f = S.add_rolling(f, keys, [S.Rolling("close", n, mean=c) for n, c in ((short, "_sma_s"), (long, "_sma_l"), (bb_n, "_bb_mid"))])
-    f = I.add_rsi_sma(f, rsi_n, out="_rsi", keys=keys)
+    f = S.add_rolling(I._gain_loss(f, "close", keys, "ret"), keys, [
+        *(S.Rolling("close", n, mean=c) for n, c in ((short, "_sma_s"), (long, "_sma_l"), (bb_n, "_bb_mid"))),
+        S.Rolling("_gain", rsi_n, mean="_ag"), S.Rolling("_loss", rsi_n, mean="_al")])
+    f = I._rsi_out(f, "_rsi")
     f = f.withColumns({"sig0": flag(F.col("_sma_s") > F.col("_sma_l")),
                        "sig2": flag(F.col("_rsi") < rsi_threshold),
                        "sig3": flag(F.col("close") < F.col("_bb_mid"))})

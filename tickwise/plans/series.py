@@ -147,53 +147,65 @@ class Rolling:
     std: str | None = None
 
 
-def _two_sum_error(before: Column, term: Column, after: Column) -> Column:
-    """What rounding took from ``after = before + term``, exactly."""
-    part = after - before
-    return (before - (after - part)) + (term - part)
+# The steps below are SQL text: a scan has hundreds of expressions, and each
+# Column object costs a few round trips to the JVM, a text only one.
+
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+class _Over:
+    """The OVER clauses of a blocked frame's windows."""
+
+    def __init__(self, keys: Sequence[str], *more: str, order: str = IDX):
+        self.spec = f"PARTITION BY {', '.join(map(_q, [*keys, *more]))} ORDER BY {_q(order)}"
+        self.row = f"OVER ({self.spec})"
+        self.run = f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        self.before = f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def with_sql(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``df`` with further columns from SQL text."""
+    return df.selectExpr("*", *[f"{x} AS {_q(name)}" for name, x in columns.items()]) if columns else df
 
 
 class Prefix:
-    """Running sums of some terms over a blocked frame, halo rows included,
-    each as a sum and the running sum of its rounding errors; the sum over the
-    last ``n`` rows is then a difference, whose error doesn't grow with the
-    block.  Terms are NULL where a value is missing and count as 0."""
-
-    def __init__(self, df: DataFrame, keys: Sequence[str], terms: dict[str, Column], counts: dict[str, Column]):
-        self.w = block_window(list(keys))
-        run, before = self.w.rowsBetween(UNB, 0), self.w.rowsBetween(UNB, -1)
-        zero = F.lit(0.0)
-        self.temps = [c for t in terms for c in (f"{t}_t", f"{t}_s", f"{t}_b", f"{t}_e")] + [f"{c}_{k}" for c in counts for k in "ts"]
-        df = df.withColumns({**{f"{t}_t": F.coalesce(x, zero) for t, x in terms.items()}, **{f"{c}_t": x for c, x in counts.items()}})
-        df = df.withColumns({**{f"{t}_s": F.sum(f"{t}_t").over(run) for t in terms},
-                             **{f"{t}_b": F.coalesce(F.sum(f"{t}_t").over(before), zero) for t in terms},
-                             **{f"{c}_s": F.sum(f"{c}_t").over(run) for c in counts}})
-        self.df = df.withColumns({f"{t}_e": F.sum(_two_sum_error(F.col(f"{t}_b"), F.col(f"{t}_t"), F.col(f"{t}_s"))).over(run) for t in terms})
-
-    def over(self, term: str, n: int) -> Column:
+    """Running sums of some terms (SQL text) over a blocked frame, halo rows
+    included, each as a sum and the running sum of its rounding errors; the sum
+    over the last ``n`` rows is then a difference, whose error doesn't grow with
+    the block.  Terms are NULL where a value is missing and count as 0."""
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], terms: dict[str, str], counts: dict[str, str]):
+        self.w = w = _Over(keys, BLK)
+        df = with_sql(df, {**{f"{t}_t": f"COALESCE({x}, 0D)" for t, x in terms.items()}, **{f"{c}_t": x for c, x in counts.items()}})
+        df = with_sql(df, {**{f"{t}_s": f"SUM({t}_t) {w.run}" for t in terms}, **{f"{t}_b": f"COALESCE(SUM({t}_t) {w.before}, 0D)" for t in terms},
+                           **{f"{c}_s": f"SUM({c}_t) {w.run}" for c in counts}})
+        # what rounding took from s = b + t, exactly
+        error = "({t}_b - ({t}_s - ({t}_s - {t}_b))) + ({t}_t - ({t}_s - {t}_b))"
+        self.df = with_sql(df, {f"{t}_e": f"SUM({error.format(t=t)}) {w.run}" for t in terms})
+
+    def over(self, term: str, n: int) -> str:
         """Sum of a term over the last ``n`` rows."""
-        s, e = F.col(f"{term}_s"), F.col(f"{term}_e")
-        return (s - F.lag(s, n, 0.0).over(self.w)) + (e - F.lag(e, n, 0.0).over(self.w))
+        return f"({term}_s - LAG({term}_s, {n}, 0D) {self.w.row}) + ({term}_e - LAG({term}_e, {n}, 0D) {self.w.row})"
 
-    def count(self, name: str, n: int) -> Column:
-        c = F.col(f"{name}_s")
-        return c - F.lag(c, n, 0).over(self.w) if n > 0 else F.lit(0)
+    def count(self, name: str, n: int) -> str:
+        return f"{name}_s - LAG({name}_s, {n}, 0L) {self.w.row}" if n > 0 else "0L"
 
 
 def centred(df: DataFrame, keys: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """For each name -> x: ``name_a``, the first value of the block, from which
     sums are taken, and ``name_p``, the value before the row's."""
-    w = block_window(list(keys))
-    return df.withColumns({**{f"{c}_a": F.first(x, ignorenulls=True).over(w.rowsBetween(UNB, 0)) for c, x in columns.items()},
-                           **{f"{c}_p": F.last(x, ignorenulls=True).over(w.rowsBetween(UNB, -1)) for c, x in columns.items()}})
+    w = _Over(keys, BLK)
+    return with_sql(df, {**{f"{c}_a": f"FIRST({_q(x)}, true) {w.run}" for c, x in columns.items()},
+                         **{f"{c}_p": f"LAST({_q(x)}, true) {w.before}" for c, x in columns.items()}})
 
 
-def _seen(x: str) -> Column:
-    return F.col(x).isNotNull().cast("int")
+def seen(x: str) -> str:
+    return f"CAST({x} IS NOT NULL AS INT)"
 
 
-def _changed(x: str, before: str) -> Column:
-    return F.coalesce(F.col(x) != F.col(before), F.lit(False)).cast("int")
+def changed(x: str, before: str) -> str:
+    return f"CAST(COALESCE({x} != {before}, false) AS INT)"
 
 
 def add_rolling(df: DataFrame, keys: Sequence[str], specs: Sequence[Rolling]) -> DataFrame:
@@ -205,33 +217,32 @@ def add_rolling(df: DataFrame, keys: Sequence[str], specs: Sequence[Rolling]) ->
     keys, keep = list(keys), [c for c in df.columns if c not in {o for r in specs for o in (r.mean, r.std)}]
     name = {x: f"_m{k}" for k, x in enumerate(dict.fromkeys(r.x for r in specs))}
     # NaN counts as missing
-    df = df.withColumns({f"{c}_v": F.nanvl(F.col(x).cast("double"), F.lit(None).cast("double")) for x, c in name.items()})
+    df = with_sql(df, {f"{c}_v": f"NANVL(CAST({_q(x)} AS DOUBLE), CAST(NULL AS DOUBLE))" for x, c in name.items()})
     df = centred(df, keys, {c: f"{c}_v" for c in name.values()})
     terms, counts = {}, {}
     for x, c in name.items():
-        z = F.col(f"{c}_v") - F.col(f"{c}_a")
+        z = f"({c}_v - {c}_a)"
         terms[f"{c}z"] = z
         if any(r.std for r in specs if r.x == x):
-            terms[f"{c}q"] = z * z
-        counts[f"{c}n"], counts[f"{c}k"] = _seen(f"{c}_v"), _changed(f"{c}_v", f"{c}_p")
+            terms[f"{c}q"] = f"{z} * {z}"
+        counts[f"{c}n"], counts[f"{c}k"] = seen(f"{c}_v"), changed(f"{c}_v", f"{c}_p")
     sums = Prefix(df, keys, terms, counts)
-    parts: dict[str, Column] = {}
+    parts: dict[str, str] = {}
     for r in specs:
         c, n = name[r.x], r.n
         parts |= {f"{c}z{n}": sums.over(f"{c}z", n), f"{c}n{n}": sums.count(f"{c}n", n), f"{c}k{n}": sums.count(f"{c}k", n - 1)}
         if r.std:
             parts[f"{c}q{n}"] = sums.over(f"{c}q", n)
-    df = sums.df.withColumns(parts)
-    outs = []
+    df, outs = with_sql(sums.df, parts), {}
     for r in specs:
         c, n = name[r.x], r.n
-        full, same, s = F.col(f"{c}n{n}") == n, F.col(f"{c}k{n}") == 0, F.col(f"{c}z{n}")
+        full, same, s = f"{c}n{n} = {n}", f"{c}k{n} = 0", f"{c}z{n}"
         if r.mean:
-            outs.append(F.when(full, F.when(same, F.col(f"{c}_v")).otherwise(F.col(f"{c}_a") + s / n)).alias(r.mean))
+            outs[r.mean] = f"CASE WHEN {full} THEN CASE WHEN {same} THEN {c}_v ELSE {c}_a + {s} / {n} END END"
         if r.std:
-            var = F.greatest(F.lit(0.0), F.col(f"{c}q{n}") - s * s / n) / max(n - 1, 1)
-            outs.append(F.when(full & F.lit(n > 1), F.when(same, F.lit(0.0)).otherwise(F.sqrt(var))).alias(r.std))
-    return df.select(*keep, *outs)
+            var = f"GREATEST(0D, {c}q{n} - {s} * {s} / {n}) / {max(n - 1, 1)}"
+            outs[r.std] = f"CASE WHEN {full} AND {n} > 1 THEN CASE WHEN {same} THEN 0D ELSE SQRT({var}) END END"
+    return df.selectExpr(*map(_q, keep), *[f"{x} AS {_q(o)}" for o, x in outs.items()])
 
 
 # ---------------------------------------------------------------- scans
@@ -260,13 +271,13 @@ class Ema:
     gap: str | None = None
 
 
-# in-block running aggregate (and of block totals), combination with the carry
+# running aggregate (in a block, and of blocks' totals), combination with the carry
 _RUNS = {
-    "sum": (F.sum, lambda carry, run: F.coalesce(carry, F.lit(0)) + run),
-    "max": (F.max, lambda carry, run: F.greatest(carry, run)),
-    "min": (F.min, lambda carry, run: F.least(carry, run)),
-    "product": (F.product, lambda carry, run: F.coalesce(carry, F.lit(1.0)) * run),
-    "last": (lambda c: F.last(c, ignorenulls=True), lambda carry, run: F.coalesce(run, carry)),
+    "sum": ("SUM({})", "COALESCE({c}, 0) + {r}"),
+    "max": ("MAX({})", "GREATEST({c}, {r})"),
+    "min": ("MIN({})", "LEAST({c}, {r})"),
+    "product": (None, "COALESCE({c}, 1D) * {r}"),  # no SQL name
+    "last": ("LAST({}, true)", "COALESCE({r}, {c})"),
 }
 
 #: Products of decay factors that are divided by stay above exp(-DECAY).
@@ -278,10 +289,17 @@ def _decay_rows(alpha: float) -> int:
     return 1 << max(0, int(math.log2(max(1.0, DECAY / -math.log(1.0 - alpha)))))
 
 
-def _factor(gap: Column, q: float, alpha: float) -> Column:
+def _factor(gap: str, alpha: float) -> str:
     """What a value ``gap`` rows after the last one leaves to the average."""
-    decay = F.pow(F.lit(q), gap.cast("double"))
-    return F.when(gap == 1, F.lit(q)).otherwise(decay / (decay + F.lit(alpha)))
+    if alpha >= 1:
+        return "0D"
+    q, decay = f"{1.0 - alpha!r}D", f"POW({1.0 - alpha!r}D, {gap})"
+    return f"CASE WHEN {gap} = 1 THEN {q} ELSE {decay} / ({decay} + {alpha!r}D) END"
+
+
+def _products(df: DataFrame, columns: dict[str, Column], keys: Sequence[str], *more: str, order: str = IDX) -> DataFrame:
+    w = Window.partitionBy(*keys, *more).orderBy(order).rowsBetween(UNB, 0)
+    return df.withColumns({out: F.product(x).over(w) for out, x in columns.items()}) if columns else df
 
 
 def scan(df: DataFrame, keys: Sequence[str], specs: Sequence[Run | Ema], halo: int | None = None) -> DataFrame:
@@ -305,104 +323,90 @@ def scan(df: DataFrame, keys: Sequence[str], specs: Sequence[Run | Ema], halo: i
     runs = [s for s in specs if isinstance(s, Run)]
     outs = [o for s in specs for o in ((s.out, s.gap) if isinstance(s, Ema) else (s.out,)) if o]
     keep = [c for c in df.columns if c not in {*outs, BLK, HALO}]
-    own = df.filter(~F.col(HALO)).drop(HALO)
     width = min([rows, *(_decay_rows(s.alpha) for s in emas if s.alpha < 1)])
-    if width < rows:
-        own = own.withColumn(BLK, F.floor(F.col(IDX) / F.lit(width)))
-    w, i = block_window(keys), F.col(IDX)
-    run, before = w.rowsBetween(UNB, 0), w.rowsBetween(UNB, -1)
+    blk = _q(BLK) if width == rows else f"FLOOR({IDX} / {width}) AS {BLK}"
+    own = df.filter(f"NOT {HALO}").selectExpr(*[_q(c) for c in df.columns if c not in (BLK, HALO)], blk)
+    w = _Over(keys, BLK)
     name = {x: f"_x{k}" for k, x in enumerate(dict.fromkeys(s.x for s in emas))}
 
-    state: dict[str, Column] = {"_end": F.lead(i).over(w).isNull()}
-    state |= {f"_r{k}": _RUNS[s.kind][0](F.col(s.x)).over(run) for k, s in enumerate(runs)}
-    last = lambda c, over: F.last(c, ignorenulls=True).over(over)
+    state = {"_end": f"LEAD({IDX}) {w.row} IS NULL"}
+    state |= {f"_r{k}": f"{_RUNS[s.kind][0].format(_q(s.x))} {w.run}" for k, s in enumerate(runs) if s.kind != "product"}
     for x, c in name.items():
-        at = F.when(F.col(x).isNotNull(), i)
-        state |= {f"{c}_px": last(F.col(x), before), f"{c}_pi": last(at, before), f"{c}_lx": last(F.col(x), run), f"{c}_li": last(at, run),
-                  f"{c}_fx": F.first(x, ignorenulls=True).over(run), f"{c}_fi": F.first(at, ignorenulls=True).over(run), f"{c}_n": F.count(x).over(run)}
-    own = own.withColumns(state)
-    factor, product, gain = {}, {}, {}
-    for k, s in enumerate(emas):
-        c, x = name[s.x], F.col(s.x)
-        later = x.isNotNull() & F.col(f"{c}_pi").isNotNull()
-        factor[f"_a{k}"] = F.when(later, _factor(i - F.col(f"{c}_pi"), 1.0 - s.alpha, s.alpha)).otherwise(F.lit(1.0)) if s.alpha < 1 else F.lit(1.0)
-        product[f"_p{k}"] = F.product(f"_a{k}").over(run)
-        term = F.col(f"_a{k}") * (x - F.col(f"{c}_px")) / F.col(f"_p{k}") if s.alpha < 1 else F.lit(0.0)
-        gain[f"_g{k}"] = F.col(f"_p{k}") * F.sum(F.when(later, term).otherwise(F.lit(0.0))).over(run)
-    for step in (factor, product, gain):
-        own = own.withColumns(step) if step else own
+        at, x = f"CASE WHEN {_q(x)} IS NOT NULL THEN {IDX} END", _q(x)
+        state |= {f"{c}_px": f"LAST({x}, true) {w.before}", f"{c}_pi": f"LAST({at}, true) {w.before}", f"{c}_lx": f"LAST({x}, true) {w.run}",
+                  f"{c}_li": f"LAST({at}, true) {w.run}", f"{c}_fx": f"FIRST({x}, true) {w.run}", f"{c}_fi": f"FIRST({at}, true) {w.run}", f"{c}_n": f"COUNT({x}) {w.run}"}
+    own = with_sql(own, state)
+    later = {s.x: f"{_q(s.x)} IS NOT NULL AND {name[s.x]}_pi IS NOT NULL" for s in emas}
+    own = with_sql(own, {f"_a{k}": f"CASE WHEN {later[s.x]} THEN {_factor(f'({IDX} - {name[s.x]}_pi)', s.alpha)} ELSE 1D END" if s.alpha < 1 else "1D"
+                         for k, s in enumerate(emas)})
+    own = _products(own, {f"_p{k}": F.col(f"_a{k}") for k in range(len(emas))} | {f"_r{k}": F.col(s.x) for k, s in enumerate(runs) if s.kind == "product"}, keys, BLK)
+    gain = {f"_g{k}": f"_p{k} * SUM(CASE WHEN {later[s.x]} THEN _a{k} * ({_q(s.x)} - {name[s.x]}_px) / _p{k} ELSE 0D END) {w.run}" if s.alpha < 1 else "0D"
+            for k, s in enumerate(emas)}
     per_x = [f"{c}_{f}" for c in name.values() for f in ("lx", "li", "fx", "fi", "n")]
     per_ema = [f"_{f}{k}" for k in range(len(emas)) for f in "pg"]
     per_run = [f"_r{k}" for k in range(len(runs))]
-    done = materialize(own.select(*keep, BLK, "_end", *per_x, *per_ema, *per_run), "scan")
+    done = materialize(with_sql(own, gain).select(*keep, BLK, "_end", *per_x, *per_ema, *per_run), "scan")
 
     ends = done.filter("_end").select(*keys, BLK, *per_x, *per_ema, *per_run)
-    order = Window.partitionBy(*keys).orderBy(BLK)
-    prior = order.rowsBetween(UNB, -1)
-    carry = {f"_c{k}": _RUNS[s.kind][0](F.col(f"_r{k}")).over(prior) for k, s in enumerate(runs)}
+    o = _Over(keys, order=BLK)
+    carry = {f"_c{k}": f"{_RUNS[s.kind][0].format(f'_r{k}')} {o.before}" for k, s in enumerate(runs) if s.kind != "product"}
     for c in name.values():
-        carry |= {f"{c}_cx": last(F.col(f"{c}_lx"), prior), f"{c}_ci": last(F.col(f"{c}_li"), prior), f"{c}_cn": F.coalesce(F.sum(f"{c}_n").over(prior), F.lit(0))}
-    ends = ends.withColumns(carry)
-    first, whole = {}, {}
+        carry |= {f"{c}_cx": f"LAST({c}_lx, true) {o.before}", f"{c}_ci": f"LAST({c}_li, true) {o.before}", f"{c}_cn": f"COALESCE(SUM({c}_n) {o.before}, 0L)"}
+    ends = with_sql(ends, carry)
+    products = [k for k, s in enumerate(runs) if s.kind == "product"]
+    ends = _products(ends, {f"_t{k}": F.col(f"_r{k}") for k in products}, keys, order=BLK)
+    ends = with_sql(ends, {f"_c{k}": f"LAG(_t{k}) {o.row}" for k in products})
+    first, whole, into_first = {}, {}, {}
     for k, s in enumerate(emas):
-        c, p, g = name[s.x], F.col(f"_p{k}"), F.col(f"_g{k}")
-        known = F.col(f"{c}_ci").isNotNull() & (F.col(f"{c}_n") > 0)
-        a = _factor(F.col(f"{c}_fi") - F.col(f"{c}_ci"), 1.0 - s.alpha, s.alpha) if s.alpha < 1 else F.lit(0.0)
-        first[f"_f{k}"] = F.when(known, a).otherwise(F.lit(0.0))
-        first[f"_j{k}"] = F.when(known, F.col(f"{c}_fx") - F.col(f"{c}_cx")).otherwise(F.lit(0.0))
-        some = F.col(f"{c}_n") > 0
-        whole[f"_D{k}"] = F.when(some, p * F.col(f"_f{k}")).otherwise(F.lit(1.0))
-        whole[f"_A{k}"] = F.when(some, g + p * F.col(f"_f{k}") * F.col(f"_j{k}")).otherwise(F.lit(0.0))
+        c = name[s.x]
+        known = f"{c}_ci IS NOT NULL AND {c}_n > 0"
+        first |= {f"_f{k}": f"CASE WHEN {known} THEN {_factor(f'({c}_fi - {c}_ci)', s.alpha)} ELSE 0D END",
+                  f"_j{k}": f"CASE WHEN {known} THEN {c}_fx - {c}_cx ELSE 0D END"}
+        whole |= {f"_dec{k}": f"CASE WHEN {c}_n > 0 THEN _p{k} * _f{k} ELSE 1D END", f"_add{k}": f"CASE WHEN {c}_n > 0 THEN _g{k} + _p{k} * _f{k} * _j{k} ELSE 0D END"}
+        into_first[f"_u{k}"] = f"_f{k} * (_in{k} + _j{k})"
     if emas:
-        ends = _affine(ends.withColumns(first).withColumns(whole), keys, len(emas))
-    u = {f"_u{k}": F.col(f"_f{k}") * (F.col(f"_E{k}") + F.col(f"_j{k}")) for k in range(len(emas))}
-    into = [f"{c}_{f}" for c in name.values() for f in ("cx", "cn")] + [f"_E{k}" for k in range(len(emas))] + [f"_c{k}" for k in range(len(runs))]
-    ends = materialize(ends.withColumns(u).select(*keys, BLK, *into, *u) if u else ends.select(*keys, BLK, *into), "carry")
+        ends = _affine(with_sql(with_sql(ends, first), whole), keys, len(emas))
+    into = [f"{c}_{f}" for c in name.values() for f in ("cx", "cn")] + [f"_in{k}" for k in range(len(emas))] + [f"_c{k}" for k in range(len(runs))]
+    ends = materialize(with_sql(ends, into_first).select(*keys, BLK, *into, *into_first), "carry")
 
     both = done.join(ends, [*keys, BLK])  # small by its files: the planner broadcasts it up to its threshold
-    result = []
+    result = {}
     for k, s in enumerate(runs):
-        value = _RUNS[s.kind][1](F.col(f"_c{k}"), F.col(f"_r{k}"))
-        result.append((value if s.kind == "last" else F.when(F.col(s.x).isNotNull(), value)).alias(s.out))
+        value = _RUNS[s.kind][1].format(c=f"_c{k}", r=f"_r{k}")
+        result[s.out] = value if s.kind == "last" else f"CASE WHEN {_q(s.x)} IS NOT NULL THEN {value} END"
     for k, s in enumerate(emas):
         c = name[s.x]
-        e = F.when(F.col(f"{c}_n") == 0, F.col(f"_E{k}")).otherwise(F.col(f"_g{k}") + F.col(f"_p{k}") * F.col(f"_u{k}"))
-        seen = F.col(f"{c}_n") + F.col(f"{c}_cn") >= max(1, s.min_periods)
+        e = f"CASE WHEN {c}_n = 0 THEN _in{k} ELSE _g{k} + _p{k} * _u{k} END"
+        counted = f"{c}_n + {c}_cn >= {max(1, s.min_periods)}"
         if s.out:
-            result.append(F.when(seen, F.coalesce(f"{c}_lx", f"{c}_cx") - e).alias(s.out))
+            result[s.out] = f"CASE WHEN {counted} THEN COALESCE({c}_lx, {c}_cx) - ({e}) END"
         if s.gap:
-            result.append(F.when(seen, e).alias(s.gap))
-    return with_blocks(both.select(*keep, *result), halo, rows)
+            result[s.gap] = f"CASE WHEN {counted} THEN {e} END"
+    return with_blocks(both.selectExpr(*map(_q, keep), *[f"{x} AS {_q(out)}" for out, x in result.items()]), halo, rows)
 
 
 def _affine(ends: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """``_E{k}``: for each row of a small table ordered by block, the value
+    """``_in{k}``: for each row of a small table ordered by block, the value
     before it of the recursion ``E = A + D E'`` from 0 on, with 0 <= D <= 1.
 
     Rows are grouped by the decay they add up to, ``DECAY`` a group, so that
     products inside a group can be divided by.  What lies two groups back has
     decayed by more than exp(-DECAY), three groups back by more than doubles
     hold, so the value is that of the whole recursion."""
-    keys = list(keys)
-    order = Window.partitionBy(*keys).orderBy(BLK)
-    before = order.rowsBetween(UNB, -1)
-    steps: list[dict] = [{} for _ in range(6)]
-    for k in range(n):
-        d, group = F.col(f"_D{k}"), F.col(f"_G{k}")
-        lost = F.when(d > 0, F.least(-F.log(d), F.lit(2 * DECAY))).otherwise(F.lit(2 * DECAY))
-        steps[0][f"_G{k}"] = F.floor(F.sum(lost).over(order.rowsBetween(UNB, 0)) / F.lit(DECAY))
-        steps[1][f"_o{k}"] = F.coalesce(F.lag(group).over(order) != group, F.lit(True))
-        steps[1][f"_z{k}"] = F.coalesce(F.lead(group).over(order) != group, F.lit(True))
-        inside = Window.partitionBy(*keys, f"_G{k}").orderBy(BLK).rowsBetween(UNB, 0)
-        steps[2][f"_P{k}"] = F.product(F.when(F.col(f"_o{k}"), F.lit(1.0)).otherwise(d)).over(inside)
-        steps[3][f"_own{k}"] = F.col(f"_P{k}") * F.sum(F.col(f"_A{k}") / F.col(f"_P{k}")).over(inside)
-        steps[3][f"_tail{k}"] = F.col(f"_P{k}") * F.first(d).over(inside)
-        end = lambda c: F.coalesce(F.last(F.when(F.col(f"_z{k}"), F.col(c)), ignorenulls=True).over(before), F.lit(0.0))  # noqa: B023,E731
-        steps[4][f"_near{k}"] = F.col(f"_own{k}") + F.col(f"_tail{k}") * end(f"_own{k}")
-        steps[5][f"_sum{k}"] = F.col(f"_own{k}") + F.col(f"_tail{k}") * end(f"_near{k}")
-    for step in steps:
-        ends = ends.withColumns(step)
-    return ends.withColumns({f"_E{k}": F.coalesce(F.lag(f"_sum{k}").over(order), F.lit(0.0)) for k in range(n)})
+    keys, each = list(keys), range(n)
+    o = _Over(keys, order=BLK)
+    inside = [_Over(keys, f"_grp{k}", order=BLK) for k in each]
+    lost = "CASE WHEN _dec{k} > 0 THEN LEAST(-LN(_dec{k}), {most}D) ELSE {most}D END"
+    ends = with_sql(ends, {f"_grp{k}": f"FLOOR(SUM({lost.format(k=k, most=2 * DECAY)}) {o.run} / {DECAY}D)" for k in each})
+    ends = with_sql(ends, {**{f"_o{k}": f"COALESCE(LAG(_grp{k}) {o.row} != _grp{k}, true)" for k in each},
+                           **{f"_z{k}": f"COALESCE(LEAD(_grp{k}) {o.row} != _grp{k}, true)" for k in each}})
+    for k in each:
+        ends = _products(ends, {f"_pro{k}": F.expr(f"CASE WHEN _o{k} THEN 1D ELSE _dec{k} END")}, keys, f"_grp{k}", order=BLK)
+        ends = with_sql(ends, {f"_own{k}": f"_pro{k} * SUM(_add{k} / _pro{k}) {inside[k].run}", f"_tail{k}": f"_pro{k} * FIRST(_dec{k}) {inside[k].run}"})
+    end = "COALESCE(LAST(CASE WHEN _z{k} THEN {c} END, true) {over}, 0D)"
+    ends = with_sql(ends, {f"_near{k}": f"_own{k} + _tail{k} * {end.format(k=k, c=f'_own{k}', over=o.before)}" for k in each})
+    ends = with_sql(ends, {f"_sum{k}": f"_own{k} + _tail{k} * {end.format(k=k, c=f'_near{k}', over=o.before)}" for k in each})
+    return with_sql(ends, {f"_in{k}": f"COALESCE(LAG(_sum{k}) {o.row}, 0D)" for k in each})
 
 
 def carry_scan(df: DataFrame, keys: Sequence[str], x: str, out: str, kind: str) -> DataFrame:

@@ -23,6 +23,12 @@ CORE_CONF = {
 }
 
 
+# Settings that a running session can't change.  A series plan has many small
+# window functions; with the default of 100 classes their generated code is
+# compiled anew in every query.
+STATIC_CONF = {"spark.sql.codegen.cache.maxEntries": "2000"}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tickwise", extra: dict | None = None) -> SparkSession:
     """Local/test session.  Keeps the UI off and sets a scratch checkpoint dir
@@ -34,7 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(parts))
                .config("spark.driver.memory", os.environ.get("TICKWISE_DRIVER_MEMORY", "16g")))
-    for k, v in {**CORE_CONF, **(extra or {})}.items():
+    for k, v in {**CORE_CONF, **STATIC_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -42,16 +42,21 @@ def _ticks(lineitem: DataFrame) -> DataFrame:
     )
 
 
+#: Order keys of a tick chunk: an order has seven lines at most, so a chunk of
+#: one (ticker, ship time) holds no more than seven times as many ticks.
+CHUNK_KEYS = 1 << 16
+
+
 def chunk_width(lineitem: DataFrame, target_rows: int = 1 << 16):
     """Orderkey width of a tick chunk so that a chunk holds about
-    ``target_rows`` ticks of one (ticker, ship time) group (a scalar-subquery
-    Column, evaluated inside the same job; no separate driver action)."""
+    ``target_rows`` ticks of one (ticker, ship time) group, from the data (a
+    scalar-subquery Column): for ticks whose keys repeat without a bound."""
     keyed = lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("ticker"),
                             "l_shipdate", "l_orderkey")
     return S.adaptive_width(keyed, "l_orderkey", ["ticker", "l_shipdate"], target_rows)
 
 
-def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None, positions: bool = False) -> DataFrame:
+def bars_from_lineitem(lineitem: DataFrame, chunk_keys=CHUNK_KEYS, positions: bool = False) -> DataFrame:
     """Daily OHLCV bars of the lineitem price walk (D9: ticks -> bars).
 
     The walk is a running sum over all ticks of a ticker, so the direct plan
@@ -68,8 +73,6 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None, positions: bool = F
     No task ever holds more than one chunk of ticks, one day of chunks, or
     one ticker's calendar of days.
     """
-    if chunk_keys is None:
-        chunk_keys = chunk_width(lineitem)
     width = F.lit(chunk_keys) if isinstance(chunk_keys, int) else chunk_keys
     unb = Window.unboundedPreceding
     t = _ticks(lineitem).withColumn("c", F.floor(F.col("l_orderkey") / width))
@@ -108,7 +111,7 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=None, positions: bool = F
     )
 
 
-def load_bars(spark: SparkSession, sf_dir: str, chunk_keys=None, positions: bool = False) -> DataFrame:
+def load_bars(spark: SparkSession, sf_dir: str, chunk_keys=CHUNK_KEYS, positions: bool = False) -> DataFrame:
     return bars_from_lineitem(table(spark, sf_dir, "lineitem"), chunk_keys, positions)
 
 
