@@ -52,6 +52,12 @@ def release(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now: executors keep them
+    until the driver's garbage collector finds that nothing refers to them."""
+    spark._jvm.System.gc()
+
+
 def unit_interval(*columns, seed: int):
     """A repeatable draw in [0, 1) from the columns, by md5 so that any SQL
     engine agrees: the first 13 hexadecimal digits over 16^13."""

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens as T
-from .common import WORD, release, stash, table
+from .common import WORD, release, stash, sweep, table
 
 K = 13
 SEED = 5
@@ -205,9 +205,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     first window, windows, source document, place there, start of the path."""
     solid = docs.where(F.col("doc").isNotNull())
     twice = stash(anchors(solid).groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("m"))
+    sweep(docs.sparkSession)
     live = stash(pieces(solid).join(few(twice), "m", "left_semi"))
+    release(twice)
     begun, windows = repeated_pieces(live)
+    sweep(docs.sparkSession)
     paths = compacted(begun)
+    release(begun)
+    sweep(docs.sparkSession)
     part = lambda i: F.struct(i.alias("i"), "n", F.col("doc").alias("source"), F.col("at").alias("place"), "path")
     alone = paths.where("whole").select(F.col("a").alias("m"), F.col("b").alias("t"), F.array(part(F.lit(0))).alias("parts"))
     many = windows.select("m", "t", "i", "a", "b").join(paths.where("NOT whole"), ["a", "b"]).groupBy("m", "t").agg(F.collect_set(part(F.col("i"))).alias("parts"))
@@ -215,7 +220,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     held = held.where("p.source < doc").groupBy("doc", "row").agg(F.collect_set(F.struct(
         (F.col("at") + F.col("p.i")).alias("start"), F.col("p.n").alias("n"), F.col("p.source").alias("source"), F.col("p.place").alias("place"), F.col("p.path").alias("path"))).alias("spans"))
     out = stash(held)
-    release(twice, live, begun, windows, paths)
+    release(live, windows, paths)
+    sweep(docs.sparkSession)
     return out
 
 
