@@ -38,7 +38,8 @@ def jobs(monkeypatch, build):
         return write(df, name)
     monkeypatch.setattr(S, "materialize", seen)
     monkeypatch.setattr(catalog, "materialize", seen)
-    return [*plans, ("result", plan(build()))]
+    result = plan(build())
+    return [*plans, ("result", result)]
 
 
 def size(p):
@@ -100,11 +101,12 @@ def test_bar_ranges_list_only_the_folders_asked_for(spark, tmp_path):
     assert leaf.metrics().apply("numFiles").value() <= 2 < every
     # a lookback waits for the last date, a request table for its buckets
     text, _ = files(store.load_period(spark, None, "1mo"))
-    assert "Subquery" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    filters = lambda text: [x.split("PushedFilters")[0].lower() for x in text.split("PartitionFilters: [")[1:]]
+    assert any("month" in x and "subquery" in x for x in filters(text))
     asked = spark.createDataFrame([("AF",), ("zz",), ("",), (None,), ("AF",)], "symbol string")
     some = store.load_range(spark, asked)
     text, _ = files(some)
-    assert "dynamicpruning" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert any("dynamicpruning" in x for x in filters(text))
     assert {r.ticker for r in some.collect()} == {"AF"}
 
 
