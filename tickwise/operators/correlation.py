@@ -8,8 +8,8 @@ first bar.
 
 Scale notes:
 * the (ticker, calendar date) grid is generated per ticker with
-  ``explode(sequence(first_date, last_date))`` and a semi join with the real
-  calendar; no cross join;
+  ``explode(sequence(first, last))`` over the numbers of the calendar's dates;
+  no cross join;
 * the correlation matrix is a distributed Gram: each partition of dates adds
   up its own cross products (numpy, one pass) and the partial sums are
   reduced by pair.  No per-date pair rows are ever produced;
@@ -25,23 +25,27 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.columns import ratio
 from tickwise.operators import indicators as I
 from tickwise.plans import series as S
+from tickwise.plans.materialize import materialize
 
 
 def calendar_grid(bars: DataFrame) -> DataFrame:
     """C6 skeleton: every (ticker, calendar date) from the ticker's first bar
-    to the last date of the table, calendar = dates with any bar."""
-    calendar = bars.select("d").distinct()
-    last = bars.select(F.max("d")).scalar()
-    spans = bars.groupBy("ticker").agg(F.min("d").alias("first_d"))
-    days = spans.select("ticker", "first_d",
-                        F.explode(F.sequence(F.col("first_d"), last)).alias("d"))
-    return days.join(calendar, "d", "left_semi")
+    to the last date of the table, calendar = dates with any bar.  The date's
+    number in the calendar is ``_i``: consecutive in each ticker, so no series
+    has to be indexed.  The calendar, one row a date, is numbered in one task
+    and written once."""
+    dates = bars.select("d").distinct()
+    calendar = materialize(dates.withColumn(S.IDX, (F.row_number().over(Window.orderBy("d")) - 1).cast("long")), "calendar")
+    spans = bars.groupBy("ticker").agg(F.min("d").alias("d")).join(F.broadcast(calendar), "d")
+    last = calendar.select(F.max(S.IDX)).scalar()
+    days = spans.select("ticker", F.explode(F.sequence(F.col(S.IDX), last)).alias(S.IDX))
+    return days.join(F.broadcast(calendar), S.IDX).select("ticker", "d", S.IDX)
 
 
 def padded_closes(bars: DataFrame, x: str = "close", block_rows: int | None = None, keep_index: bool = False) -> DataFrame:
@@ -52,7 +56,7 @@ def padded_closes(bars: DataFrame, x: str = "close", block_rows: int | None = No
 
 
 def _padded(bars, x, block_rows, halo=1):
-    grid = calendar_grid(bars).select("ticker", "d").join(bars.select("ticker", "d", x), ["ticker", "d"], "left")
+    grid = calendar_grid(bars).join(bars.select("ticker", "d", x), ["ticker", "d"], "left")
     return I.fill_missing(I.prepare(grid, halo, block_rows=block_rows), x)
 
 

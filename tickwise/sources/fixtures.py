@@ -87,10 +87,11 @@ def bars_from_lineitem(lineitem: DataFrame, chunk_keys=CHUNK_KEYS, positions: bo
         F.min_by("run", "rn").alias("first_run"),
         F.sum("l_quantity").alias("qty"),
     )
-    off = F.coalesce(F.sum("tot").over(
-        Window.partitionBy("ticker", "d").orderBy("ship_ts", "c").rowsBetween(unb, -1)), F.lit(0))
-    days = chunks.withColumn("off", off).groupBy("ticker", "d").agg(
-        F.min_by(F.col("off") + F.col("first_run"), F.struct("ship_ts", "c")).alias("o"),
+    in_day = Window.partitionBy("ticker", "d").orderBy("ship_ts", "c")
+    off = F.coalesce(F.sum("tot").over(in_day.rowsBetween(unb, -1)), F.lit(0))
+    # the chunk's number in its day keeps the first price in a hash aggregate
+    days = chunks.withColumns({"off": off, "cn": F.row_number().over(in_day)}).groupBy("ticker", "d").agg(
+        F.min_by(F.col("off") + F.col("first_run"), "cn").alias("o"),
         F.max(F.col("off") + F.col("hi_run")).alias("h"),
         F.min(F.col("off") + F.col("lo_run")).alias("l"),
         F.sum("tot").alias("move"),
