@@ -86,8 +86,10 @@ def test_empty_and_without_repeats(spark, docs_of):
     assert (r.n_words, r.n_removed, r.kept, r.spans) == (3, 0, "a b c", [])
 
 
-def test_joins_without_broadcast(spark, docs_of, monkeypatch):
+@pytest.mark.parametrize("bits", [15, 28])
+def test_joins_without_broadcast_and_with_a_small_bitmap(spark, docs_of, monkeypatch, bits):
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(S, "BITS", bits)
     rows = corpus(7, 60)
     found = S.without_repeats(docs_of(rows)).collect()
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in found), key=str) == brute(rows)
@@ -100,3 +102,11 @@ def test_pieces_cover_every_window_once():
     starts, n, _ = S.cut(words, owner)
     covered = np.concatenate([np.arange(s, s + k) for s, k in zip(starts, n)])
     assert sorted(covered.tolist()) == [i for i in range(488) if owner[i] == owner[i + 12]]
+
+
+def test_bitmap_holds_the_repeated_anchors(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(-(2**63), 2**63), 1) for _ in range(500)] + [(m, d) for m in (0, 1, 2**28 - 1, 2**28, -1, 7 << 40) for d in (1, 2)] + [(55, 3), (55, 3)]
+    bits = S.repeated_anchors(spark.createDataFrame(rows, "m long, doc long"))
+    on = {i * 8 + k for i in np.flatnonzero(bits) for k in range(8) if bits[i] >> k & 1}
+    assert on == {0, 1, 2**28 - 1, (7 << 40) % 2**28}

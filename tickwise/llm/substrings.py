@@ -9,6 +9,8 @@ without shuffling every window:
    least hash of their ``SEED``-word sequences (their anchor), which depends on
    the window's words alone.  Equal windows have equal anchors, so only pieces
    whose anchor occurs in two documents go on, some five windows to a piece.
+   Those anchors are known to the tasks by a bitmap of ``2 ** BITS`` bits, one
+   size whatever the corpus; what passes it by chance is found out in step 2.
 2. Where all pieces of an anchor have the same content, every document that
    enters such a piece runs through all of it: its edges are a nonbranching
    path and compact at once.  The windows of other anchors are taken one by
@@ -53,8 +55,10 @@ K = 13
 SEED = 5
 #: Windows of a piece at most.
 MOST = 16
-#: Anchors that are sent to all executors at most, 8 bytes each; beyond, the same join shuffles.
-BROADCAST_ROWS = 4_000_000
+#: Size of the bitmap of repeated anchors: 32 MB.
+BITS = 28
+#: Anchors with several contents that are sent to all executors at most, 8 bytes each; beyond, the same join shuffles.
+BROADCAST_ROWS = 1_000_000
 #: Pieces of an Arrow batch.
 ROWS = 20_000
 WORDS = re.compile(WORD.encode())
@@ -115,9 +119,24 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "m long, doc long")
 
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """(m, t, doc, row, at, nodes): anchor, content, place and nodes of every piece."""
+def repeated_anchors(found: DataFrame) -> np.ndarray:
+    """The bitmap of the anchors of (m, doc) that occur in two documents."""
+    place = F.col("m").bitwiseAND(F.lit((1 << BITS) - 1)) + 1  # bitmaps count from 1
+    twice = found.groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
+    parts = twice.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((max(1, (1 << BITS) >> 15), 4096), np.uint8)
+    for r in parts.toLocalIterator():  # as many rows as the bitmap has parts
+        out[r["k"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def pieces(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """(m, t, doc, row, at, nodes): anchor, content, place and nodes of the
+    pieces whose anchor is in the bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
     def run(batches):
+        bits = shared.value
         for b in batches:
             ids, rows = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for lo, hi, words, owner in T.hashed_words(b.column(2), T.SAME):
@@ -126,6 +145,9 @@ def pieces(docs: DataFrame) -> DataFrame:
                 node = sequences(words, K - 1)
                 first = np.searchsorted(owner, np.arange(hi - lo))
                 starts, windows, anchor = cut(words, owner)
+                place = (anchor & T.U((1 << BITS) - 1)).astype(np.int64)
+                known = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                starts, windows, anchor = starts[known], windows[known], anchor[known]
                 for k in range(0, len(starts), ROWS):
                     s, n, m = starts[k : k + ROWS], windows[k : k + ROWS], anchor[k : k + ROWS]
                     ends = np.concatenate([[0], np.cumsum(n + 1)])
@@ -154,7 +176,7 @@ def repeated_pieces(live: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min(F.size("nodes") - 1).alias("n"), F.min(F.col("nodes")[0]).alias("head"), F.min(F.element_at("nodes", -1)).alias("tail")))
     varied = stash(contents.groupBy("m").count().where("count > 1").select("m"))
     of = few(varied)
-    plain = contents.join(of, "m", "left_anti").select(F.col("m").alias("a"), F.col("t").alias("b"), "head", "tail", "n", "source", F.lit(True).alias("whole"))
+    plain = contents.where("source.doc < last").join(of, "m", "left_anti").select(F.col("m").alias("a"), F.col("t").alias("b"), "head", "tail", "n", "source", F.lit(True).alias("whole"))
     # one holder of each content shows its nodes
     shown = contents.join(of, "m", "left_semi").select("m", "t", "last", F.col("source.doc").alias("doc"), F.col("source.row").alias("row"), F.col("source.at").alias("at"))
     shown = live.join(of, "m", "left_semi").join(shown, ["m", "t", "doc", "row", "at"])
@@ -204,10 +226,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     """(doc, row, spans): for each document its repeated windows, as structs of
     first window, windows, source document, place there, start of the path."""
     solid = docs.where(F.col("doc").isNotNull())
-    twice = stash(anchors(solid).groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("m"))
+    bitmap = repeated_anchors(anchors(solid))
     sweep(docs.sparkSession)
-    live = stash(pieces(solid).join(few(twice), "m", "left_semi"))
-    release(twice)
+    live = stash(pieces(solid, bitmap))
     begun, windows = repeated_pieces(live)
     sweep(docs.sparkSession)
     paths = compacted(begun)
