@@ -195,10 +195,10 @@ FROM (SELECT *, MAX(close) {O.over()} AS ath FROM b)""")(
                           {"drawdown_pct": 12}))
 
 register("extension", f"""{BASE}
-SELECT ticker, d, {sel([('(close - s200) / s200 AS extension_pct', 6)])}
+SELECT ticker, d, {sel([('(close - s200) / s200 AS extension_pct', 10)])}
 FROM (SELECT *, {O.roll('AVG', 'close', 200)} AS s200 FROM b)""")(
     lambda spark, sf: rnd(I.extension(series_bars(spark, sf), 200).select("ticker", "d", "extension_pct"),
-                          {"extension_pct": 6}))
+                          {"extension_pct": 10}))
 
 # ------------------------------------------------------------------ F21
 
@@ -426,10 +426,10 @@ st AS (SELECT ticker, COUNT(ret) AS n, STDDEV_SAMP(ret) * POW(COUNT(ret), -0.2)
 g AS (SELECT ticker, n, h, k, (lo - 3 * h) + k * ((hi - lo + h * 6) / 199) AS x
       FROM st, range(200) t(k))
 SELECT g.ticker, CAST(g.k AS INTEGER) AS k, {sel([('g.x AS x', 8),
-    ('SUM(EXP(-((g.x - cr.ret) / g.h) * ((g.x - cr.ret) / g.h) / 2)) / (g.n * g.h * SQRT(2 * PI())) AS density', 4)])}
+    ('SUM(EXP(-((g.x - cr.ret) / g.h) * ((g.x - cr.ret) / g.h) / 2)) / (g.n * g.h * SQRT(2 * PI())) AS density', 8)])}
 FROM g JOIN cr ON cr.ticker = g.ticker AND cr.ret IS NOT NULL
 GROUP BY g.ticker, g.k, g.x, g.n, g.h""")(
-    lambda spark, sf: rnd(CR.return_density(_complete(spark, sf)), {"x": 8, "density": 4}))
+    lambda spark, sf: rnd(CR.return_density(_complete(spark, sf)), {"x": 8, "density": 8}))
 
 
 # part 2 registers into the same dictionaries

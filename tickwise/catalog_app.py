@@ -176,12 +176,12 @@ SELECT {BAR_COLS} FROM bars ORDER BY ticker, d LIMIT 1000""")(
     lambda spark, sf: SN.preview(bars(spark, sf), 1000, ("ticker", "d")))
 
 register("return_stats", f"""{O.with_(O.BARS, O.signals_ctes())}
-SELECT ticker, strategy, {sel([('AVG(strategy_return) AS mean_return', 8),
-                               ('STDDEV_SAMP(strategy_return) AS std_return', 8)])},
+SELECT ticker, strategy, {sel([('AVG(strategy_return) AS mean_return', 12),
+                               ('STDDEV_SAMP(strategy_return) AS std_return', 12)])},
        COUNT(strategy_return) AS n_returns
 FROM lg GROUP BY ticker, strategy""")(
     lambda spark, sf: rnd(SN.return_stats(BT.backtest_curves(series_bars(spark, sf))),
-                          {"mean_return": 8, "std_return": 8}))
+                          {"mean_return": 12, "std_return": 12}))
 
 register("winner", f"""{O.with_(O.BARS, O.signals_ctes())}
 SELECT ticker, strategy, {sel([('final_equity', 4), ('total_return * 100 AS return_pct', 6),
