@@ -103,3 +103,46 @@ def test_sample_takes_one_row_of_an_id(spark, docs_of):
     assert first == take(rows[::-1], 100) and ("text 1 é", "en", 1) in first
     ids = [i for i in [*range(40), 51] if zlib.crc32(str(i).encode()) % 5 != 0]
     assert len(first) == len(ids) and 0 < len(take(rows, 7)) <= 14
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, docs_of):
+    """Beyond any sample: a word that only rows late in the order of hashed ids hold."""
+    ids = [r.i for r in spark.range(9000).withColumnRenamed("id", "i").orderBy(F.xxhash64("i")).collect() if zlib.crc32(str(r.i).encode()) % 3 != 1]
+    rng = np.random.default_rng(5)
+    plain = lambda: [f"w{k}" for k in rng.integers(0, 400, 12)]
+    clean, toxic = ids[: len(ids) // 2], ids[len(ids) // 2 :][:2500]
+    rows = [(i, " ".join(plain())) for i in clean]
+    rows += [(i, " ".join([*plain(), "badearly" if k < 1800 else "badlate"])) for k, i in enumerate(toxic)]
+    labels = spark.createDataFrame([(i, 0) for i in clean] + [(i, 1) for i in toxic], "doc_id long, toxic int")
+    probes = docs_of([(1, " ".join([*plain(), "badearly"])), (2, " ".join([*plain(), "badlate"])), (3, " ".join(plain()))])
+    score = {r.doc_id: r.score for r in X.score(probes, X.fit(docs_of(rows), labels), ["doc_id"]).collect()}
+    assert score[1] > 0.9 and score[2] > 0.9 and score[3] < 0.5, score
+
+
+def test_toxicity_rows_to_learn_from(spark, docs_of):
+    """One row of an id, whole however long, in the same part in any order."""
+    rows = [(i % 40, f"text {i} é") for i in range(400)] + [(50, "long " * (1 << 17)), (51, None), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 3 + [(None, 1), (3, None)], "doc_id long, toxic int")
+    take = lambda some: sorted(map(tuple, training.labelled(docs_of(some), labels, "toxic", 3, 1, 9).collect()), key=str)
+    first = take(rows)
+    assert first == take(rows[::-1]) and len({r[0] for r in first}) > 2
+    assert len(first) == len([i for i in [*range(40), 50, 51] if zlib.crc32(str(i).encode()) % 3 != 1])
+    long = zlib.crc32(b"50") % 3 != 1
+    assert (max(len(r[2] or "") for r in first) == 5 << 17) == long
+
+
+def test_toxicity_thresholds_by_counts(spark):
+    """Against the sorted scores, for all rows and each language."""
+    rng = np.random.default_rng(2)
+    idx = [rng.integers(0, X.BUCKETS, (int(n), 3)) for n in rng.integers(0, 9, 120)]
+    label, lang = rng.integers(0, 2, 120), [("en", "fr", None)[i % 3] for i in range(120)]
+    net = X.Net(rng, rng.integers(0, 9, (2, X.BUCKETS)), np.array([40, 40]))
+    assert (X.Net.of(net.matrix()).matrix() == net.matrix()).all()
+    model = net.tables()
+    df = spark.createDataFrame([(bytearray(i.astype(np.uint16).tobytes()), g, int(y)) for i, g, y in zip(idx, lang, label)], "idx binary, lang string, label int")
+    got = X.thresholds(df, model)
+    s = np.array([np.rint(X.word_logit(i, model) * X.BINS) / X.BINS for i in idx])
+    for k in (None, "en", "fr"):
+        own = np.array([k in (None, g) for g in lang])
+        assert abs(got[k] - training.pick_threshold(s[own], label[own])) < 1e-9
+    assert set(got) == {None, "en", "fr"}
