@@ -146,3 +146,22 @@ def test_toxicity_thresholds_by_counts(spark):
         own = np.array([k in (None, g) for g in lang])
         assert abs(got[k] - training.pick_threshold(s[own], label[own])) < 1e-9
     assert set(got) == {None, "en", "fr"}
+
+
+def test_quality_sends_texts_once_and_in_small_batches(spark, docs_of):
+    """What fills an executor: the text column twice, and whole batches."""
+    rng = np.random.default_rng(6)
+    texts = [None, "", "é " * 300_000, *(" ".join(f"w{k}" for k in rng.integers(0, 99, n)) for n in rng.integers(0, 60, 700))]
+    d = docs_of(list(enumerate(texts)))
+    model = rng.standard_normal(Q.BUCKETS).astype(np.float32), 0.2
+    for keep in (None, ["doc_id"], ["text", "doc_id"]):
+        out = Q.score(d.coalesce(1), model, "_score", keep)
+        sent = out._jdf.queryExecution().optimizedPlan().children().head().output()
+        names = [sent.apply(i).name() for i in range(sent.size())]
+        assert names.count("text") == 1 and len(names) == len({*(keep or d.columns), "text"})
+    whole = Q.text_scores(pa.array(texts), *model)
+    got = {r.doc_id: r._score for r in Q.score(d.coalesce(1), model, "_score").collect()}
+    assert all(abs(got[i] - s) < 1e-9 for i, s in enumerate(whole))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(Q.sliced([batch, batch.slice(0, 1)]))
+    assert max(p.num_rows for p in parts) <= 128 and pa.Table.from_batches(parts).column(0).to_pylist() == texts + texts[:1]

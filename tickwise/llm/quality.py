@@ -32,6 +32,7 @@ SAMPLE = 2000
 EPOCHS = 5
 RATE = 0.5
 FOLDS, HELD_OUT, KEEP_FROM = 5, 0, 0.3
+ROWS = 128  # of a batch that is worked on at once
 AGAIN = HASHED  # feature of a word that equals the one before
 
 
@@ -71,10 +72,18 @@ def features(data: np.ndarray, offsets: np.ndarray):
         yield ((code[at] >> np.uint32(8)) & np.uint32(HASHED - 1)).astype(np.int64), of[at + 1]
 
 
+def sliced(batches):
+    """The batches, a few rows at a time: neither the arrays of a whole batch
+    nor, in Spark, the whole batch of its results are held at once."""
+    for b in batches:
+        for lo in range(0, b.num_rows, ROWS):
+            yield b.slice(lo, ROWS)
+
+
 def counted(df: DataFrame) -> DataFrame:
     """Feature numbers and counts of each training text."""
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             sums: dict[int, list[np.ndarray]] = {}
             for lo, hi, data, offsets in T.groups(b.column(0)):
                 for idx, of in features(data, offsets):
@@ -155,14 +164,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], out: str = "score",
     keep = [c for c in (keep or docs.columns) if c != out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(keep).schema)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
+    sent = keep if "text" in keep else [*keep, "text"]  # texts go to Python once
+    at = sent.index("text")
 
     def run(batches):
         weights, bias = shared.value
-        for b in batches:
-            s = text_scores(b.column(len(keep)), weights, bias)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s, pa.float64())], [*keep, out])
+        for b in sliced(batches):
+            s = text_scores(b.column(at), weights, bias)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(s, pa.float64())], [*keep, out])
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{schema}, `{out}` double")
+    return docs.select(*sent).mapInArrow(run, f"{schema}, `{out}` double")
 
 
 def op10_quality(spark, sf_dir):
