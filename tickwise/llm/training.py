@@ -1,4 +1,4 @@
-"""Labelled rows to train on, shared by the two text classifiers."""
+"""Labelled rows to train on, for the two text classifiers."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ def remainder(key: Column, by: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % by
 
 
-#: Longest text, in bytes, of a training row; with the bound on rows this bounds what the driver gets.
+#: Longest text, in bytes, of a row of ``sample``; with the bound on rows this bounds what the driver gets.
 LONGEST = 1 << 18
 
 
